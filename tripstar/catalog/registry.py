@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripstar.catalog.analytics import ANALYTICS, Query
+from tripstar.catalog.operations import OPERATIONS
 from tripstar.catalog.oracle_insights import INSIGHT_CHECKS
 from tripstar.catalog.oracle_marts import DIMENSION_CHECKS, FACT_CHECKS, MART_CHECKS
+from tripstar.catalog.oracle_operations import OPERATION_CHECKS
 from tripstar.session import configure
 
 
@@ -34,8 +36,14 @@ def _registered(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _registered(query) for name, query in {**ANALYTICS}.items()}
+    return {name: _registered(query) for name, query in {**ANALYTICS, **OPERATIONS}.items()}
 
 
 def all_checks() -> dict[str, str]:
-    return {**FACT_CHECKS, **DIMENSION_CHECKS, **MART_CHECKS, **INSIGHT_CHECKS}
+    return {
+        **FACT_CHECKS,
+        **DIMENSION_CHECKS,
+        **MART_CHECKS,
+        **INSIGHT_CHECKS,
+        **OPERATION_CHECKS,
+    }

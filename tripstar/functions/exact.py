@@ -49,6 +49,18 @@ def growth(now: Column, before: Column) -> Column:
     return percent(now.cast(_WIDE) - before.cast(_WIDE), before)
 
 
+def hundredths(amount: Column) -> Column:
+    """A two-place decimal as whole hundredths (exact below 2**53)."""
+    return F.rint(amount.cast("double") * 100).cast("bigint")
+
+
 def ratio2(numerator: Column, denominator: Column) -> Column:
-    """Decimal quotient to two places as a double."""
-    return F.round(numerator / denominator, 2).cast("double")
+    """Quotient of whole numbers in hundredths, half away from zero, as a double.
+
+    Stays in 64-bit arithmetic, so it is cheap enough for every row. The
+    denominator must be positive.
+    """
+    halves = F.call_function(
+        "div", F.abs(numerator) * 2 + denominator, denominator.cast("bigint") * 2
+    )
+    return (F.signum(numerator.cast("double")) * halves) / 100.0

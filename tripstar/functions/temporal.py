@@ -32,9 +32,12 @@ def month_of_key(key: Column) -> Column:
 
 
 def minutes_crossed(start: Column, end: Column) -> Column:
-    """Number of minute boundaries between two times; negative if end is earlier."""
-    minute = lambda ts: F.floor(F.unix_seconds(ts.cast("timestamp")) / 60)
-    return (minute(end) - minute(start)).cast("int")
+    """Number of minute boundaries between two times; negative if end is earlier.
+
+    Built from the same parts as the keys, so they are computed once per row.
+    """
+    minute_of_day = lambda ts: F.hour(ts) * 60 + F.minute(ts)
+    return F.datediff(end, start) * 1440 + minute_of_day(end) - minute_of_day(start)
 
 
 def elapsed_micros(start: Column, end: Column) -> Column:

@@ -75,19 +75,17 @@ def not_yet_loaded(rows: DataFrame, loaded: DataFrame, key: str = "trip_id") ->
 
 def derived_measures(fact: DataFrame) -> DataFrame:
     """Tip percentage, speed and revenue per mile of each trip, to two places."""
-    fare, distance = F.col("fare_amount"), F.col("trip_distance")
+    cents = lambda c: exact.hundredths(F.col(c))
+    fare, distance = cents("fare_amount"), cents("trip_distance")
     minutes = F.col("trip_duration_minutes")
+    tip = exact.ratio2(cents("tip_amount") * 10000, fare)
+    speed = exact.ratio2(distance * 60, minutes)
+    per_mile = exact.ratio2(cents("total_amount") * 100, distance)
     return fact.withColumns(
         {
-            "tip_percentage": F.when(
-                fare > 0, exact.ratio2(F.col("tip_amount") * 100, fare)
-            ).otherwise(0.0),
-            "avg_speed_mph": F.when(minutes > 0, exact.ratio2(distance * 60, minutes)).otherwise(
-                0.0
-            ),
-            "revenue_per_mile": F.when(
-                distance > 0, exact.ratio2(F.col("total_amount"), distance)
-            ).otherwise(0.0),
+            "tip_percentage": F.when(F.col("fare_amount") > 0, tip).otherwise(0.0),
+            "avg_speed_mph": F.when(minutes > 0, speed).otherwise(0.0),
+            "revenue_per_mile": F.when(F.col("trip_distance") > 0, per_mile).otherwise(0.0),
         }
     )
 

@@ -69,18 +69,21 @@ def read_raw(
     spark: SparkSession,
     landing: str,
     service: str,
-    year: int | None = None,
-    month: int | None = None,
+    months: list[tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """Rows of the matching sources, with ``year``, ``month`` and ``trip_id`` added.
+    """Rows of a service's sources, of the given months or of all.
 
-    Year and month come from the path. The id packs month, service, file number
-    within the month and row position within the file, so reading the same files
-    again gives the same ids and no shuffle is needed to make them unique.
+    ``year``, ``month`` and ``trip_id`` are added. Year and month come from the path.
+    The id packs month, service, file number within the month and row position within
+    the file, so reading the same files again gives the same ids and no shuffle is
+    needed to make them unique. Months whose files store a column in different
+    physical types must be read one at a time.
     """
-    scan = (
-        spark.read.option("recursiveFileLookup", "true")
-        .parquet(f"{landing}/{source_glob(service, year, month)}")
+    globs = [source_glob(service, *month) for month in months] if months else [
+        source_glob(service)
+    ]
+    scan = spark.read.option("recursiveFileLookup", "true").parquet(
+        *[f"{landing}/{glob}" for glob in globs]
     )
     located = scan.select(
         "*",
@@ -118,7 +121,7 @@ def _service_number(service: str) -> int:
 
 def _numbered_files(paths: list[str]) -> list[tuple[str, int, int, int]]:
     if len(paths) > MAX_FILES_PER_SCAN:
-        raise ValueError(f"{len(paths)} files in one scan; name a year or a month")
+        raise ValueError(f"{len(paths)} files in one scan; name fewer months")
     numbered, next_number = [], {}
     for path in sorted(paths):
         name = _SOURCE.search(path)

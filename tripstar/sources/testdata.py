@@ -246,7 +246,7 @@ def route_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def _plus_seconds(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return ts + F.expr("interval 1 second") * seconds
 
 
 def _base(column: str) -> Column:
