@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripstar.catalog import stored
 from tripstar.catalog.oracle_base import AS_OF, CALENDAR
 from tripstar.operators import facts, summaries
 from tripstar.plans import airports, headlines, heatmap, marts, routes, trends
@@ -17,20 +18,16 @@ from tripstar.star import Star
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fact_trips(testdata.trips(spark, sf_dir))
-
-
-def _star(spark: SparkSession, sf_dir: str) -> Star:
-    return dimensions.build_star(spark, _fact(spark, sf_dir), *CALENDAR)
+def star(spark: SparkSession, sf_dir: str) -> Star:
+    return dimensions.build_star(spark, stored.fact(spark, sf_dir), *CALENDAR)
 
 
 def _mart(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        star = _star(spark, sf_dir)
+        tables = star(spark, sf_dir)
         if name == "executive_kpis":
-            return marts.executive_kpis(star, AS_OF)
-        return marts.MARTS[name](star)
+            return marts.executive_kpis(tables, AS_OF)
+        return marts.MARTS[name](tables)
 
     return run
 
@@ -40,7 +37,7 @@ def _over(mart: str, analysis: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _on_fact(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(_fact(spark, sf_dir))
+    return lambda spark, sf_dir: build(stored.fact(spark, sf_dir))
 
 
 def _on_trips(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -65,7 +62,7 @@ def _derived(fact: DataFrame) -> DataFrame:
 
 
 FACTS: dict[str, Query] = {
-    "fact_trips": _on_fact(lambda fact: fact),
+    "fact_trips": _on_trips(facts.fact_trips),
     "fact_trips_incremental": _on_fact(_incremental),
     "trip_duration": _on_fact(_durations),
     "trip_derived_measures": _on_fact(_derived),
@@ -87,7 +84,7 @@ FACTS: dict[str, Query] = {
 def _members(name: str, **roles: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         dim = dimensions.short_dimension(spark, name)
-        return dimensions.member_usage(dim, _fact(spark, sf_dir), roles)
+        return dimensions.member_usage(dim, stored.fact(spark, sf_dir), roles)
 
     return run
 
@@ -96,12 +93,12 @@ def _dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("pickup_datetime").cast("date")
     bounds = testdata.trips(spark, sf_dir).agg(F.min(day).alias("first"), F.max(day).alias("last"))
     calendar = dimensions.calendar_between(bounds)
-    return dimensions.member_usage(calendar, _fact(spark, sf_dir), {"trips": "pickup_date_key"})
+    return dimensions.member_usage(calendar, stored.fact(spark, sf_dir), {"trips": "pickup_date_key"})
 
 
 def _dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.member_usage(
-        dimensions.clock(spark), _fact(spark, sf_dir), {"trips": "pickup_time_key"}
+        dimensions.clock(spark), stored.fact(spark, sf_dir), {"trips": "pickup_time_key"}
     )
 
 

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar.catalog.analytics import Query, _fact, _star
+from tripstar.catalog import stored
+from tripstar.catalog.analytics import Query, star
 from tripstar.functions import temporal
 from tripstar.operators import audits, facts, ledger, normalize, upsert
 from tripstar.plans import load as loads
@@ -16,19 +17,6 @@ from tripstar.session import scratch_dir
 from tripstar.sources import raw_files, testdata
 from tripstar.streaming import jobs
 
-_landings: dict[tuple[str, str], str] = {}
-
-
-def landing(spark: SparkSession, sf_dir: str) -> str:
-    """Monthly sources made from the test tables, written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landings:
-        path = scratch_dir(spark, "landing")
-        testdata.write_landing(spark, sf_dir, path)
-        _landings[key] = path
-    return _landings[key]
-
-
 def _house(spark: SparkSession) -> loads.Warehouse:
     return loads.Warehouse(spark, scratch_dir(spark, "house"))
 
@@ -42,7 +30,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------------------
 def scan_service_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every service-month scanned by name: rows, and rows without a pickup place."""
-    path = landing(spark, sf_dir)
+    path = stored.landing(spark, sf_dir)
     places = {"yellow": "PULocationID", "green": "PULocationID", "fhv": "PUlocationID"}
     return _union(
         [
@@ -61,7 +49,7 @@ def case_insensitive_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metered rows whose columns come in odd case and lack the service's own fee."""
 
     def odd(service: str, fee: str) -> DataFrame:
-        rows = testdata.raw(spark, sf_dir, service).drop(fee)
+        rows = stored.raw(spark, sf_dir, service).drop(fee)
         return rows.toDF(*[c.swapcase() for c in rows.columns])
 
     def shared(service: str, fee: str) -> DataFrame:
@@ -78,7 +66,7 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows kept and rows set aside per service and month, with the bad columns."""
 
     def counted(service: str) -> DataFrame:
-        good, bad = normalize.split_rejects(testdata.raw(spark, sf_dir, service), service)
+        good, bad = normalize.split_rejects(stored.raw(spark, sf_dir, service), service)
         both = good.select("year", "month", F.lit("").alias("bad_columns")).unionByName(
             bad.select("year", "month", "bad_columns")
         )
@@ -99,10 +87,7 @@ def null_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
 
     def cleaned(service: str) -> DataFrame:
-        rows = (
-            testdata.raw_high_volume(spark, sf_dir) if service == "fhvhv"
-            else testdata.raw(spark, sf_dir, service)
-        )
+        rows = stored.raw(spark, sf_dir, service)
         place, time, amount = columns[service]
         picked = rows.select(
             F.lit(service).alias("file_type"),
@@ -117,12 +102,12 @@ def null_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Service-months with files in the landing folder."""
-    files = raw_files.file_inventory(spark, landing(spark, sf_dir))
+    files = raw_files.file_inventory(spark, stored.landing(spark, sf_dir))
     return files.select(*PARTITIONS, "in_scope").distinct()
 
 
 def _conformed(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
-    good, _ = normalize.split_rejects(testdata.raw(spark, sf_dir, service), service)
+    good, _ = normalize.split_rejects(stored.raw(spark, sf_dir, service), service)
     return normalize.conform(good, service).drop("trip_id", "processed_at")
 
 
@@ -131,7 +116,7 @@ def _normalized(service: str) -> Query:
 
 
 def normalize_fhvhv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = normalize.align(testdata.raw_high_volume(spark, sf_dir), "fhvhv")
+    rows = normalize.align(stored.raw(spark, sf_dir, "fhvhv"), "fhvhv")
     return normalize.canonical(rows)
 
 
@@ -139,7 +124,7 @@ def align_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All services in the canonical columns, united."""
     return _union(
         [
-            normalize.canonical(normalize.align(testdata.raw(spark, sf_dir, s), s))
+            normalize.canonical(normalize.align(stored.raw(spark, sf_dir, s), s))
             for s in SERVICES
         ]
     )
@@ -153,7 +138,7 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     times = ["pickup_datetime", "dropoff_datetime"]
     parts = []
     for service in SERVICES:
-        rows = normalize.align(testdata.raw(spark, sf_dir, service), service)
+        rows = normalize.align(stored.raw(spark, sf_dir, service), service)
         parsed = normalize.parse_timestamps(rows, times)
         parts.append(parsed.select(F.lit(service).alias("file_type"), *times))
     return _union(parts)
@@ -163,7 +148,7 @@ def correct_numeric_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = ["fare_amount", "trip_distance", "passenger_count", "payment_type"]
     parts = []
     for service in SERVICES:
-        rows = normalize.align(testdata.raw(spark, sf_dir, service), service)
+        rows = normalize.align(stored.raw(spark, sf_dir, service), service)
         typed = normalize.correct_numeric_types(rows, numbers)
         parts.append(typed.select(F.lit(service).alias("file_type"), *numbers))
     return _union(parts)
@@ -188,7 +173,7 @@ def target_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def load_month_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trip table after loading every month twice."""
-    house, path = _house(spark), landing(spark, sf_dir)
+    house, path = _house(spark), stored.landing(spark, sf_dir)
     for _ in range(2):
         loads.load_services(house, path, force=True)
     return _loaded_summary(house)
@@ -206,7 +191,7 @@ def _loaded_summary(house: loads.Warehouse) -> DataFrame:
 def load_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome per service when one of them has no sources, with the rows loaded."""
     house = _house(spark)
-    outcomes = loads.load_services(house, landing(spark, sf_dir), [*SERVICES, "fhvhv"])
+    outcomes = loads.load_services(house, stored.landing(spark, sf_dir), [*SERVICES, "fhvhv"])
     rows = house.load_log().latest().groupBy("file_type").agg(
         F.sum("rows_in_file").alias("rows_in_file"), F.sum("rows_loaded").alias("rows_loaded")
     )
@@ -224,7 +209,7 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in the sources against rows conformed, per service and month."""
     raw = _union(
         [
-            testdata.raw(spark, sf_dir, s).select(F.lit(s).alias("file_type"), "year", "month")
+            stored.raw(spark, sf_dir, s).select(F.lit(s).alias("file_type"), "year", "month")
             for s in SERVICES
         ]
     )
@@ -273,7 +258,7 @@ def month_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = _fact(spark, sf_dir)
+    fact = stored.fact(spark, sf_dir)
     log = testdata.file_events(spark, sf_dir)
     return audits.pk_duplicates(
         {
@@ -286,16 +271,16 @@ def audit_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _star(spark, sf_dir)
-    fact = star.fact_trips
+    tables = star(spark, sf_dir)
+    fact = tables.fact_trips
     return _union(
         [
-            audits.fk_orphans(star, "fact_trips", fact, audits.FACT_REFERENCES),
+            audits.fk_orphans(tables, "fact_trips", fact, audits.FACT_REFERENCES),
             audits.fk_orphans(
-                star, "fact_trips_daily_agg", facts.daily_agg(fact), audits.DAILY_REFERENCES
+                tables, "fact_trips_daily_agg", facts.daily_agg(fact), audits.DAILY_REFERENCES
             ),
             audits.fk_orphans(
-                star, "fact_trips_hourly_agg", facts.hourly_agg(fact), audits.HOURLY_REFERENCES
+                tables, "fact_trips_hourly_agg", facts.hourly_agg(fact), audits.HOURLY_REFERENCES
             ),
         ]
     )
@@ -314,7 +299,7 @@ def audit_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_stray_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.stray_months(_fact(spark, sf_dir))
+    return audits.stray_months(stored.fact(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -322,7 +307,7 @@ def audit_stray_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     house = _house(spark)
-    jobs.ingest(house, landing(spark, sf_dir), scratch_dir(spark, "checkpoint"))
+    jobs.ingest(house, stored.landing(spark, sf_dir), scratch_dir(spark, "checkpoint"))
     return _loaded_summary(house)
 
 

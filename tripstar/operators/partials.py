@@ -14,27 +14,33 @@ from pyspark.sql import functions as F
 
 from tripstar.functions import exact
 
-_TIP_PERCENT = F.when(
-    F.col("fare_amount") > 0,
-    F.col("tip_amount").cast("double") / F.col("fare_amount").cast("double") * 100,
-).otherwise(0.0)
-_SPEED = F.when(
-    F.col("trip_duration_minutes") > 0,
-    F.col("trip_distance").cast("double") * 60 / F.col("trip_duration_minutes"),
-).otherwise(0.0)
-
-MEASURES: dict[str, Column] = {
-    "revenue": F.col("total_amount"),
-    "fare": F.col("fare_amount"),
-    "tip": F.col("tip_amount"),
-    "tolls": F.col("tolls_amount"),
-    "congestion": F.col("congestion_surcharge"),
-    "passengers": F.col("passenger_count"),
-    "distance": F.col("trip_distance"),
-    "duration": F.col("trip_duration_minutes"),
-    "tip_percent": _TIP_PERCENT,
-    "speed": _SPEED,
+_COLUMNS = {
+    "revenue": "total_amount",
+    "fare": "fare_amount",
+    "tip": "tip_amount",
+    "tolls": "tolls_amount",
+    "congestion": "congestion_surcharge",
+    "passengers": "passenger_count",
+    "distance": "trip_distance",
+    "duration": "trip_duration_minutes",
 }
+
+
+def measure(name: str) -> Column:
+    """The value of a measure for one trip."""
+    if name == "tip_percent":
+        fare = F.col("fare_amount").cast("double")
+        return F.when(
+            F.col("fare_amount") > 0, F.col("tip_amount").cast("double") / fare * 100
+        ).otherwise(0.0)
+    if name == "speed":
+        minutes = F.col("trip_duration_minutes")
+        return F.when(
+            minutes > 0, F.col("trip_distance").cast("double") * 60 / minutes
+        ).otherwise(0.0)
+    return F.col(_COLUMNS[name])
+
+
 # Sums of floating ratios depend on the order of summation in the last digits.
 _FLOATING = {"tip_percent", "speed"}
 
@@ -49,8 +55,8 @@ def reduce_trips(
     """
     state = [F.count(F.lit(1)).alias("trips")]
     for name in measures:
-        state += [F.sum(MEASURES[name]).alias(f"sum_{name}")]
-        state += [F.count(MEASURES[name]).alias(f"n_{name}")]
+        state += [F.sum(measure(name)).alias(f"sum_{name}")]
+        state += [F.count(measure(name)).alias(f"n_{name}")]
     state += [F.count_if(condition).alias(name) for name, condition in counts.items()]
     return trips.groupBy(*keys).agg(*state)
 
@@ -68,15 +74,15 @@ def merge(
     )
 
 
-def total(measure: str) -> Column:
+def total(name: str) -> Column:
     """Sum of a measure; money keeps its two decimals."""
-    column = F.col(f"sum_{measure}")
-    return column if measure in _FLOATING | {"passengers", "duration"} else column.cast(
+    column = F.col(f"sum_{name}")
+    return column if name in _FLOATING | {"passengers", "duration"} else column.cast(
         "decimal(20,2)"
     )
 
 
-def average(measure: str) -> Column:
+def average(name: str) -> Column:
     """Mean of the non-null values of a measure."""
-    value = exact.mean(F.col(f"sum_{measure}"), F.col(f"n_{measure}"))
-    return exact.stable(value) if measure in _FLOATING else value
+    value = exact.mean(F.col(f"sum_{name}"), F.col(f"n_{name}"))
+    return exact.stable(value) if name in _FLOATING else value
