@@ -8,23 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.catalog import stored
-from tripstar.catalog.oracle_base import AS_OF, CALENDAR
+from tripstar.catalog.oracle_base import AS_OF
 from tripstar.operators import facts, summaries
 from tripstar.plans import airports, headlines, heatmap, marts, routes, trends
 from tripstar.session import scratch_dir
 from tripstar.sources import dimensions, exports, testdata
-from tripstar.star import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return dimensions.build_star(spark, stored.fact(spark, sf_dir), *CALENDAR)
-
-
 def _mart(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = star(spark, sf_dir)
+        tables = stored.star(spark, sf_dir)
         if name == "executive_kpis":
             return marts.executive_kpis(tables, AS_OF)
         return marts.MARTS[name](tables)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.catalog import stored
-from tripstar.catalog.analytics import Query, star
+from tripstar.catalog.analytics import Query
 from tripstar.functions import temporal
 from tripstar.operators import audits, facts, ledger, normalize, upsert
 from tripstar.plans import load as loads
@@ -271,7 +271,7 @@ def audit_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = stored.star(spark, sf_dir)
     fact = tables.fact_trips
     return _union(
         [

@@ -10,19 +10,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripstar.catalog.oracle_base import CALENDAR
 from tripstar.operators import facts
 from tripstar.operators.upsert import path_exists
 from tripstar.session import scratch_dir
-from tripstar.sources import testdata
+from tripstar.sources import dimensions, testdata
+from tripstar.star import Star
 
 _paths: dict[tuple[str, str, str], str] = {}
+_stars: dict[tuple[str, str, str], Star] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, sf_dir, name
 
 
 def stored_path(
     spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]
 ) -> str:
     """Folder of a shared table; written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = _key(spark, sf_dir, name)
     if key not in _paths or not path_exists(spark, _paths[key]):
         path = scratch_dir(spark, name)
         write(path)
@@ -30,12 +37,17 @@ def stored_path(
     return _paths[key]
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]):
-    # rebalancing evens out the files, whatever the layout of the input
-    path = stored_path(
-        spark, sf_dir, name, lambda p: rows().hint("rebalance").write.parquet(p)
-    )
-    return spark.read.parquet(path)
+def _stored(
+    spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]
+) -> DataFrame:
+    def write(path: str) -> None:
+        built = rows()
+        # a scan with too few splits would leave files too few to be read in parallel
+        if built.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+            built = built.hint("rebalance")
+        built.write.parquet(path)
+
+    return spark.read.parquet(stored_path(spark, sf_dir, name, write))
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +56,14 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def star(spark: SparkSession, sf_dir: str) -> Star:
+    trips = fact(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _paths[_key(spark, sf_dir, "fact")])
+    if key not in _stars:
+        _stars[key] = dimensions.build_star(spark, trips, *CALENDAR)
+    return _stars[key]
+
+
 def raw(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     build = testdata.raw_high_volume if service == "fhvhv" else (
         lambda s, d: testdata.raw(s, d, service)

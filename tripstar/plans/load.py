@@ -43,15 +43,20 @@ class Warehouse:
         keys = ["year", "month", "fact_table_name"]
         return Ledger(self.spark, self.path("run_log"), RUN_LOG, keys)
 
-    def overwrite(self, table: str, rows: DataFrame, by: list[str]) -> None:
+    def overwrite(
+        self, table: str, rows: DataFrame, by: list[str], clustered: bool = False
+    ) -> None:
         """Replace the partitions that occur in ``rows``; others stay as they are.
 
-        Rows are rebalanced by partition before the write: small partitions get one
-        file, and one that holds a large share of the rows is split over tasks.
+        Rows that already lie together by partition (read from monthly files, or from
+        a table with the same partitions) are ``clustered``: each task writes its few
+        partitions and nothing is shuffled. Other rows are rebalanced first, so that a
+        small partition gets one file and one with a large share of the rows is split.
         """
-        rows.hint("rebalance", *by).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*by).parquet(self.path(table))
+        placed = rows if clustered else rows.hint("rebalance", *by)
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *by
+        ).parquet(self.path(table))
 
 
 Months = list[tuple[int, int]]
@@ -82,12 +87,12 @@ def load(
     try:
         raw = read_raw(house.spark, landing, service, wanted)
         good, rejected = split_rejects(raw, service)
-        house.overwrite("trip_data", conform(good, service, processed_at), PARTITIONS)
+        house.overwrite("trip_data", conform(good, service, processed_at), PARTITIONS, clustered=True)
         set_aside = rejected.select(
             F.lit(service).alias("file_type"), "year", "month", "trip_id", "bad_columns",
             F.to_json(F.struct(*[c for c in raw.columns if c not in PARTITIONS])).alias("row"),
         )
-        house.overwrite("trip_rejects", set_aside, PARTITIONS)
+        house.overwrite("trip_rejects", set_aside, PARTITIONS, clustered=True)
         log.append(_loaded_counts(house, raw, service, wanted))
         return "loaded"
     except Exception as error:
@@ -189,7 +194,7 @@ def build_fact_trips(house: Warehouse, year: int | None = None, month: int | Non
     keeps a trip from entering twice; no join against the whole fact is needed.
     """
     rows = facts.fact_trips(house.read("trip_data"), year, month)
-    house.overwrite("fact_trips", rows, FACT_PARTITIONS)
+    house.overwrite("fact_trips", rows, FACT_PARTITIONS, clustered=True)
     built = house.read("fact_trips")
     for column, value in (("source_year", year), ("source_month", month)):
         if value is not None:

@@ -17,6 +17,7 @@ from tripstar.schemas import SERVICES
 from tripstar.sources.raw_files import source_glob
 
 _SOURCE = r"_tripdata_(\d{4})-(\d{2})"
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _run(stream: DataFrame, handle, checkpoint: str) -> StreamingQuery:
@@ -40,19 +41,18 @@ def ingest(
 ) -> None:
     """Load the months of files that are new since the last run.
 
-    The checkpoint remembers the files seen, in place of the load log. A month that
-    gets a further file is loaded again as a whole, which replaces its partition.
+    The checkpoint remembers the files seen, in place of the load log. The stream
+    carries one row per file and reads no content. A month that gets a further file
+    is loaded again as a whole, which replaces its partition.
     """
     for service in services:
-        glob = f"{landing}/{source_glob(service)}"
-        schema = house.spark.read.option("recursiveFileLookup", "true").parquet(glob).schema
-        paths = (
-            house.spark.readStream.schema(schema)
-            .parquet(glob)
-            .select(
-                F.regexp_extract("_metadata.file_path", _SOURCE, 1).cast("int").alias("year"),
-                F.regexp_extract("_metadata.file_path", _SOURCE, 2).cast("int").alias("month"),
-            )
+        part = lambda i: F.regexp_extract("path", _SOURCE, i).cast("int")
+        files = (
+            house.spark.readStream.format("binaryFile")
+            .schema(_FILE)
+            .option("pathGlobFilter", "*.parquet")
+            .load(f"{landing}/{source_glob(service)}")
+            .select(part(1).alias("year"), part(2).alias("month"))
         )
 
         def load_batch(batch: DataFrame, _: int, service: str = service) -> None:
@@ -60,7 +60,7 @@ def ingest(
             if months:
                 load(house, landing, service, months, force=True)
 
-        _run(paths, load_batch, f"{checkpoint}/{service}")
+        _run(files, load_batch, f"{checkpoint}/{service}")
 
 
 def hourly_demand(
@@ -123,7 +123,7 @@ def append_and_recompute(house: Warehouse, trips: DataFrame, checkpoint: str) ->
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = facts.fact_trips(batch).withColumn("batch_id", F.lit(batch_id))
-        house.overwrite("fact_trips", rows, ["batch_id", *FACT_PARTITIONS])
+        house.overwrite("fact_trips", rows, ["batch_id", *FACT_PARTITIONS], clustered=True)
         written = house.read("fact_trips").filter(F.col("batch_id") == batch_id)
         month = temporal.month_of_key(F.col("pickup_date_key"))
         touched = written.select(
