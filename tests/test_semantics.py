@@ -227,6 +227,19 @@ def test_strict_and_tolerant_services(spark):
         normalize.conform(yellow, "yellow").collect()
 
 
+def test_amounts_that_do_not_fit_are_rejected(spark):
+    raw = spark.createDataFrame(
+        [(1, "2024-01-01", 99999999.99), (2, "2024-01-01", 99999999.995),
+         (3, "2024-01-01", float("nan")), (4, "2024-01-01", None), (5, "2024-01-01", -1e9)],
+        "VendorID int, tpep_pickup_datetime string, total_amount double",
+    )
+    good, bad = normalize.split_rejects(raw, "yellow")
+    assert sorted(r.VendorID for r in bad.collect()) == [2, 5]
+    kept = normalize.conform(good, "yellow", strict=False).collect()
+    assert sorted((r.vendor_id, r.total_amount) for r in kept if r.total_amount) == [
+        (1, Decimal("99999999.99"))]
+
+
 def test_views_are_registered(spark):
     names = marts.create_views(star(spark, trip()), date(2024, 1, 1), prefix="t_")
     assert len(names) == 13

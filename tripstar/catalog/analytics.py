@@ -36,7 +36,7 @@ def _on_fact(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _on_trips(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(testdata.trips(spark, sf_dir))
+    return lambda spark, sf_dir: build(stored.trips(spark, sf_dir))
 
 
 def _incremental(fact: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def _members(name: str, **roles: str) -> Query:
 
 def _dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("pickup_datetime").cast("date")
-    bounds = testdata.trips(spark, sf_dir).agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    bounds = stored.trips(spark, sf_dir).agg(F.min(day).alias("first"), F.max(day).alias("last"))
     calendar = dimensions.calendar_between(bounds)
     return dimensions.member_usage(calendar, stored.fact(spark, sf_dir), {"trips": "pickup_date_key"})
 

@@ -108,7 +108,7 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _conformed(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     good, _ = normalize.split_rejects(stored.raw(spark, sf_dir, service), service)
-    return normalize.conform(good, service).drop("trip_id", "processed_at")
+    return normalize.conform(good, service, strict=False).drop("trip_id", "processed_at")
 
 
 def _normalized(service: str) -> Query:
@@ -155,7 +155,7 @@ def correct_numeric_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_invalid_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.filter_invalid_trips(testdata.trips(spark, sf_dir)).select(
+    return normalize.filter_invalid_trips(stored.trips(spark, sf_dir)).select(
         "trip_id", "file_type", "fare_amount", "trip_distance", "passenger_count"
     )
 
@@ -201,7 +201,7 @@ def load_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps of a fact build over the whole trip table, with the rows each wrote."""
     house = _house(spark)
-    house.overwrite("trip_data", testdata.trips(spark, sf_dir), PARTITIONS)
+    house.overwrite("trip_data", stored.trips(spark, sf_dir), PARTITIONS)
     return loads.build_facts(house).select("fact_table_name", "status", "record_count")
 
 
@@ -288,7 +288,7 @@ def audit_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Required columns of the fact, and of the conformed trips before the pickup filter."""
-    trips = testdata.trips(spark, sf_dir)
+    trips = stored.trips(spark, sf_dir)
     return audits.not_null_violations(
         "fact_trips", facts.fact_trips(trips), audits.FACT_REQUIRED
     ).unionByName(
@@ -334,7 +334,7 @@ def _staged(spark: SparkSession, rows: DataFrame, by: list[str], files: int) ->
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip ids kept when trips arrive in several batches and ids repeat across them."""
-    trips = testdata.trips(spark, sf_dir).filter(F.col("pickup_datetime").isNotNull())
+    trips = stored.trips(spark, sf_dir).filter(F.col("pickup_datetime").isNotNull())
     stream = _staged(spark, trips.select("trip_id", "pickup_datetime"), ["pickup_datetime"], 3)
     house = _house(spark)
     jobs.append_new(house, stream, "trips", "trip_id", scratch_dir(spark, "checkpoint"))
@@ -343,7 +343,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_late_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily aggregate after trips arrived by file month, strays included."""
-    trips = testdata.trips(spark, sf_dir)
+    trips = stored.trips(spark, sf_dir)
     stream = _staged(spark, trips, ["year", "month"], 3)
     house = _house(spark)
     jobs.append_and_recompute(house, stream, scratch_dir(spark, "checkpoint"))

@@ -1,7 +1,7 @@
 """Tables the registered queries share, written once per session.
 
-Marts read a stored fact, and normalisation reads stored raw files, as they do in
-a warehouse. Both are made by Spark from the whole test tables.
+Summaries and marts read stored trips and a stored fact, and normalisation reads
+stored raw files, as they do in a warehouse. Both are made by Spark from the whole test tables.
 """
 
 from __future__ import annotations
@@ -50,17 +50,19 @@ def _stored(
     return spark.read.parquet(stored_path(spark, sf_dir, name, write))
 
 
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "trips", lambda: testdata.trips(spark, sf_dir))
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(
-        spark, sf_dir, "fact", lambda: facts.fact_trips(testdata.trips(spark, sf_dir))
-    )
+    return _stored(spark, sf_dir, "fact", lambda: facts.fact_trips(trips(spark, sf_dir)))
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    trips = fact(spark, sf_dir)
+    fact_trips = fact(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir, _paths[_key(spark, sf_dir, "fact")])
     if key not in _stars:
-        _stars[key] = dimensions.build_star(spark, trips, *CALENDAR)
+        _stars[key] = dimensions.build_star(spark, fact_trips, *CALENDAR)
     return _stars[key]
 
 

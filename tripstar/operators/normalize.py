@@ -108,15 +108,16 @@ def conform(
     service: str,
     processed_at: Column | None = None,
     keep_without_pickup: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Raw rows of one service as conformed trips.
 
     ``year``, ``month`` and ``trip_id`` are taken from the rows where a scan added
     them. Rows without a readable pickup time are dropped. A value the service
-    reads strictly and that does not convert fails the job: run
-    :func:`split_rejects` first to set such rows aside.
+    reads strictly and that does not convert fails the job; rows that went through
+    :func:`split_rejects` hold no such value and need no second test (``strict=False``).
     """
-    values = {name: value for name, value, _ in _converted(raw, service, strict=True)}
+    values = {name: value for name, value, _ in _converted(raw, service, strict)}
     columns = []
     for field in CONFORMED.fields:
         if field.name == "file_type":
@@ -153,7 +154,7 @@ def _converted(
         tolerant = isinstance(dtype, (T.TimestampNTZType, T.StringType)) or (
             target in TOLERANT_INTEGERS[service]
         )
-        failed = None if tolerant else present.isNotNull() & value.isNull()
+        failed = None if tolerant else _failed(present, field.dataType, value, dtype)
         if strict and failed is not None:
             message = F.concat(F.lit(f"{source} does not convert: "), present.cast("string"))
             value = F.when(failed, F.raise_error(message)).otherwise(value)
@@ -161,6 +162,14 @@ def _converted(
     return out
 
 
+def _failed(present: Column, source: T.DataType, value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.DecimalType) and isinstance(source, (T.FloatType, T.DoubleType)):
+        # a float fails only by its size, which is cheaper to test than to convert
+        limit = 10.0 ** (dtype.precision - dtype.scale) - 0.5 * 10.0**-dtype.scale
+        return present.isNotNull() & (F.abs(present) >= limit)
+    return present.isNotNull() & value.isNull()
+
+
 def _failures(raw: DataFrame, service: str) -> list[tuple[str, Column]]:
     converted = _converted(raw, service, strict=False)
     # for-hire files have no strictly read column, so nothing can fail

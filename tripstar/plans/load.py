@@ -87,7 +87,8 @@ def load(
     try:
         raw = read_raw(house.spark, landing, service, wanted)
         good, rejected = split_rejects(raw, service)
-        house.overwrite("trip_data", conform(good, service, processed_at), PARTITIONS, clustered=True)
+        trips = conform(good, service, processed_at, strict=False)
+        house.overwrite("trip_data", trips, PARTITIONS, clustered=True)
         set_aside = rejected.select(
             F.lit(service).alias("file_type"), "year", "month", "trip_id", "bad_columns",
             F.to_json(F.struct(*[c for c in raw.columns if c not in PARTITIONS])).alias("row"),

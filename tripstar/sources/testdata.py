@@ -2,7 +2,7 @@
 
 ``lineitem`` becomes a conformed trip table with every edge case the operators
 must handle (missing times, zero fares, unknown and orphan places, repeated
-ids, trips outside their file's month). ``RETURN FLAG`` A, N, R stand for the
+ids, trips outside their file's month). Return flags A, N and R stand for the
 yellow, green and for-hire services.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar.schemas import CONFORMED, LINEAGE, PARTITIONS
+from tripstar.schemas import CONFORMED, PARTITIONS
 
 PROCESSED_AT = "2025-01-01 00:00:00"
 
@@ -252,8 +252,3 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
 def _base(column: str) -> Column:
     return F.concat(F.lit("B"), F.lpad(F.col(column).cast("string"), 5, "0"))
 
-
-__all__ = [
-    "LINEAGE", "file_events", "raw", "raw_high_volume", "route_versions", "run_log", "table",
-    "trips", "trips_from", "write_landing",
-]
