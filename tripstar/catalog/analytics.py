@@ -12,7 +12,7 @@ from tripstar.catalog.oracle_base import AS_OF
 from tripstar.operators import facts, summaries
 from tripstar.plans import airports, headlines, heatmap, marts, routes, trends
 from tripstar.session import scratch_dir
-from tripstar.sources import dimensions, exports, testdata
+from tripstar.sources import dimensions, exports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
