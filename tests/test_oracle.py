@@ -6,9 +6,10 @@ import pytest
 from oracle_compare import connect, differences
 
 import __spark_entry__ as driver
+from tripstar.catalog.registry import all_checks, all_queries
 
-QUERIES = driver.queries()
-CHECKS = driver.oracle_sql()
+QUERIES = all_queries()
+CHECKS = all_checks()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,8 @@ def duck(sf_dir):
 def test_every_query_has_a_check():
     assert len(QUERIES) == 105
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(CHECKS) <= set(driver.oracle_sql())
 
 
 def test_entry_runs(spark):
