@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripstar.llm.line_quality import op4_line_quality
+from tripstar.llm.mixing import op2_mix_sources
 from tripstar.llm.oracle import CHECKS
 from tripstar.llm.packing import op6_best_fit_packing
+from tripstar.llm.token_rollups import op9_token_rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_mix_sources,
+        op4_line_quality,
         op6_best_fit_packing,
+        op9_token_rollups,
     )
 }
 

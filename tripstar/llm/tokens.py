@@ -110,3 +110,45 @@ def in_batches(texts: list[str], n_chars: int = 1_000_000):
 def encoder(ranks: str, end_of_text: int | None = None) -> Encoder:
     """One encoder per worker process and vocabulary."""
     return Encoder(ranks, end_of_text)
+
+
+class Counter:
+    """Token counts of texts under several vocabularies at once.
+
+    Parts are looked up once; what is kept for a part is its counts packed into one integer,
+    ``BITS`` bits each, so that the counts of a text are one sum.
+    """
+
+    BITS = 40
+
+    def __init__(self, ranks: tuple[str, ...], cached_parts: int = CACHED_PARTS):
+        self.encodings = [Encoder(name, None).encoding for name in ranks]
+        self.cached_parts = cached_parts
+        self.parts: dict[str, int] = {}
+
+    def _one(self, text: str) -> int:
+        return sum(len(e.encode_ordinary(text)) << (self.BITS * i) for i, e in enumerate(self.encodings))
+
+    def count(self, text: str) -> list[int]:
+        """Number of tokens under each vocabulary; special tokens are ordinary text."""
+        if _ADJACENT.search(text):
+            parts = [p[1:] if k else p for k, p in enumerate(_CUT.split(text))]
+        else:
+            parts = text.split(" ")
+        total = self._one(parts[0])
+        del parts[0]
+        found = list(map(self.parts.get, parts))
+        if None in found:
+            fresh = {p: self._one(" " + p) for p, n in zip(parts, found, strict=True) if n is None}
+            if len(self.parts) + len(fresh) <= self.cached_parts:
+                self.parts.update(fresh)
+            found = [fresh[p] if n is None else n for p, n in zip(parts, found, strict=True)]
+        total += sum(found)
+        mask = (1 << self.BITS) - 1
+        return [total >> (self.BITS * i) & mask for i in range(len(self.encodings))]
+
+
+@lru_cache(maxsize=2)
+def counter(ranks: tuple[str, ...]) -> Counter:
+    """One counter per worker process and set of vocabularies."""
+    return Counter(ranks)
