@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripstar.llm.line_quality import op4_line_quality
 from tripstar.llm.mixing import op2_mix_sources
+from tripstar.llm.ngram_join import op8_ngram_jaccard_join
 from tripstar.llm.oracle import CHECKS
 from tripstar.llm.packing import op6_best_fit_packing
 from tripstar.llm.token_rollups import op9_token_rollups
@@ -20,6 +21,7 @@ QUERIES: dict[str, Query] = {
         op2_mix_sources,
         op4_line_quality,
         op6_best_fit_packing,
+        op8_ngram_jaccard_join,
         op9_token_rollups,
     )
 }
