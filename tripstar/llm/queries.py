@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripstar.llm.line_dedup import op10_line_dedup
 from tripstar.llm.line_quality import op4_line_quality
 from tripstar.llm.mixing import op2_mix_sources
 from tripstar.llm.ngram_join import op8_ngram_jaccard_join
@@ -23,6 +24,7 @@ QUERIES: dict[str, Query] = {
         op6_best_fit_packing,
         op8_ngram_jaccard_join,
         op9_token_rollups,
+        op10_line_dedup,
     )
 }
 
