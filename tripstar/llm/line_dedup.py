@@ -239,6 +239,13 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     return found.withColumn("text", F.when(F.col("text").isNotNull(), text)).select(*docs.columns)
 
 
+def without_duplicate_lines(docs: DataFrame) -> DataFrame:
+    """Deduplicated documents, ``n_chars`` brought up to date; those that lose all lines go."""
+    before = docs.withColumn("__had", F.btrim(F.coalesce("text", F.lit("")), F.lit(SPACES)) != "")
+    after = dedup_lines(before).where(~F.col("__had") | (F.btrim("text", F.lit(SPACES)) != ""))
+    return after.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = _with_places(docs, LineDedup(docs).places())

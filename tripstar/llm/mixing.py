@@ -25,7 +25,7 @@ from collections import defaultdict, deque
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar.llm.common import n_words, splits, stored, table
+from tripstar.llm.common import n_words, splits, stored, table, words
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -164,9 +164,10 @@ def mix(sized: DataFrame, make_quotas, passes: int = PASSES) -> DataFrame:
     return placed.withColumn("taken", taken.cast("long")).drop("range", "start", "before", "flow", "pattern_size")
 
 
-def sized_documents(docs: DataFrame, members: Column, seed: int = SEED) -> DataFrame:
-    """Rows that ``mix`` takes, with the word count of whole texts."""
+def sized_documents(docs: DataFrame, members: Column, seed: int = SEED, carry: bool = False) -> DataFrame:
+    """Rows that ``mix`` takes, with the word count of whole texts; ``row`` carries the input's."""
     return docs.select(
+        *([F.struct(*docs.columns).alias("row")] if carry else []),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.array_sort(F.array_distinct(members)).alias("members"),
         n_words(F.col("text")).alias("size"),
@@ -174,10 +175,9 @@ def sized_documents(docs: DataFrame, members: Column, seed: int = SEED) -> DataF
     )
 
 
-def mix_by_weight(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target and taken, for documents of one source each."""
-    spark = docs.sparkSession
-    sized = stored(sized_documents(docs, F.array(F.col("source")), seed), "mixing-sizes")
+def mix_by_weight(sized: DataFrame) -> DataFrame:
+    """Add source_size, target and taken to sized documents of one source each."""
+    spark = sized.sparkSession
     plan: list[tuple[str | None, int, float]] = []
 
     def quotas(sizes: dict) -> dict:
@@ -187,10 +187,24 @@ def mix_by_weight(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
     mixed = mix(sized, quotas)
     targets = spark.createDataFrame(plan, "source string, source_size long, target double")
-    return mixed.join(targets, mixed["members"][0].eqNullSafe(targets["source"])).select(
-        "doc_id", "size", "source_size", "target", "taken"
+    return mixed.join(targets, mixed["members"][0].eqNullSafe(targets["source"])).drop("source")
+
+
+def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """The rows the mix takes: once for each pass, the last one of a quota cut to its words."""
+    mixed = mix_by_weight(sized_documents(docs, F.array(F.col("source")), seed, carry=True))
+    whole, rest = F.expr("CAST(taken DIV size AS INT)"), F.col("taken") % F.col("size")
+    parts = F.concat(
+        F.array_repeat(F.lit(None).cast("int"), whole), F.when(rest > 0, F.array(rest.cast("int"))).otherwise(F.array())
+    )
+    taken = mixed.where("taken > 0").select("row", F.explode(parts).alias("cut"))
+    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(
+        F.array_join(F.slice(words(F.col("row.text")), F.lit(1), F.col("cut")), " ")
     )
+    return taken.withColumn("row", F.col("row").withField("text", text)).select("row.*")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_by_weight(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    sized = stored(sized_documents(docs, F.array(F.col("source"))), "mixing-sizes")
+    return mix_by_weight(sized).select("doc_id", "size", "source_size", "target", "taken")

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripstar.llm.common import stored, table
@@ -303,5 +303,18 @@ def ngram_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
     return NgramJoin(docs, width, percent).run()
 
 
+def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows whose id is the least of their component; rows without id stay.
+
+    Rows repeating both id and text are kept once.
+    """
+    found = ngram_components(docs, width, percent)
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    place = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    once = kept.withColumn("__place", F.row_number().over(place)).where("__place = 1 OR doc_id IS NULL")
+    return once.select(*docs.columns)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), width=3, percent=90)

@@ -13,6 +13,7 @@ from tripstar.llm.ngram_join import op8_ngram_jaccard_join
 from tripstar.llm.oracle import CHECKS
 from tripstar.llm.packing import op6_best_fit_packing
 from tripstar.llm.token_rollups import op9_token_rollups
+from tripstar.llm.toxicity import op3_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_mix_sources,
+        op3_toxicity,
         op4_line_quality,
         op6_best_fit_packing,
         op8_ngram_jaccard_join,
