@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -21,6 +32,7 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     Cuts the lineage: a later stage, or a retry after a lost executor, reads the files.
     """
     spark = rows.sparkSession
+    reachable(spark)
     path = scratch_dir(spark, purpose)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

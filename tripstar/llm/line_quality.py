@@ -45,7 +45,7 @@ def _count(text: Column, chars: str) -> Column:
 def line_passes(line: Column) -> Column:
     """Whether a line that holds a word stays."""
     lower = F.lower(F.trim(line))
-    ends = line.rlike(r"[.!?…:;][\"'»”)\]]*[\x20\x09-\x0D]*$")
+    ends = line.rlike(r"[.!?…:;][\"'»”)\]]*[\x20\x09-\x0D]*\z")
     shouts = F.regexp_count(line, F.lit(r"!!")) * 20 > F.char_length(line)
     noise = _count(line, SYMBOLS) * 20 > F.char_length(line)
     menu = (_count(line, "|") >= 2) | lower.contains(" » ") | lower.isin(MENU_WORDS)

@@ -8,10 +8,13 @@ equal sets are one node, so copies are never compared.
    both sets, their prefix. Shingles that only one prefix holds are dropped. A node's lonely
    prefix shingles bound its overlap with any node whose prefix reaches further, so most
    pairs of heavily edited copies are never formed.
-2. *Stars.* Each node is compared with one hub, the least edited node it shares most with.
+2. *Stars.* Each node is compared with one hub, a node of many common shingles that it
+   shares most with.
 3. *Across components.* Pairs of nodes that are still in different components are formed
    from the shared shingles and compared; pairs inside a component need no test, since
-   only components are asked for.
+   only components are asked for. Two nodes of one hub that differ too much from it can
+   only be linked by shingles that the hub lacks, so a group of heavily edited copies is
+   not paired through what all of them have from their source.
 4. *Vertical partitioning.* The order is cut into fragments at pivots of equal mass. Only
    nodes in a candidate pair send their fragments; the overlap of a pair is counted in each
    fragment by itself, and the counts are summed per pair.
@@ -29,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripstar.llm.common import stored, table
@@ -176,30 +179,44 @@ class NgramJoin:
         return self.docs.select("text").mapInArrow(run, "token long, node binary, n long, last long")
 
     def shared(self) -> DataFrame:
-        """Stored prefix rows whose token is in another prefix too, with the node's lonely tokens."""
+        """Stored prefix rows whose token is in another prefix too.
+
+        ``lonely`` counts the node's other prefix tokens, ``known`` tells how common its
+        prefix tokens are.
+        """
         rows = self.prefixes()
         common = (
-            rows.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("token")
+            rows.groupBy("token")
+            .agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("common"))
+            .where("a <> b")
+            .select("token", "common")
         )
         kept = stored(rows.join(common, "token").distinct(), "ngram-shared")
-        prefix = F.col("n") - F.ceil(F.col("n") * self.percent / F.lit(100)) + 1
-        lonely = kept.groupBy("node").agg((F.max(prefix) - F.count("*")).alias("lonely"))
-        return stored(kept.join(lonely, "node"), "ngram-shared")
+        own = kept.groupBy("node").agg(
+            (F.max(self.prefix_length("n")) - F.count("*")).alias("lonely"), F.sum("common").alias("known")
+        )
+        return stored(kept.drop("common").join(own, "node"), "ngram-shared")
 
-    def possible(self, x: str, y: str) -> str:
-        """SQL: rows x and y may reach the threshold by their sizes and lonely tokens.
+    def prefix_length(self, n: str) -> Column:
+        return F.col(n) - F.ceil(F.col(n) * self.percent / F.lit(100)) + 1
 
-        The node whose prefix ends first cannot share its lonely tokens with the other.
+    def possible(self, x: str, y: str, unmet: str = "lonely") -> str:
+        """SQL: rows x and y may reach the threshold by their sizes and unmet prefix tokens.
+
+        The node whose prefix ends first cannot share its unmet tokens with the other.
         """
         p = self.percent
         need = f"({p} * ({x}.n + {y}.n)) / {100 + p}D"
         return (
-            f"least({x}.n, {y}.n) * 100 >= greatest({x}.n, {y}.n) * {p} AND "
-            f"CASE WHEN {x}.last <= {y}.last THEN {x}.n - {x}.lonely ELSE {y}.n - {y}.lonely END >= {need} - 1e-6"
+            f"(least({x}.n, {y}.n) * 100 >= greatest({x}.n, {y}.n) * {p} AND "
+            f"CASE WHEN {x}.last <= {y}.last THEN {x}.n - {x}.{unmet} ELSE {y}.n - {y}.{unmet} END >= {need} - 1e-6)"
         )
 
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (u, v), u < v, that reach the threshold, stored."""
+        """The pairs (u, v[, last]) with their overlap, stored; ``hit`` if they reach the threshold.
+
+        ``met`` are the common tokens up to ``last``, none without that column.
+        """
         width, order, bits = self.width, self.order, FLAG_BITS
         wanted = pairs.select("u").union(pairs.select("v")).distinct()
 
@@ -216,7 +233,7 @@ class NgramJoin:
         for row in wanted.mapInArrow(mark, "flags binary").toLocalIterator():
             flags |= np.frombuffer(row.flags, dtype=np.uint8)
         if not flags.any():
-            return pairs
+            return pairs.selectExpr("u", "v", "0L AS n_u", "0L AS n_v", "0L AS both", "array(0L) AS met", "false AS hit")
         marked = self.spark.sparkContext.broadcast(flags)
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,56 +259,69 @@ class NgramJoin:
         sets = stored(sets, "ngram-fragments")
         left = sets.selectExpr("node AS u", "n AS n_u", "fragment", "tokens AS tokens_u")
         right = sets.selectExpr("node AS v", "n AS n_v", "fragment", "tokens AS tokens_v")
-        overlaps = (
-            pairs.select("u", "v")
+        last = F.col("last") if "last" in pairs.columns else F.lit(None).cast("long")
+        common = (
+            pairs.select("u", "v", last.alias("last"))
             .join(left, "u")
             .join(right, ["v", "fragment"])
-            .select("u", "v", "n_u", "n_v", F.size(F.array_intersect("tokens_u", "tokens_v")).cast("long").alias("both"))
+            .withColumn("common", F.array_intersect("tokens_u", "tokens_v"))
+        )
+        total = common.groupBy("u", "v", "n_u", "n_v").agg(
+            F.sum(F.size("common").cast("long")).alias("both"),
+            F.flatten(F.collect_list(F.filter("common", lambda t: t <= F.col("last")))).alias("met"),
         )
-        total = overlaps.groupBy("u", "v", "n_u", "n_v").agg(F.sum("both").alias("both"))
         hit = F.col("both") * 100 >= self.percent * (F.col("n_u") + F.col("n_v") - F.col("both"))
-        return stored(total.where(hit).select("u", "v"), "ngram-links")
+        return stored(total.withColumn("hit", hit), "ngram-overlaps")
 
-    def run(self) -> DataFrame:
-        """doc_id, n_shingles and component_id of each row."""
-        rows = self.sets()
-        shared = self.shared()
-        hubs = shared.groupBy("token").agg(F.min(F.struct("lonely", "node", "n", "last")).alias("h"))
+    def stars(self, shared: DataFrame) -> DataFrame:
+        """Stored pairs of a node u and its hub v, with the last token of u's prefix."""
+        hubs = shared.groupBy("token").agg(F.max(F.struct("known", "node", "n", "last", "lonely")).alias("h"))
         met = (
             shared.alias("x")
             .join(hubs.select("token", "h.*").alias("h"), "token")
             .where("x.node <> h.node")
             .where(self.possible("x", "h"))
-            .groupBy("x.node", F.col("h.node").alias("hub"), "h.lonely")
+            .groupBy("x.node", "x.last", F.col("h.node").alias("hub"), F.col("h.known").alias("hub_known"))
             .agg(F.count("*").alias("n_met"))
         )
-        best = met.groupBy("node").agg(F.max_by("hub", F.struct("n_met", -F.col("lonely"), "hub")).alias("hub"))
-        stars = stored(
-            best.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct(), "ngram-pairs"
-        )
-        links = self.linked(stars)
-        known = components(links)
-
-        named = shared.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = (
-            named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+        best = met.groupBy("node", "last").agg(F.max_by("hub", F.struct("n_met", "hub_known", "hub")).alias("hub"))
+        return stored(best.selectExpr("node AS u", "hub AS v", "last"), "ngram-stars")
+
+    def across(self, shared: DataFrame, compared: DataFrame, known: DataFrame) -> DataFrame:
+        """Stored pairs of nodes in different components that may reach the threshold."""
+        tried = compared.select(F.col("u").alias("node"), F.col("v").alias("hub"), "met")
+        in_hub = tried.select("node", F.explode("met").alias("token"), F.lit(True).alias("in_hub"))
+        apart = tried.select("node", "hub", F.size("met").alias("n_met"))
+        named = (
+            shared.join(known, "node", "left")
+            .join(apart, "node", "left")
+            .join(in_hub, ["node", "token"], "left")
+            .withColumn("component", F.coalesce("component", "node"))
+            .withColumn("foreign", F.coalesce(self.prefix_length("n") - F.col("n_met"), "lonely"))
         )
+        split = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
         open_rows = stored(named.join(split.select("token"), "token"), "ngram-open")
-        across = (
-            open_rows.alias("x")
-            .join(open_rows.alias("y"), F.expr("x.token = y.token AND x.node < y.node AND x.component <> y.component"))
-            .where(self.possible("x", "y"))
-            .select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))
-            .distinct()
-            .join(stars, ["u", "v"], "left_anti")
+        # by a token of their common hub, only if that hub's tokens may do
+        rule = (
+            "x.token = y.token AND x.node < y.node AND x.component <> y.component AND "
+            f"{self.possible('x', 'y')} AND (NOT x.hub <=> y.hub OR x.hub IS NULL OR x.in_hub IS NULL "
+            f"OR {self.possible('x', 'y', 'foreign')})"
         )
-        more = self.linked(stored(across, "ngram-pairs"))
-        final = components(links.unionByName(more))
+        pairs = open_rows.alias("x").join(open_rows.alias("y"), F.expr(rule))
+        pairs = pairs.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
+        tested = compared.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        return stored(pairs.join(tested, ["u", "v"], "left_anti"), "ngram-pairs")
 
-        joined = rows.join(final, "node", "left")
+    def run(self) -> DataFrame:
+        """doc_id, n_shingles and component_id of each row."""
+        rows = self.sets()
+        shared = self.shared()
+        compared = self.linked(self.stars(shared))
+        links = compared.where("hit").select("u", "v")
+        more = self.linked(self.across(shared, compared, components(links))).where("hit")
+        final = components(links.unionByName(more.select("u", "v")))
         # a row without a link is its own component; copies share their node
-        name = F.coalesce("component", "node")
-        joined = joined.withColumn("name", name)
+        joined = rows.join(final, "node", "left").withColumn("name", F.coalesce("component", "node"))
         least = joined.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("component_id"))
         return joined.join(least, "name", "left").select(
             "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
