@@ -33,8 +33,9 @@ EDITS = 2
 MIN_CHARS = 30
 BROADCAST_LINES = 1_000_000  # ids of candidate lines, 16 bytes each; beyond it they are joined
 
-# Four classes of frequent letters, in both cases.
-LETTER_CLASSES = ["eEtT", "aAoO", "iInN", "sSrRhH"]
+# Letters whose counts two lines are held against first.
+LETTERS = ["e", "t", "n", "a", "s", "o"]
+_COUNT_BITS = 10
 _BAND_BITS = 32
 
 
@@ -89,22 +90,24 @@ def probe_keys(edits: int) -> str:
 
 
 def _letters() -> str:
-    """SQL: counts of the letter classes, 15 bits each (they wrap together for longer lines)."""
+    """SQL: the letter counts of a line, 10 bits each; they wrap for long lines."""
+    full = (1 << _COUNT_BITS) - 1
     counts = [
-        f"shiftleft(CAST((n - char_length(translate(line, '{c}', ''))) & 32767 AS BIGINT), {15 * k})"
-        for k, c in enumerate(LETTER_CLASSES)
+        f"shiftleft(CAST((n - char_length(replace(line, '{c}', ''))) & {full} AS BIGINT), {_COUNT_BITS * k})"
+        for k, c in enumerate(LETTERS)
     ]
     return " | ".join(counts)
 
 
 def _close(edits: int) -> str:
-    """SQL: the class counts of x and y differ by no more than edits allow."""
+    """SQL: the letter counts of x and y differ by no more than edits allow."""
+    full = (1 << _COUNT_BITS) - 1
     apart = []
-    for k in range(len(LETTER_CLASSES)):
-        a, b = (f"(shiftright({s}.letters, {15 * k}) & 32767)" for s in "xy")
+    for k in range(len(LETTERS)):
+        a, b = (f"(shiftright({s}.letters, {_COUNT_BITS * k}) & {full})" for s in "xy")
         apart.append(f"abs({a} - {b})")
-    # an edit changes two counts by one at most; a wrapped count only lets a pair pass
-    wrapped = " OR ".join(f"{d} > 16384" for d in apart)
+    # an edit changes two counts by one at most; a count that may have wrapped lets a pair pass
+    wrapped = " OR ".join(f"{d} > {full - 2 * edits}" for d in apart)
     return f"({' + '.join(apart)} <= {2 * edits} OR {wrapped})"
 
 
@@ -113,10 +116,10 @@ def _let(value: str, name: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def banded_distance(edits: int) -> str:
-    """SQL: edit distance of the character arrays xs and ys if at most ``edits``, else more.
+def banded_distance(longer: str, shorter: str, edits: int) -> str:
+    """SQL: edit distance of two texts if at most ``edits``, else more.
 
-    xs is the longer one, holds more than ``edits`` characters and gives the rows. Column
+    The longer one holds more than ``edits`` characters and gives the rows. Column
     after column, bit 31 - k stands for row j + edits - k; a set bit of vp (vn) says that the
     row is one more (less) than the row above it. The last row of the band is followed down
     the diagonal while there are rows, then along the bottom row.
@@ -124,21 +127,24 @@ def banded_distance(edits: int) -> str:
     top, mask = _BAND_BITS - 1, f"{(1 << _BAND_BITS) - 1}L"
     start = f"{((1 << (edits + 1)) - 1) << (top - edits)}L"
     match = " | ".join(
-        f"IF(get(xs, j - 1 + {edits - k}) <=> get(ys, j - 1), {1 << (top - k)}L, 0L)" for k in range(2 * edits + 1)
+        f"IF(get(t.xs, j - 1 + {edits - k}) <=> c, {1 << (top - k)}L, 0L)" for k in range(2 * edits + 1)
     )
     d0 = f"((((m & s.vp) + s.vp) ^ s.vp) | m | s.vn) & {mask}"
     hp, hn = f"(s.vn | (~(d0 | s.vp) & {mask}))", "(d0 & s.vp)"
     half = "shiftrightunsigned(d0, 1)"
-    mark = f"shiftleft(1L, greatest({top} - (j + {edits} - size(xs)), 0))"
+    mark = f"shiftleft(1L, greatest({top} - (j + {edits} - size(t.xs)), 0))"
     step = f"""named_struct(
         'vp', {hn} | (~({half} | {hp}) & {mask}),
         'vn', {half} & {hp},
-        'd', s.d + CASE WHEN j + {edits} <= size(xs) THEN IF((d0 & {1 << top}L) = 0, 1, 0)
+        'd', s.d + CASE WHEN j + {edits} <= size(t.xs) THEN IF((d0 & {1 << top}L) = 0, 1, 0)
              ELSE IF(({hp} & {mark}) <> 0, 1, 0) - IF(({hn} & {mark}) <> 0, 1, 0) END)"""
-    return (
-        f"aggregate(sequence(1, size(ys)), named_struct('vp', {start}, 'vn', 0L, 'd', {edits}), "
-        f"(s, j) -> {_let(f'({match})', 'm', _let(d0, 'd0', step))}, s -> s.d)"
+    column = _let("get(t.ys, j - 1)", "c", _let(f"({match})", "m", _let(d0, "d0", step)))
+    run = (
+        f"aggregate(sequence(1, size(t.ys)), named_struct('vp', {start}, 'vn', 0L, 'd', {edits}), "
+        f"(s, j) -> {column}, s -> s.d)"
     )
+    # bound to a name, the characters are split once
+    return _let(f"named_struct('xs', split({longer}, ''), 'ys', split({shorter}, ''))", "t", run)
 
 
 class LineDedup:
@@ -167,13 +173,9 @@ class LineDedup:
             .groupBy("h1", "h2")
             .agg(F.first("line").alias("line"), F.first("n").alias("n"))
         )
-        keyed = lines.selectExpr(
-            "h1", "h2", f"{_letters()} AS letters",
-            f"transform({index_keys(self.edits)}, k -> struct(k AS key, true AS own)) AS own",
-            f"transform({probe_keys(self.edits)}, k -> struct(k AS key, false AS own)) AS probes",
-        ).selectExpr("h1", "h2", "letters", "explode(concat(own, probes)) AS k")
-        keyed = keyed.selectExpr("k.key", "k.own", "h1", "h2", "letters")
-        x, y = keyed.where("own").alias("x"), keyed.where("NOT own").alias("y")
+        keyed = lines.selectExpr("h1", "h2", "line", "n", f"{_letters()} AS letters")
+        x = keyed.selectExpr("h1", "h2", "letters", f"explode({index_keys(self.edits)}) AS key").alias("x")
+        y = keyed.selectExpr("h1", "h2", "letters", f"explode({probe_keys(self.edits)}) AS key").alias("y")
         met = x.join(y, F.expr(f"x.key = y.key AND (x.h1 <> y.h1 OR x.h2 <> y.h2) AND {_close(self.edits)}"))
         ends = met.selectExpr("struct(x.h1, x.h2) AS p", "struct(y.h1, y.h2) AS q")
         return stored(ends.selectExpr("least(p, q) AS a", "greatest(p, q) AS b").distinct(), "lines-pairs")
@@ -199,11 +201,11 @@ class LineDedup:
         swap = F.char_length("la") >= F.char_length("lb")
         both = both.select(
             F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("later"),
-            F.split(F.when(swap, F.col("la")).otherwise(F.col("lb")), "").alias("xs"),
-            F.split(F.when(swap, F.col("lb")).otherwise(F.col("la")), "").alias("ys"),
-        )
-        close = both.where(f"size(xs) - size(ys) <= {self.edits}").where(f"{banded_distance(self.edits)} <= {self.edits}")
-        return close.select("later.h1", "later.h2").distinct()
+            F.when(swap, F.col("la")).otherwise(F.col("lb")).alias("longer"),
+            F.when(swap, F.col("lb")).otherwise(F.col("la")).alias("shorter"),
+        ).where(f"char_length(longer) - char_length(shorter) <= {self.edits}")
+        measured = both.select("later", F.expr(banded_distance("longer", "shorter", self.edits)).alias("d"))
+        return measured.where(F.col("d") <= self.edits).select("later.h1", "later.h2").distinct()
 
     def places(self) -> DataFrame:
         """doc_id, th, the sorted places of the lines that stay, and the count of near ones."""
