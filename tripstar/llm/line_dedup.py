@@ -39,15 +39,14 @@ _COUNT_BITS = 10
 _BAND_BITS = 32
 
 
-def _lines(docs: DataFrame, with_line: bool) -> DataFrame:
-    """doc_id, th (hash of the text), pos, and the two hashes of each line that holds a word."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, th (hash of the text), pos, line, and its two hashes, for lines that hold a word."""
     rows = docs.selectExpr(
         "doc_id", "xxhash64(text) AS th", "posexplode(split(coalesce(text, ''), '\n')) AS (pos, raw)"
     ).withColumn("line", F.btrim("raw", F.lit(SPACES)))
-    rows = rows.where("line <> ''").selectExpr(
-        "doc_id", "th", "pos", "xxhash64(line) AS h1", "hash(line, 17) AS h2", *(["line"] if with_line else [])
+    return rows.where("line <> ''").selectExpr(
+        "doc_id", "th", "pos", "line", "xxhash64(line) AS h1", "hash(line, 17) AS h2"
     )
-    return rows
 
 
 def _segment(length: str, i: int, edits: int) -> tuple[str, str]:
@@ -138,10 +137,11 @@ def banded_distance(longer: str, shorter: str, edits: int) -> str:
         'vn', {half} & {hp},
         'd', s.d + CASE WHEN j + {edits} <= size(t.xs) THEN IF((d0 & {1 << top}L) = 0, 1, 0)
              ELSE IF(({hp} & {mark}) <> 0, 1, 0) - IF(({hn} & {mark}) <> 0, 1, 0) END)"""
+    # along the bottom row the distance falls by ``edits`` at most: beyond twice that nothing helps
     column = _let("get(t.ys, j - 1)", "c", _let(f"({match})", "m", _let(d0, "d0", step)))
     run = (
         f"aggregate(sequence(1, size(t.ys)), named_struct('vp', {start}, 'vn', 0L, 'd', {edits}), "
-        f"(s, j) -> {column}, s -> s.d)"
+        f"(s, j) -> IF(s.d > {2 * edits}, s, {column}), s -> s.d)"
     )
     # bound to a name, the characters are split once
     return _let(f"named_struct('xs', split({longer}, ''), 'ys', split({shorter}, ''))", "t", run)
@@ -158,43 +158,29 @@ class LineDedup:
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         self.edits, self.min_chars = edits, min_chars
 
-    def firsts(self) -> DataFrame:
-        """Stored h1, h2 and the first place of each distinct line."""
+    def distinct_lines(self) -> DataFrame:
+        """Stored h1, h2, first place, text and length of each distinct line."""
         place = F.struct("doc_id", "th", "pos")
-        found = _lines(self.docs, with_line=False).groupBy("h1", "h2").agg(F.min(place).alias("first"))
-        return stored(found, "lines-first")
+        found = _lines(self.docs).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("line").alias("line"))
+        return stored(found.withColumn("n", F.char_length("line")), "lines-distinct")
 
-    def candidates(self) -> DataFrame:
+    def candidates(self, lines: DataFrame) -> DataFrame:
         """Stored pairs (a, b) of line hashes that share a segment and have close letter counts."""
-        lines = (
-            _lines(self.docs, with_line=True)
-            .withColumn("n", F.char_length("line"))
-            .where(F.col("n") >= self.min_chars)
-            .groupBy("h1", "h2")
-            .agg(F.first("line").alias("line"), F.first("n").alias("n"))
-        )
-        keyed = lines.selectExpr("h1", "h2", "line", "n", f"{_letters()} AS letters")
+        keyed = lines.where(F.col("n") >= self.min_chars).selectExpr("h1", "h2", "line", "n", f"{_letters()} AS letters")
         x = keyed.selectExpr("h1", "h2", "letters", f"explode({index_keys(self.edits)}) AS key").alias("x")
         y = keyed.selectExpr("h1", "h2", "letters", f"explode({probe_keys(self.edits)}) AS key").alias("y")
         met = x.join(y, F.expr(f"x.key = y.key AND (x.h1 <> y.h1 OR x.h2 <> y.h2) AND {_close(self.edits)}"))
         ends = met.selectExpr("struct(x.h1, x.h2) AS p", "struct(y.h1, y.h2) AS q")
         return stored(ends.selectExpr("least(p, q) AS a", "greatest(p, q) AS b").distinct(), "lines-pairs")
 
-    def near(self, firsts: DataFrame) -> DataFrame:
+    def near(self, lines: DataFrame) -> DataFrame:
         """h1 and h2 of the distinct lines with an earlier line within the threshold."""
-        pairs = self.candidates()
+        pairs = self.candidates(lines)
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         ids = stored(ids.select("id.h1", "id.h2"), "lines-wanted")
         # a filter by so many ids needs no shuffle of the lines; more ids are joined
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_LINES else ids
-        texts = (
-            _lines(self.docs, with_line=True)
-            .join(wanted, ["h1", "h2"], "left_semi")
-            .groupBy("h1", "h2")
-            .agg(F.first("line").alias("line"))
-            .join(firsts, ["h1", "h2"])
-            .select(F.struct("h1", "h2").alias("id"), "line", "first")
-        )
+        texts = lines.join(wanted, ["h1", "h2"], "left_semi").select(F.struct("h1", "h2").alias("id"), "line", "first")
         texts = stored(texts, "lines-texts")
         both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("la"), F.col("first").alias("fa")), "a")
         both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb"), F.col("first").alias("fb")), "b")
@@ -209,10 +195,11 @@ class LineDedup:
 
     def places(self) -> DataFrame:
         """doc_id, th, the sorted places of the lines that stay, and the count of near ones."""
-        firsts = self.firsts()
-        near = stored(self.near(firsts), "lines-near").withColumn("is_near", F.lit(True))
+        lines = self.distinct_lines()
+        near = stored(self.near(lines), "lines-near").withColumn("is_near", F.lit(True))
         return (
-            firsts.join(near, ["h1", "h2"], "left")
+            lines.select("h1", "h2", "first")
+            .join(near, ["h1", "h2"], "left")
             .groupBy("first.doc_id", "first.th")
             .agg(
                 F.sort_array(F.collect_list(F.when(F.col("is_near").isNull(), F.col("first.pos")))).alias("kept"),
