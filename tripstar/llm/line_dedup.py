@@ -31,42 +31,42 @@ from tripstar.llm.common import SPACES, stored, table
 
 EDITS = 2
 MIN_CHARS = 30
-BROADCAST_LINES = 1_000_000  # ids of candidate lines, 16 bytes each; beyond it they are joined
+BROADCAST_LINES = 1_000_000  # hashes of candidate lines, 8 bytes each; beyond it they are joined
 
 # Letters whose counts two lines are held against first.
-LETTERS = ["e", "t", "n", "a", "s", "o"]
-_COUNT_BITS = 10
+LETTERS = ["e", "t", "n", "a", "s", "o", "i", "r"]
+_COUNT_BITS = 7
 _BAND_BITS = 32
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), pos, line, and its two hashes, for lines that hold a word."""
+def _lines(docs: DataFrame, with_line: bool = True) -> DataFrame:
+    """doc_id, th (hash of the text), pos, two hashes and the text of each line that holds a word."""
     rows = docs.selectExpr(
         "doc_id", "xxhash64(text) AS th", "posexplode(split(coalesce(text, ''), '\n')) AS (pos, raw)"
     ).withColumn("line", F.btrim("raw", F.lit(SPACES)))
     return rows.where("line <> ''").selectExpr(
-        "doc_id", "th", "pos", "line", "xxhash64(line) AS h1", "hash(line, 17) AS h2"
+        "doc_id", "th", "pos", "xxhash64(line) AS h1", "hash(line, 17) AS h2", *(["line"] if with_line else [])
     )
 
 
-def _segment(length: str, i: int, edits: int) -> tuple[str, str]:
-    """SQL for start (from 1) and length of segment i of a line of some length."""
-    n = edits + 1
-    base, longer = f"({length} DIV {n})", f"({length} % {n})"
-    plain = f"({n} - {longer})"  # this many segments of base length come first
-    return (
-        f"({i} * {base} + greatest({i} - {plain}, 0) + 1)",
-        f"({base} + IF({i} >= {plain}, 1, 0))",
-    )
+def segment_columns(edits: int) -> list[str]:
+    """SQL columns s{less}_{i} and z{less}_{i}: start (from 1) and length of segment i of a
+    line that is ``less`` characters shorter than n. They keep the keys' expressions short."""
+    columns = []
+    for less in range(edits + 1):
+        length = f"(n - {less})"
+        base, longer = f"CAST({length} DIV {edits + 1} AS INT)", f"({length} % {edits + 1})"
+        for i in range(edits + 1):
+            # the segments of base length come first
+            more = f"greatest({i} - ({edits + 1} - {longer}), 0)"
+            columns.append(f"{i} * {base} + {more} + 1 AS s{less}_{i}")
+            columns.append(f"{base} + IF({i} >= {edits + 1} - {longer}, 1, 0) AS z{less}_{i}")
+    return columns
 
 
 def index_keys(edits: int) -> str:
     """SQL array of the keys of a line's own segments."""
-    keys = []
-    for i in range(edits + 1):
-        start, size = _segment("n", i, edits)
-        keys.append(f"xxhash64(n, {i}, substring(line, CAST({start} AS INT), CAST({size} AS INT)))")
-    return f"array({', '.join(keys)})"
+    return f"array({', '.join(f'xxhash64(n, {i}, substring(line, s0_{i}, z0_{i}))' for i in range(edits + 1))})"
 
 
 def probe_keys(edits: int) -> str:
@@ -80,19 +80,16 @@ def probe_keys(edits: int) -> str:
         for i in range(edits + 1):
             low = max(-i, less - (edits - i))
             high = min(i, less + (edits - i))
-            start, size = _segment(f"(n - {less})", i, edits)
             for move in range(low, high + 1):
-                keys.append(
-                    f"xxhash64(n - {less}, {i}, substring(line, CAST({start} + ({move}) AS INT), CAST({size} AS INT)))"
-                )
+                keys.append(f"xxhash64(n - {less}, {i}, substring(line, s{less}_{i} + ({move}), z{less}_{i}))")
     return f"array({', '.join(keys)})"
 
 
 def _letters() -> str:
-    """SQL: the letter counts of a line, 10 bits each; they wrap for long lines."""
+    """SQL: the letter counts of a line, 7 bits each; they wrap for long lines."""
     full = (1 << _COUNT_BITS) - 1
     counts = [
-        f"shiftleft(CAST((n - char_length(replace(line, '{c}', ''))) & {full} AS BIGINT), {_COUNT_BITS * k})"
+        f"shiftleft(CAST((size(split(line, '{c}')) - 1) & {full} AS BIGINT), {_COUNT_BITS * k})"
         for k, c in enumerate(LETTERS)
     ]
     return " | ".join(counts)
@@ -158,35 +155,51 @@ class LineDedup:
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         self.edits, self.min_chars = edits, min_chars
 
-    def distinct_lines(self) -> DataFrame:
-        """Stored h1, h2, first place, text and length of each distinct line."""
+    def firsts(self) -> DataFrame:
+        """Stored h1, h2 and the first place of each distinct line; no text is shuffled."""
         place = F.struct("doc_id", "th", "pos")
-        found = _lines(self.docs).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("line").alias("line"))
-        return stored(found.withColumn("n", F.char_length("line")), "lines-distinct")
-
-    def candidates(self, lines: DataFrame) -> DataFrame:
-        """Stored pairs (a, b) of line hashes that share a segment and have close letter counts."""
-        keyed = lines.where(F.col("n") >= self.min_chars).selectExpr("h1", "h2", "line", "n", f"{_letters()} AS letters")
-        x = keyed.selectExpr("h1", "h2", "letters", f"explode({index_keys(self.edits)}) AS key").alias("x")
-        y = keyed.selectExpr("h1", "h2", "letters", f"explode({probe_keys(self.edits)}) AS key").alias("y")
-        met = x.join(y, F.expr(f"x.key = y.key AND (x.h1 <> y.h1 OR x.h2 <> y.h2) AND {_close(self.edits)}"))
-        ends = met.selectExpr("struct(x.h1, x.h2) AS p", "struct(y.h1, y.h2) AS q")
-        return stored(ends.selectExpr("least(p, q) AS a", "greatest(p, q) AS b").distinct(), "lines-pairs")
-
-    def near(self, lines: DataFrame) -> DataFrame:
+        found = _lines(self.docs, with_line=False).groupBy("h1", "h2").agg(F.min(place).alias("first"))
+        return stored(found, "lines-first")
+
+    def candidates(self) -> DataFrame:
+        """Stored pairs (a, b) of first line hashes that share a segment and have close letter counts.
+
+        Two lines of one 64-bit hash stay together here and are told apart when verified.
+        """
+        lines = (
+            _lines(self.docs)
+            .withColumn("n", F.char_length("line"))
+            .where(F.col("n") >= self.min_chars)
+            .groupBy("h1", "h2")
+            .agg(F.first("line").alias("line"), F.first("n").alias("n"))
+        )
+        cut = lines.selectExpr("h1", "line", "n", f"{_letters()} AS letters", *segment_columns(self.edits))
+        x = cut.selectExpr("h1", "letters", f"explode({index_keys(self.edits)}) AS key").alias("x")
+        y = cut.selectExpr("h1", "letters", f"explode({probe_keys(self.edits)}) AS key").alias("y")
+        met = x.join(y, F.expr(f"x.key = y.key AND x.h1 <> y.h1 AND {_close(self.edits)}"))
+        return stored(met.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b").distinct(), "lines-pairs")
+
+    def near(self, firsts: DataFrame) -> DataFrame:
         """h1 and h2 of the distinct lines with an earlier line within the threshold."""
-        pairs = self.candidates(lines)
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        ids = stored(ids.select("id.h1", "id.h2"), "lines-wanted")
+        pairs = self.candidates()
+        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "lines-wanted")
         # a filter by so many ids needs no shuffle of the lines; more ids are joined
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_LINES else ids
-        texts = lines.join(wanted, ["h1", "h2"], "left_semi").select(F.struct("h1", "h2").alias("id"), "line", "first")
+        texts = (
+            _lines(self.docs)
+            .join(wanted, "h1", "left_semi")
+            .groupBy("h1", "h2")
+            .agg(F.first("line").alias("line"))
+            .join(firsts, ["h1", "h2"])
+            .select("h1", F.struct("h1", "h2").alias("id"), "line", "first")
+        )
         texts = stored(texts, "lines-texts")
-        both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("la"), F.col("first").alias("fa")), "a")
-        both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb"), F.col("first").alias("fb")), "b")
+        first = texts.select(F.col("h1").alias("a"), F.col("id").alias("ia"), F.col("line").alias("la"), F.col("first").alias("fa"))
+        second = texts.select(F.col("h1").alias("b"), F.col("id").alias("ib"), F.col("line").alias("lb"), F.col("first").alias("fb"))
+        both = pairs.join(first, "a").join(second, "b")
         swap = F.char_length("la") >= F.char_length("lb")
         both = both.select(
-            F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("later"),
+            F.when(F.col("fa") < F.col("fb"), F.col("ib")).otherwise(F.col("ia")).alias("later"),
             F.when(swap, F.col("la")).otherwise(F.col("lb")).alias("longer"),
             F.when(swap, F.col("lb")).otherwise(F.col("la")).alias("shorter"),
         ).where(f"char_length(longer) - char_length(shorter) <= {self.edits}")
@@ -195,11 +208,10 @@ class LineDedup:
 
     def places(self) -> DataFrame:
         """doc_id, th, the sorted places of the lines that stay, and the count of near ones."""
-        lines = self.distinct_lines()
-        near = stored(self.near(lines), "lines-near").withColumn("is_near", F.lit(True))
+        firsts = self.firsts()
+        near = stored(self.near(firsts), "lines-near").withColumn("is_near", F.lit(True))
         return (
-            lines.select("h1", "h2", "first")
-            .join(near, ["h1", "h2"], "left")
+            firsts.join(near, ["h1", "h2"], "left")
             .groupBy("first.doc_id", "first.th")
             .agg(
                 F.sort_array(F.collect_list(F.when(F.col("is_near").isNull(), F.col("first.pos")))).alias("kept"),
