@@ -26,21 +26,16 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of edges (u, v); the component is its least node.
 
-    Every round halves the distance to the least node at least; it ends when a round
-    changes no edge. Nulls and loops are dropped.
+    It ends when the edges are stars: every node has one edge, to a node that has none.
+    Nulls and loops are dropped.
     """
     state = stored(edges.select("u", "v").where("u <> v").distinct(), "components")
-
-    def digest(rows: DataFrame):
-        return rows.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    before = digest(state)
-    while before[0]:
-        state = stored(_star(_star(state, large=True), large=False), "components")
-        after = digest(state)
-        if after == before:
+    while True:
+        n, nodes = state.agg(F.count("*"), F.count_distinct("u")).first()
+        tops = state.select(F.col("v").alias("u")).distinct()
+        if n == nodes and state.join(tops, "u", "left_semi").isEmpty() and state.where("u < v").isEmpty():
             break
-        before = after
-    nodes = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        state = stored(_star(_star(state, large=True), large=False), "components")
+    found = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return nodes.unionByName(roots)
+    return found.unionByName(roots)
