@@ -297,18 +297,31 @@ class NgramJoin:
             .join(apart, "node", "left")
             .join(in_hub, ["node", "token"], "left")
             .withColumn("component", F.coalesce("component", "node"))
-            .withColumn("foreign", F.coalesce(self.prefix_length("n") - F.col("n_met"), "lonely"))
+            .withColumn("prefix", self.prefix_length("n"))
+            .withColumn("foreign", F.coalesce(F.col("prefix") - F.col("n_met"), "lonely"))
         )
         split = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
         open_rows = stored(named.join(split.select("token"), "token"), "ngram-open")
         # by a token of their common hub, only if that hub's tokens may do
+        closed = f"(x.hub IS NOT NULL AND x.hub <=> y.hub AND NOT {self.possible('x', 'y', 'foreign')})"
         rule = (
             "x.token = y.token AND x.node < y.node AND x.component <> y.component AND "
-            f"{self.possible('x', 'y')} AND (NOT x.hub <=> y.hub OR x.hub IS NULL OR x.in_hub IS NULL "
-            f"OR {self.possible('x', 'y', 'foreign')})"
+            f"{self.possible('x', 'y')} AND NOT ({closed} AND x.in_hub IS NOT NULL)"
+        )
+        # what the node whose prefix ends first can share apart from the tokens met here
+        rest = "CASE WHEN x.last <= y.last THEN x.n - IF({0}, x.foreign, x.prefix) ELSE y.n - IF({0}, y.foreign, y.prefix) END"
+        p = self.percent
+        pairs = (
+            open_rows.alias("x")
+            .join(open_rows.alias("y"), F.expr(rule))
+            .selectExpr(
+                "x.node AS u", "y.node AS v", f"{rest.format(closed)} AS rest", f"({p} * (x.n + y.n)) / {100 + p}D AS need"
+            )
+            .groupBy("u", "v")
+            .agg(F.count("*").alias("met"), F.max("rest").alias("rest"), F.max("need").alias("need"))
+            .where("met + rest >= need - 1e-6")
+            .select("u", "v")
         )
-        pairs = open_rows.alias("x").join(open_rows.alias("y"), F.expr(rule))
-        pairs = pairs.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
         tested = compared.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         return stored(pairs.join(tested, ["u", "v"], "left_anti"), "ngram-pairs")
 
