@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripstar.catalog import stored
 from tripstar.catalog.analytics import Query
 from tripstar.functions import temporal
-from tripstar.operators import audits, facts, ledger, normalize, upsert
+from tripstar.operators import audits, facts, ledger, normalize, summaries, upsert
 from tripstar.plans import load as loads
 from tripstar.schemas import PARTITIONS, SERVICES
 from tripstar.session import scratch_dir
@@ -198,6 +198,121 @@ def load_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.join(rows, "file_type", "left").drop("error")
 
 
+def _landing_with(spark: SparkSession, sf_dir: str, change, services: list[str] = SERVICES) -> str:
+    """Monthly sources whose raw rows are changed per service before they are written."""
+    path = scratch_dir(spark, "landing")
+    for service in services:
+        rows = change(service, stored.raw(spark, sf_dir, service))
+        for part in rows if isinstance(rows, list) else [rows]:
+            source = F.format_string("%s_tripdata_%04d-%02d.parquet", F.lit(service), "year", "month")
+            part.withColumn("source", source).drop("year", "month").hint("rebalance", "source").write.mode(
+                "append"
+            ).partitionBy("source").parquet(path)
+    return path
+
+
+def load_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months loaded together of which only the even ones have the airport fee."""
+
+    def change(_: str, rows: DataFrame) -> list[DataFrame]:
+        even = F.col("month") % 2 == 0
+        return [rows.filter(even), rows.filter(~even).drop("Airport_fee")]
+
+    house = _house(spark)
+    loads.load_services(house, _landing_with(spark, sf_dir, change, ["yellow"]), ["yellow"])
+    return house.read("trip_data").groupBy(*PARTITIONS).agg(
+        F.count(F.lit(1)).alias("trips"), F.count("airport_fee").alias("with_fee")
+    )
+
+
+def load_corrected_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and rejects after yellow files whose rows were all bad came again, corrected."""
+
+    def broken(_: str, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("payment_type", F.lit("bad"))
+
+    house = _house(spark)
+    loads.load_services(house, _landing_with(spark, sf_dir, broken, ["yellow"]), ["yellow"])
+    loads.load_services(house, stored.landing(spark, sf_dir), ["yellow"], force=True)
+    logged = house.load_log().latest().filter(F.col("status") == "loaded").select(*PARTITIONS, "rows_loaded")
+    count = lambda table, name: house.read(table).groupBy(*PARTITIONS).agg(
+        F.count(F.lit(1)).alias(name)
+    )
+    return (
+        logged.join(count("trip_data", "trips"), PARTITIONS, "left")
+        .join(count("trip_rejects", "rejects"), PARTITIONS, "left")
+        .fillna(0, ["trips", "rejects"])
+    )
+
+
+def load_past_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months logged as loaded and as failed, when one month holds a file that is no Parquet."""
+    path = _landing_with(spark, sf_dir, lambda _, rows: rows, ["green"])
+    broken = f"{path}/source=green_tripdata_2099-01.parquet"
+    spark.range(1).select(F.lit("no parquet").alias("value")).coalesce(1).write.text(broken)
+    house = _house(spark)
+    outcomes = loads.load_services(house, path, ["green"]).select("file_type", F.col("status").alias("outcome"))
+    entries = house.load_log().latest().groupBy("file_type").agg(
+        F.count_if(F.col("status") == "loaded").alias("loaded"),
+        F.count_if(F.col("status") == "error").alias("failed"),
+        F.sum("rows_loaded").alias("rows_loaded"),
+    )
+    return outcomes.join(entries, "file_type")
+
+
+def load_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips, ids, and ids kept per month after every month got a late file.
+
+    The first files hold the rows of vendor 1; a late one holds the others.
+    """
+    first = F.col("VendorID") == "1"
+    services = ["green"]
+    path = _landing_with(spark, sf_dir, lambda _, rows: rows.filter(first), services)
+    house = _house(spark)
+    loads.load_services(house, path, services)
+    before = house.read("trip_data").select("trip_id", "vendor_id", *PARTITIONS)
+    kept = scratch_dir(spark, "ids")
+    before.write.parquet(kept)
+    for service in services:
+        rows = stored.raw(spark, sf_dir, service).filter(~F.coalesce(first, F.lit(False)))
+        source = F.format_string("%s_tripdata_%04d-%02d.parquet", F.lit(service), "year", "month")
+        rows.withColumn("source", source).drop("year", "month").write.mode("append").partitionBy(
+            "source"
+        ).parquet(path)
+    loads.load_services(house, path, services, force=True)
+    old = spark.read.parquet(kept).withColumn("old", F.lit(True))
+    after = house.read("trip_data").join(old, ["trip_id", "vendor_id", *PARTITIONS], "left")
+    return after.groupBy(*PARTITIONS).agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.countDistinct("trip_id").alias("ids"),
+        F.count("old").alias("ids_kept"),
+    )
+
+
+def build_facts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily aggregate after months were loaded in two lots, each followed by a build."""
+    house, trips = _house(spark), stored.trips(spark, sf_dir)
+    for lot in (F.col("month") % 2 == 0, F.col("month") % 2 == 1):
+        house.overwrite("trip_data", trips.filter(lot), PARTITIONS)
+        loads.build_facts(house)
+    return house.read("fact_trips_daily_agg").drop("year", "month")
+
+
+def summary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip summary after months were merged in two lots that overlap."""
+    house, trips = _house(spark), stored.trips(spark, sf_dir)
+    for lot in (F.col("month") <= 7, F.col("month") >= 6):
+        loads.update_summaries(house, trips.filter(lot))
+    return house.read("fact_trip_summary").select(*summaries.trip_summary(trips).columns)
+
+
+def file_status_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose status moves on: months up to June are published, loaded months stored."""
+    current = ledger.file_status_latest(testdata.file_events(spark, sf_dir))
+    published = current.filter(F.col("month") <= 6)
+    return ledger.next_statuses(current, published, stored.trips(spark, sf_dir))
+
+
 def build_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps of a fact build over the whole trip table, with the rows each wrote."""
     house = _house(spark)
@@ -318,9 +433,9 @@ def stream_hourly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cents = F.rint(F.col("value") * 100).cast("bigint")
     demand = jobs.hourly_demand(events.withColumn("cents", cents), "ts", "event_type", "cents")
-    path = scratch_dir(spark, "demand")
-    jobs.append_final_hours(demand, path, scratch_dir(spark, "checkpoint"))
-    return spark.read.schema(demand.schema).parquet(path)
+    house = _house(spark)
+    jobs.keep_hours(house, demand, "demand", scratch_dir(spark, "checkpoint"))
+    return jobs.hours_so_far(house, "demand")
 
 
 def _staged(spark: SparkSession, rows: DataFrame, by: list[str], files: int) -> DataFrame:
@@ -342,10 +457,18 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_late_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily aggregate after trips arrived by file month, strays included."""
-    trips = stored.trips(spark, sf_dir)
-    stream = _staged(spark, trips, ["year", "month"], 3)
+    """The daily aggregate after trips arrived by file month, strays included.
+
+    A third of the file months is built in a batch, then all trips are streamed in, those
+    of the batch once more. Ids repeat in the test trips, so each gets one of its own.
+    """
+    path = scratch_dir(spark, "trips")
+    stored.trips(spark, sf_dir).withColumn("trip_id", F.monotonically_increasing_id()).write.parquet(path)
+    trips = spark.read.parquet(path)
     house = _house(spark)
+    house.overwrite("trip_data", trips.filter(F.col("month") % 3 == 0), PARTITIONS)
+    loads.build_facts(house)
+    stream = _staged(spark, trips, ["year", "month"], 3)
     jobs.append_and_recompute(house, stream, scratch_dir(spark, "checkpoint"))
     return house.read("fact_trips_daily_agg").drop("year", "month")
 
@@ -368,7 +491,14 @@ OPERATIONS: dict[str, Query] = {
     "target_month": target_month,
     "load_month_idempotent": load_month_idempotent,
     "load_outcomes": load_outcomes,
+    "load_mixed_columns": load_mixed_columns,
+    "load_corrected_month": load_corrected_month,
+    "load_past_bad_file": load_past_bad_file,
+    "load_late_file": load_late_file,
     "build_facts": build_facts,
+    "build_facts_incremental": build_facts_incremental,
+    "summary_upsert": summary_upsert,
+    "file_status_next": file_status_next,
     "reconcile_counts": reconcile_counts,
     "merge_insert_only": merge_insert_only,
     "merge_update_only": merge_update_only,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tripstar.catalog.oracle_base import MONEY, as_double, money, query
-from tripstar.catalog.oracle_marts import _DAILY, _HOURLY
+from tripstar.catalog.oracle_marts import _DAILY, _HOURLY, _ROUNDED, _summary
 from tripstar.operators.audits import (
     DAILY_REFERENCES,
     FACT_REFERENCES,
@@ -14,6 +14,7 @@ from tripstar.schemas import CANONICAL
 
 _BAD_PAYMENT = "l_orderkey % 89 = 0"
 _REJECTED = f"(file_type = 'yellow' AND {_BAD_PAYMENT})"
+_KEPT = f"pickup_datetime IS NOT NULL AND NOT {_REJECTED}"
 # what a load keeps: readable pickup, no reject; green forgives a bad payment type
 _LOADED = f"""loaded AS (
   SELECT * EXCLUDE (trip_id, processed_at, l_orderkey, l_linestatus)
@@ -212,6 +213,38 @@ OPERATION_CHECKS = {
         FROM trips GROUP BY file_type
         UNION ALL SELECT 'fhvhv', 'error', NULL, NULL"""
     ),
+    "load_mixed_columns": query(
+        """SELECT file_type, year, month, COUNT(*) AS trips,
+          COUNT(airport_fee) FILTER (WHERE month % 2 = 0) AS with_fee
+        FROM loaded WHERE file_type = 'yellow' GROUP BY ALL""",
+        _LOADED,
+    ),
+    "load_corrected_month": query(
+        f"""SELECT file_type, year, month, COUNT(*) FILTER (WHERE {_KEPT}) AS rows_loaded,
+          COUNT(*) FILTER (WHERE {_KEPT}) AS trips, COUNT(*) FILTER (WHERE {_REJECTED}) AS rejects
+        FROM trips WHERE file_type = 'yellow' GROUP BY ALL"""
+    ),
+    "load_past_bad_file": query(
+        f"""SELECT file_type, 'incomplete' AS outcome, COUNT(DISTINCT year * 100 + month) AS loaded,
+          CAST(1 AS BIGINT) AS failed, CAST(COUNT(*) FILTER (WHERE {_KEPT}) AS BIGINT) AS rows_loaded
+        FROM trips WHERE file_type = 'green' GROUP BY file_type"""
+    ),
+    "load_late_file": query(
+        """SELECT file_type, year, month, COUNT(*) AS trips, COUNT(*) AS ids,
+          COUNT(*) FILTER (WHERE vendor_id = 1) AS ids_kept
+        FROM loaded WHERE file_type = 'green' GROUP BY ALL""",
+        _LOADED,
+    ),
+    "build_facts_incremental": query("SELECT * FROM daily", _DAILY),
+    "summary_upsert": query(_summary("year", "month", _ROUNDED)),
+    "file_status_next": query(
+        f"""SELECT s.year, s.month, s.file_type,
+          CASE WHEN t.year IS NOT NULL THEN 'UPLOADED' ELSE 'AVAILABLE' END AS status
+        FROM ({_FILE_STATUS}) AS s LEFT JOIN (SELECT DISTINCT year, month, file_type FROM trips) AS t
+          ON s.year = t.year AND s.month = t.month AND s.file_type = t.file_type
+        WHERE (s.status <> 'UPLOADED' AND t.year IS NOT NULL) OR (s.status = 'MISSING' AND s.month <= 6)""",
+        _FILE_EVENTS,
+    ),
     "build_facts": query(
         """SELECT 'fact_trips' AS fact_table_name, 'loaded' AS status,
           (SELECT COUNT(*) FROM fact) AS record_count
@@ -284,11 +317,9 @@ OPERATION_CHECKS = {
     ),
     "stream_ingest_available_now": query(_LOADED_SUMMARY, _LOADED),
     "stream_hourly_demand": query(
-        """SELECT * FROM (
-          SELECT date_trunc('hour', ts) AS hour_start, event_type AS service, COUNT(*) AS trips,
+        """SELECT date_trunc('hour', ts) AS hour_start, event_type AS service, COUNT(*) AS trips,
             CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_value
-          FROM events GROUP BY 1, 2) AS h
-        WHERE hour_start <= (SELECT MAX(ts) FROM events) - INTERVAL 2 HOUR"""
+          FROM events GROUP BY 1, 2"""
     ),
     "stream_dedupe": query("SELECT DISTINCT trip_id FROM fact"),
     "stream_late_recompute": query("SELECT * FROM daily", _DAILY),

@@ -20,7 +20,7 @@ LOAD_LOG = (
 )
 RUN_LOG = (
     "year int, month int, fact_table_name string, status string, record_count bigint, "
-    "error_message string, seq bigint"
+    "error_message string, load_number bigint, seq bigint"
 )
 
 

@@ -117,6 +117,33 @@ def conform(
     reads strictly and that does not convert fails the job; rows that went through
     :func:`split_rejects` hold no such value and need no second test (``strict=False``).
     """
+    trips = raw.select(*_conformed_columns(raw, service, processed_at, strict))
+    return trips if keep_without_pickup else trips.filter(F.col("pickup_datetime").isNotNull())
+
+
+def sort_out(raw: DataFrame, service: str, processed_at: Column | None = None) -> DataFrame:
+    """Conformed rows with their ``outcome``, from one pass over the raw rows.
+
+    ``good`` rows go to the trip table, ``rejected`` ones are set aside with the names
+    of their bad columns and the raw row, ``dropped`` ones have no readable pickup time.
+    """
+    names = F.array(*[F.when(test, F.lit(name)) for name, test in _failures(raw, service)])
+    bad = F.array_join(F.array_compact(names), ",")
+    kept = F.struct(*[c for c in raw.columns if c not in ("year", "month")])
+    rows = raw.select(
+        *_conformed_columns(raw, service, processed_at, strict=False),
+        F.nullif(bad, F.lit("")).alias("bad_columns"),
+        F.when(bad != "", F.to_json(kept)).alias("row"),
+    )
+    outcome = F.when(F.col("bad_columns").isNotNull(), "rejected").when(
+        F.col("pickup_datetime").isNotNull(), "good"
+    )
+    return rows.withColumn("outcome", outcome.otherwise("dropped"))
+
+
+def _conformed_columns(
+    raw: DataFrame, service: str, processed_at: Column | None, strict: bool
+) -> list[Column]:
     values = {name: value for name, value, _ in _converted(raw, service, strict)}
     columns = []
     for field in CONFORMED.fields:
@@ -129,8 +156,7 @@ def conform(
         else:
             value = values.get(field.name, F.lit(None))
         columns.append(value.cast(field.dataType).alias(field.name))
-    trips = raw.select(*columns)
-    return trips if keep_without_pickup else trips.filter(F.col("pickup_datetime").isNotNull())
+    return columns
 
 
 def union_services(parts: list[DataFrame]) -> DataFrame:

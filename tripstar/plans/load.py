@@ -5,19 +5,28 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripstar.functions import temporal
 from tripstar.functions.temporal import month_range
-from tripstar.operators import facts
+from tripstar.operators import facts, summaries
 from tripstar.operators.ledger import LOAD_LOG, RUN_LOG, STEPS, Ledger
-from tripstar.operators.normalize import conform, split_rejects
-from tripstar.operators.upsert import path_exists
-from tripstar.schemas import PARTITIONS, SERVICES
-from tripstar.sources.raw_files import months_present, read_raw
+from tripstar.operators.normalize import sort_out
+from tripstar.operators.upsert import merge_partitions, path_exists
+from tripstar.schemas import CONFORMED, PARTITIONS, SERVICES
+from tripstar.sources import raw_files
+from tripstar.sources.raw_files import Months, months_present
 
 FACT_PARTITIONS = ["file_type", "source_year", "source_month"]
 AGG_PARTITIONS = ["year", "month"]
+MONTHS_A_JOB = 24  # each month of a load job adds three counts to its one pass
+
+# A load writes one table by outcome; these are its two halves.
+_HALVES = {"trip_data": "trip_rows/outcome=good", "trip_rejects": "trip_rows/outcome=rejected"}
+_REJECT_COLUMNS = [*PARTITIONS, "trip_id", "bad_columns", "row"]
+_FILES = "path string, year int, month int, number int, file_type string"
+_TOUCHED = "year int, month int, source_year int, source_month int"
 
 
 @dataclass(frozen=True)
@@ -28,10 +37,18 @@ class Warehouse:
     root: str
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        return f"{self.root}/{_HALVES.get(table, table)}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        if table not in _HALVES:
+            return self.spark.read.parquet(self.path(table))
+        # the halves share their columns; one that has no rows yet is an empty table
+        wide = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in CONFORMED.fields)}, bad_columns string, row string"
+        if self.has(table):
+            rows = self.spark.read.schema(wide).parquet(self.path(table))
+        else:
+            rows = self.spark.createDataFrame([], wide)
+        return rows.select(*(CONFORMED.names if table == "trip_data" else _REJECT_COLUMNS))
 
     def has(self, table: str) -> bool:
         return path_exists(self.spark, self.path(table))
@@ -44,7 +61,8 @@ class Warehouse:
         return Ledger(self.spark, self.path("run_log"), RUN_LOG, keys)
 
     def overwrite(
-        self, table: str, rows: DataFrame, by: list[str], clustered: bool = False
+        self, table: str, rows: DataFrame, by: list[str], clustered: bool = False,
+        sort: tuple[str, ...] = (),
     ) -> None:
         """Replace the partitions that occur in ``rows``; others stay as they are.
 
@@ -54,12 +72,25 @@ class Warehouse:
         small partition gets one file and one with a large share of the rows is split.
         """
         placed = rows if clustered else rows.hint("rebalance", *by)
+        if sort:
+            placed = placed.sortWithinPartitions(*by, *sort)
         placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             *by
         ).parquet(self.path(table))
 
+    def clear(self, table: str, by: list[str], partitions: list[tuple]) -> None:
+        """Leave no rows in some partitions, which no rows to write would otherwise keep."""
+        for values in partitions:
+            folder = "/".join(f"{k}={v}" for k, v in zip(by, values, strict=True))
+            empty = self.spark.createDataFrame([], self.read(table).drop(*by).schema)
+            empty.write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
 
-Months = list[tuple[int, int]]
+    def filled(self, table: str, by: list[str], test: Column) -> set[tuple]:
+        """Partitions that hold rows; only footers are read. Bounded by the calendar."""
+        if not self.has(table):
+            return set()
+        counts = self.read(table).filter(test).groupBy(*by).count()
+        return {tuple(r[k] for k in by) for r in counts.collect()}
 
 
 def load(
@@ -70,41 +101,99 @@ def load(
     processed_at: Column | None = None,
     force: bool = False,
 ) -> str:
-    """Load a service's sources of the given months, or of all months found, in one job.
+    """Load a service's sources of the given months, or of all months found.
 
-    Months recorded as loaded are skipped unless forced. Loading again replaces the
-    same partitions, so a repeated or retried load leaves the same table. Rows that
-    do not convert go to ``trip_rejects``. Returns the status recorded.
+    Months recorded as loaded are skipped unless forced. Loading again replaces the same
+    partitions, also those that come out empty, so a repeated or retried load leaves the
+    same table. Rows that do not convert go to ``trip_rejects``. A month without files,
+    or with a file that cannot be read, is recorded with its error and the others are
+    loaded. Returns ``loaded``, ``incomplete`` or ``skipped``; raises if no month loads.
     """
     log = house.load_log()
-    found = months if months is not None else months_present(house.spark, landing, service)
+    present = months_present(house.spark, landing, service)
+    found = months if months is not None else present
     if not found:
         raise FileNotFoundError(f"no sources of {service}")
     done = set() if force else _loaded_months(log, service)
     wanted = [month for month in found if month not in done]
     if not wanted:
         return "skipped"
-    try:
-        raw = read_raw(house.spark, landing, service, wanted)
-        good, rejected = split_rejects(raw, service)
-        trips = conform(good, service, processed_at, strict=False)
-        house.overwrite("trip_data", trips, PARTITIONS, clustered=True)
-        set_aside = rejected.select(
-            F.lit(service).alias("file_type"), "year", "month", "trip_id", "bad_columns",
-            F.to_json(F.struct(*[c for c in raw.columns if c not in PARTITIONS])).alias("row"),
-        )
-        house.overwrite("trip_rejects", set_aside, PARTITIONS, clustered=True)
-        log.append(_loaded_counts(house, raw, service, wanted))
-        return "loaded"
-    except Exception as error:
-        failed = house.spark.createDataFrame(wanted, "year int, month int")
-        log.append(
-            failed.select(
-                F.lit(service).alias("file_type"), "year", "month",
-                F.lit("error").alias("status"), F.lit(str(error)[:500]).alias("error_message"),
-            )
-        )
-        raise
+    there = set(present)
+    failed: dict[tuple[int, int], Exception] = {
+        m: FileNotFoundError(f"no sources of {service} for {m[0]:04d}-{m[1]:02d}")
+        for m in wanted if m not in there
+    }
+    readable = [m for m in wanted if m in there]
+    groups, unreadable = raw_files.schema_groups(house.spark, landing, service, readable)
+    failed |= unreadable
+    files = _registered_files(house, landing, service, readable) if groups else None
+    loaded: list[tuple] = []
+    for schema, own in groups.items():
+        for at in range(0, len(own), MONTHS_A_JOB):
+            part = own[at : at + MONTHS_A_JOB]
+            try:
+                raw = raw_files.read_group(house.spark, landing, service, part, schema, files)
+                loaded += _load_group(house, raw, service, part, processed_at)
+            except Exception as error:  # noqa: BLE001 - a bad file stops only its own month
+                if len(part) == 1:
+                    failed[part[0]] = error
+                    continue
+                for month in part:
+                    try:
+                        raw = raw_files.read_group(house.spark, landing, service, [month], schema, files)
+                        loaded += _load_group(house, raw, service, [month], processed_at)
+                    except Exception as own_error:  # noqa: BLE001
+                        failed[month] = own_error
+    entries = [(service, *m, "loaded", n, kept, None) for m, n, kept in loaded]
+    entries += [(service, *m, "error", None, None, str(e)) for m, e in sorted(failed.items())]
+    log.append(house.spark.createDataFrame(entries, LOAD_LOG.rpartition(",")[0]))
+    if failed and not loaded:
+        raise next(iter(failed.values()))
+    return "incomplete" if failed else "loaded"
+
+
+def _registered_files(house: Warehouse, landing: str, service: str, months: Months) -> DataFrame:
+    """Numbers of the files of a service, kept in a table: a late file gets a new one."""
+    def known() -> DataFrame:
+        if not house.has("file_registry"):
+            return house.spark.createDataFrame([], _FILES)
+        rows = house.spark.read.schema(_FILES).parquet(house.path("file_registry"))
+        return rows.filter(F.col("file_type") == service)
+
+    listed = raw_files.listed_files(house.spark, landing, service, months)
+    new = raw_files.numbered_files(listed, known()).select("path", "year", "month", F.col("number").cast("int").alias("number"))
+    new.withColumn("file_type", F.lit(service)).write.mode("append").partitionBy("file_type").parquet(
+        house.path("file_registry")
+    )
+    return known()
+
+
+def _load_group(
+    house: Warehouse, raw: DataFrame, service: str, months: Months, processed_at: Column | None
+) -> list[tuple]:
+    """Write good and rejected rows in one pass; (month, rows in its files, rows loaded)."""
+    rows = sort_out(raw, service, processed_at)
+    seen = Observation()
+
+    def count(month: tuple[int, int], test: Column) -> Column:
+        return F.count_if((F.col("year") == month[0]) & (F.col("month") == month[1]) & test)
+
+    counts = []
+    for i, month in enumerate(months):
+        counts += [
+            count(month, F.lit(True)).alias(f"rows{i}"),
+            count(month, F.col("outcome") == "good").alias(f"good{i}"),
+            count(month, F.col("outcome") == "rejected").alias(f"rejected{i}"),
+        ]
+    kept = rows.observe(seen, *counts).filter(F.col("outcome") != "dropped")
+    house.overwrite("trip_rows", kept, ["outcome", *PARTITIONS], clustered=True)
+    got = seen.get
+    mine = (F.col("file_type") == service) & in_any_month(months)
+    for table, name in (("trip_data", "good"), ("trip_rejects", "rejected")):
+        empty = {(service, *m) for i, m in enumerate(months) if not got[f"{name}{i}"]}
+        if empty:
+            house.clear(table, PARTITIONS, sorted(house.filled(table, PARTITIONS, mine) & empty))
+    return [(m, got[f"rows{i}"], got[f"good{i}"]) for i, m in enumerate(months)]
 
 
 def _loaded_months(log: Ledger, service: str) -> set[tuple[int, int]]:
@@ -113,28 +202,13 @@ def _loaded_months(log: Ledger, service: str) -> set[tuple[int, int]]:
     return {(row.year, row.month) for row in done.select("year", "month").collect()}
 
 
-def in_months(rows: DataFrame, months: Months) -> DataFrame:
-    """Rows of some partitions ``year``/``month``; prunes the scan."""
+def in_any_month(months: Months, year: str = "year", month: str = "month") -> Column:
+    """Test for some partitions by year and month; prunes the scan."""
     by_year: dict[int, list[int]] = {}
-    for year, month in months:
-        by_year.setdefault(year, []).append(month)
-    tests = [(F.col("year") == y) & F.col("month").isin(m) for y, m in by_year.items()]
-    return rows.filter(reduce(lambda a, b: a | b, tests))
-
-
-def _loaded_counts(house: Warehouse, raw: DataFrame, service: str, months: Months) -> DataFrame:
-    """One log entry per month read, counted from what lies in the files and the table."""
-    count = lambda rows, name: rows.groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias(name)
-    )
-    table = in_months(house.read("trip_data").filter(F.col("file_type") == service), months)
-    both = count(raw, "rows_in_file").join(
-        count(table, "rows_loaded"), ["year", "month"], "left"
-    )
-    return both.fillna(0, ["rows_loaded"]).select(
-        F.lit(service).alias("file_type"), "year", "month", F.lit("loaded").alias("status"),
-        "rows_in_file", "rows_loaded",
-    )
+    for y, m in months:
+        by_year.setdefault(y, []).append(m)
+    tests = [(F.col(year) == y) & F.col(month).isin(m) for y, m in by_year.items()]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def load_services(
@@ -167,84 +241,167 @@ def build_facts(
 ) -> DataFrame:
     """Build the trip fact, then the daily, then the hourly aggregate; stop at a failure.
 
-    Steps of a month recorded as loaded are skipped unless forced. Without a month
-    everything is built. Returns the last log entry of each step.
+    With a month, steps of it recorded as loaded are skipped unless forced. Without one,
+    each step takes the source months loaded since it last took them. Aggregates are
+    built for every pickup month that those source months hold, strays included. Each
+    step leaves a ``started`` and then a ``loaded`` or ``failed`` entry. Returns the
+    last log entry of each step; year and month 0 stand for all.
     """
     log = house.run_log()
-    scope = {"year": year or 0, "month": month or 0}  # 0 stands for all
+    whole = year is None or month is None
+    scope = {"year": 0, "month": 0} if whole else {"year": year, "month": month}
+    loads = _load_numbers(house)
     for step in STEPS:
-        if not force and log.last_status(**scope, fact_table_name=step) == "loaded":
+        if whole:
+            built = _built_numbers(log, step)
+            months = sorted(m for m, n in loads.items() if force or built.get(m, -1) < n)
+        else:
+            months = [(year, month)]
+            if not force and log.last_status(**scope, fact_table_name=step) == "loaded":
+                continue
+        if not months and log.last_status(**scope, fact_table_name=step) == "loaded":
             continue
+        log.record(**scope, fact_table_name=step, status="started")
         try:
-            rows = BUILDERS[step](house, year, month)
+            rows = BUILDERS[step](house, months)
         except Exception as error:
-            log.record(
-                **scope, fact_table_name=step, status="failed", error_message=str(error)[:500]
-            )
+            log.record(**scope, fact_table_name=step, status="failed", error_message=str(error))
             raise
-        log.record(**scope, fact_table_name=step, status="loaded", record_count=rows)
+        entries = [(*m, step, "loaded", None, None, loads.get(m, 0)) for m in months if whole]
+        entries.append((scope["year"], scope["month"], step, "loaded", rows, None, loads.get((year, month), 0)))
+        schema = "year int, month int, fact_table_name string, status string, record_count bigint, " \
+            "error_message string, load_number bigint"
+        log.append(house.spark.createDataFrame(entries, schema))
     return log.latest().filter(
         (F.col("year") == scope["year"]) & (F.col("month") == scope["month"])
     )
 
 
-def build_fact_trips(house: Warehouse, year: int | None = None, month: int | None = None) -> int:
-    """Replace the fact partitions of the source months; returns their row count.
+def _load_numbers(house: Warehouse) -> dict[tuple[int, int], int]:
+    """The last load of each source month; 0 where the table was filled without a load."""
+    present = {(y, m): 0 for _, y, m in house.filled("trip_data", PARTITIONS, F.lit(True))}
+    logged = house.load_log().read().filter(F.col("status") == "loaded")
+    last = logged.groupBy("year", "month").agg(F.max("seq").alias("n")).collect()
+    return present | {(r.year, r.month): r.n for r in last}
+
+
+def _built_numbers(log: Ledger, step: str) -> dict[tuple[int, int], int]:
+    """The load of each source month that a step last took."""
+    done = log.latest().filter((F.col("fact_table_name") == step) & (F.col("status") == "loaded"))
+    return {(r.year, r.month): r.load_number or 0 for r in done.filter("year > 0").collect()}
+
+
+def build_fact_trips(house: Warehouse, months: Months) -> int:
+    """Replace the fact partitions of some source months; returns the row count of the fact's.
 
     Ids are fixed by the source files, so replacing a month's partition is what
     keeps a trip from entering twice; no join against the whole fact is needed.
     """
-    rows = facts.fact_trips(house.read("trip_data"), year, month)
-    house.overwrite("fact_trips", rows, FACT_PARTITIONS, clustered=True)
-    built = house.read("fact_trips")
-    for column, value in (("source_year", year), ("source_month", month)):
-        if value is not None:
-            built = built.filter(F.col(column) == value)
-    return built.count()
-
-
-def _build_agg(house: Warehouse, table: str, build, year: int | None, month: int | None) -> int:
-    fact = house.read("fact_trips")
-    if year is not None and month is not None:
-        fact = facts.in_month(fact, year, month)
-    return write_agg(house, table, build(fact), year, month)
-
-
-def write_agg(
-    house: Warehouse, table: str, rows: DataFrame, year: int | None = None,
-    month: int | None = None,
-) -> int:
-    """Replace the months of an aggregate that occur in ``rows``; returns the row count."""
+    source = house.read("trip_data").filter(in_any_month(months))
+    rows = facts.fact_trips(source)
+    mine = in_any_month(months, "source_year", "source_month")
+    before = house.filled("fact_trips", FACT_PARTITIONS, mine)
+    note_touched(house, months)  # what the partitions hold now will be gone
+    house.overwrite("fact_trips", rows, FACT_PARTITIONS, clustered=True, sort=("pickup_date_key",))
+    full = house.filled("trip_data", PARTITIONS, in_any_month(months))
+    house.clear("fact_trips", FACT_PARTITIONS, sorted(before - full))
+    note_touched(house, months)
+    return house.read("fact_trips").filter(mine).count()
+
+
+def note_touched(house: Warehouse, sources: Months) -> None:
+    """Add the pickup months that the fact holds for some source months to what is known.
+
+    Kept by source month: aggregates are rebuilt for these months, and a rebuild opens
+    only the source partitions that hold its month.
+    """
+    if not house.has("fact_trips"):
+        return
+    mine = in_any_month(sources, "source_year", "source_month")
+    month = temporal.month_of_key(F.col("pickup_date_key"))
+    held = (
+        house.read("fact_trips").filter(mine)
+        .select(F.floor(month / 100).cast("int").alias("year"), (month % 100).cast("int").alias("month"),
+                "source_year", "source_month")
+        .distinct()
+    )
+    known = _touched(house).filter(mine)
+    rows = [tuple(r) for r in held.union(known.select(*held.columns)).distinct().collect()]
+    if rows:  # bounded by the calendar
+        frame = house.spark.createDataFrame(rows, _TOUCHED).coalesce(1)
+        house.overwrite("touched_months", frame, ["source_year", "source_month"], clustered=True)
+
+
+def _touched(house: Warehouse) -> DataFrame:
+    if not house.has("touched_months"):
+        return house.spark.createDataFrame([], _TOUCHED)
+    return house.spark.read.schema(_TOUCHED).parquet(house.path("touched_months"))
+
+
+def touched_by(house: Warehouse, sources: Months) -> Months:
+    """Pickup months that trips of some source months have or had."""
+    rows = _touched(house).filter(in_any_month(sources, "source_year", "source_month"))
+    return sorted((r.year, r.month) for r in rows.select("year", "month").distinct().collect())
+
+
+def _of_pickup_months(house: Warehouse, months: Months) -> DataFrame:
+    """Fact rows picked up in some months, from the source partitions that hold them."""
+    rows = _touched(house).filter(in_any_month(months)).select("source_year", "source_month").distinct()
+    sources = [(r.source_year, r.source_month) for r in rows.collect()]
+    ranges = [F.col("pickup_date_key").between(*month_range(y, m)) for y, m in months]
+    return house.read("fact_trips").filter(in_any_month(sources, "source_year", "source_month")).filter(
+        reduce(lambda a, b: a | b, ranges, F.lit(False))
+    )
+
+
+def write_agg(house: Warehouse, table: str, build, months: Months) -> int:
+    """Replace the given pickup months of an aggregate, also those left empty; its row count."""
     key = F.col("date_key")
-    dated = rows.withColumns({
+    dated = build(_of_pickup_months(house, months)).withColumns({
         "year": F.floor(key / 10000).cast("int"),
         "month": (F.floor(key / 100) % 100).cast("int"),
     })
-    house.overwrite(table, dated, AGG_PARTITIONS)
-    built = house.read(table)
-    for column, value in (("year", year), ("month", month)):
-        if value is not None:
-            built = built.filter(F.col(column) == value)
-    return built.count()
+    before = house.filled(table, AGG_PARTITIONS, in_any_month(months))
+    seen = Observation()
+    test = [(F.col("year") == y) & (F.col("month") == m) for y, m in months]
+    counts = [F.count_if(t).alias(f"rows{i}") for i, t in enumerate(test)]
+    house.overwrite(table, dated.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), AGG_PARTITIONS)
+    got = seen.get
+    house.clear(table, AGG_PARTITIONS, sorted(m for i, m in enumerate(months) if not got[f"rows{i}"] and m in before))
+    return got["rows"]
+
+
+def _build_agg(table: str, build):
+    return lambda house, months: write_agg(house, table, build, touched_by(house, months))
 
 
 BUILDERS = {
     "fact_trips": build_fact_trips,
-    "fact_trips_daily_agg": lambda h, y, m: _build_agg(
-        h, "fact_trips_daily_agg", facts.daily_agg, y, m
-    ),
-    "fact_trips_hourly_agg": lambda h, y, m: _build_agg(
-        h, "fact_trips_hourly_agg", facts.hourly_agg, y, m
-    ),
+    "fact_trips_daily_agg": _build_agg("fact_trips_daily_agg", facts.daily_agg),
+    "fact_trips_hourly_agg": _build_agg("fact_trips_hourly_agg", facts.hourly_agg),
 }
 
 
-def rebuild_aggregates(house: Warehouse, months: list[tuple[int, int]]) -> None:
+def rebuild_aggregates(house: Warehouse, months: Months) -> None:
     """Recompute both aggregates for the given pickup months, in one job each."""
-    if not months:
-        return
-    ranges = [F.col("pickup_date_key").between(*month_range(y, m)) for y, m in months]
-    fact = house.read("fact_trips").filter(reduce(lambda a, b: a | b, ranges))
-    write_agg(house, "fact_trips_daily_agg", facts.daily_agg(fact))
-    write_agg(house, "fact_trips_hourly_agg", facts.hourly_agg(fact))
+    if months:
+        write_agg(house, "fact_trips_daily_agg", facts.daily_agg, months)
+        write_agg(house, "fact_trips_hourly_agg", facts.hourly_agg, months)
+
+
+# ---------------------------------------------------------------------------
+# Summaries
+# ---------------------------------------------------------------------------
+SUMMARIES = {
+    "fact_trip_summary": (summaries.trip_summary, summaries.MONTH),
+    "fact_fare_summary": (summaries.fare_summary, summaries.MONTH),
+    "fact_trip_locations": (summaries.trip_locations, summaries.ROUTE),
+}
+
 
+def update_summaries(house: Warehouse, trips: DataFrame) -> None:
+    """Merge the three summaries of the file months in ``trips``; other months stay."""
+    for table, (summarise, keys) in SUMMARIES.items():
+        rows = summarise(trips)
+        others = [c for c in rows.columns if c not in keys]
+        merge_partitions(house.spark, house.path(table), rows, keys, others, AGG_PARTITIONS)

@@ -7,19 +7,22 @@ case; columns a source lacks are read as NULL.
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripstar.schemas import COLUMN_MAP, HIGH_VOLUME
 
-_SOURCE = re.compile(r"(?P<service>[A-Za-z]+)_tripdata_(?P<year>\d{4})-(?P<month>\d{2})")
+Months = list[tuple[int, int]]
+
 _SOURCE_SQL = r"([A-Za-z]+)_tripdata_(\d{4})-(\d{2})"
 
-# A scan carries a small table with one row per input file, which is broadcast;
-# this bounds it. It also is the room a trip id has for the file number.
-MAX_FILES_PER_SCAN = 1 << 16
+# A trip id packs month and service, file number and row position into 63 bits.
+FILE_BITS, ROW_BITS = 22, 28
+# File numbers are broadcast to a scan up to this many files, and joined beyond it.
+BROADCAST_FILES = 100_000
 
 
 def source_glob(service: str = "*", year: int | None = None, month: int | None = None) -> str:
@@ -65,45 +68,133 @@ def match_columns(source: DataFrame, service: str, keep: list[str] | None = None
     return source.select(*picked, *[source[name] for name in keep or []])
 
 
-def read_raw(
-    spark: SparkSession,
-    landing: str,
-    service: str,
-    months: list[tuple[int, int]] | None = None,
+def listed_files(
+    spark: SparkSession, landing: str, service: str, months: Months | None = None
 ) -> DataFrame:
-    """Rows of a service's sources, of the given months or of all.
+    """path, year and month of a service's files, of the given months or of all."""
+    path = F.col("_metadata.file_path")
+    part = lambda i: F.regexp_extract("path", _SOURCE_SQL, i)
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(landing)
+        .select(path.alias("path"))
+        .filter(part(1) == service)
+        .select("path", part(2).cast("int").alias("year"), part(3).cast("int").alias("month"))
+    )
+    return listed if months is None else listed.filter(_any_month(months))
 
-    ``year``, ``month`` and ``trip_id`` are added. Year and month come from the path.
-    The id packs month, service, file number within the month and row position within
-    the file, so reading the same files again gives the same ids and no shuffle is
-    needed to make them unique. Months whose files store a column in different
-    physical types must be read one at a time.
+
+def numbered_files(listed: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """path, year, month and number of the files that are not known yet.
+
+    Numbers go on after those a month has given out, in the order of the paths.
     """
-    globs = [source_glob(service, *month) for month in months] if months else [
-        source_glob(service)
-    ]
-    scan = spark.read.option("recursiveFileLookup", "true").parquet(
-        *[f"{landing}/{glob}" for glob in globs]
+    place = F.row_number().over(Window.partitionBy("year", "month").orderBy("path")) - 1
+    if known is None:
+        return listed.withColumn("number", place)
+    new = listed.join(known.select("path"), "path", "left_anti")
+    given = known.groupBy("year", "month").agg((F.max("number") + 1).alias("_given"))
+    numbered = new.withColumn("number", place).join(given, ["year", "month"], "left")
+    return numbered.select(
+        "path", "year", "month", (F.col("number") + F.coalesce("_given", F.lit(0))).alias("number")
+    )
+
+
+def schema_groups(
+    spark: SparkSession, landing: str, service: str, months: Months
+) -> tuple[dict[T.StructType, Months], dict[tuple[int, int], Exception]]:
+    """Months by the schema their files have together, and what kept others from being read.
+
+    Months whose files agree are one group, with the columns that any of them has. Where
+    types differ or a file cannot be read, the months are halved until it is found.
+    """
+    if not months:
+        return {}, {}
+    try:
+        reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+        return {reader.parquet(*_globs(landing, service, months)).schema: months}, {}
+    except Exception as error:  # noqa: BLE001 - kept by month, the others go on
+        if len(months) == 1:
+            return {}, {months[0]: error}
+    groups: dict[T.StructType, Months] = {}
+    failed = {}
+    for half in (months[: len(months) // 2], months[len(months) // 2 :]):
+        own, bad = schema_groups(spark, landing, service, half)
+        for schema, part in own.items():
+            groups[schema] = groups.get(schema, []) + part
+        failed |= bad
+    return groups, failed
+
+
+def read_group(
+    spark: SparkSession, landing: str, service: str, months: Months, schema: T.StructType,
+    files: DataFrame,
+) -> DataFrame:
+    """Rows of months that share a schema, with ``year``, ``month`` and ``trip_id``.
+
+    ``files`` gives the number of each file; ids stay the same as long as it does.
+    """
+    scan = spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(
+        *_globs(landing, service, months)
     )
     located = scan.select(
-        "*",
-        F.regexp_replace("_metadata.file_path", ":/+", ":/").alias("_path"),
-        F.col("_metadata.row_index").alias("_row"),
+        "*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row")
+    )
+    lookup = files.select(F.col("path").alias("_path"), "year", "month", "number").filter(
+        _any_month(months)
     )
-    files = _numbered_files(scan.inputFiles())
-    lookup = spark.createDataFrame(files, "_path string, year int, month int, _file_no int")
-    joined = located.join(F.broadcast(lookup), "_path")
-    months = (F.col("year") - 1970) * 12 + F.col("month") - 1
+    if lookup.count() <= BROADCAST_FILES:
+        lookup = F.broadcast(lookup)
+    joined = located.join(lookup, "_path")
+    number = (F.col("year") - 1970) * 12 + F.col("month") - 1
+    fits = (F.col("number") < (1 << FILE_BITS)) & (F.col("_row") < (1 << ROW_BITS))
     trip_id = (
-        F.shiftleft(months.cast("long") * 4 + _service_number(service), 48)
-        + F.shiftleft(F.col("_file_no").cast("long"), 32)
+        F.shiftleft(number.cast("long") * 4 + _service_number(service), FILE_BITS + ROW_BITS)
+        + F.shiftleft(F.col("number").cast("long"), ROW_BITS)
         + F.col("_row")
     )
-    numbered = joined.withColumn("trip_id", trip_id)
+    no_room = F.raise_error(F.lit("a trip id has no room for this file number or row position"))
+    numbered = joined.withColumn("trip_id", F.when(fits, trip_id).otherwise(no_room))
     return match_columns(numbered, service, keep=["trip_id", "year", "month"])
 
 
-def months_present(spark: SparkSession, landing: str, service: str) -> list[tuple[int, int]]:
+def read_raw(
+    spark: SparkSession, landing: str, service: str, months: Months | None = None,
+    files: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of a service's sources, of the given months or of all.
+
+    Columns are matched by name in every month, whichever months have them; where
+    months store a column in different types, it is read as text. ``files`` may give
+    the numbers of a file registry; without it files are numbered by their paths.
+    """
+    months = months or months_present(spark, landing, service)
+    if not months:
+        raise FileNotFoundError(f"no sources of {service}")
+    groups, failed = schema_groups(spark, landing, service, months)
+    for error in failed.values():
+        raise error
+    if files is None:
+        files = numbered_files(listed_files(spark, landing, service, months))
+    parts = [read_group(spark, landing, service, m, schema, files) for schema, m in groups.items()]
+    # a column that a month lacks is empty there and gives no type
+    types: dict[str, set[str]] = {}
+    for (schema, _), part in zip(groups.items(), parts, strict=True):
+        present = {name.lower() for name in schema.names}
+        for field in part.schema.fields:
+            own = {field.dataType.simpleString()} if field.name.lower() in present else set()
+            types.setdefault(field.name, set()).update(own)
+    mixed = {name: "string" if len(kinds) > 1 else next(iter(kinds), None) for name, kinds in types.items()}
+    cast = [
+        part.select(*[F.col(c).cast(mixed[c]) if mixed[c] else F.col(c) for c in part.columns])
+        for part in parts
+    ]
+    return reduce(DataFrame.unionByName, cast)
+
+
+def months_present(spark: SparkSession, landing: str, service: str) -> Months:
     """Months a service has sources for, in order (bounded by the calendar)."""
     rows = (
         file_inventory(spark, landing)
@@ -115,19 +206,17 @@ def months_present(spark: SparkSession, landing: str, service: str) -> list[tupl
     return sorted((row.year, row.month) for row in rows)
 
 
-def _service_number(service: str) -> int:
-    return list(COLUMN_MAP).index(service)
+def _any_month(months: Months) -> Column:
+    by_year: dict[int, list[int]] = {}
+    for year, month in months:
+        by_year.setdefault(year, []).append(month)
+    tests = [(F.col("year") == y) & F.col("month").isin(m) for y, m in by_year.items()]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def _numbered_files(paths: list[str]) -> list[tuple[str, int, int, int]]:
-    if len(paths) > MAX_FILES_PER_SCAN:
-        raise ValueError(f"{len(paths)} files in one scan; name fewer months")
-    numbered, next_number = [], {}
-    for path in sorted(paths):
-        name = _SOURCE.search(path)
-        month = (int(name["year"]), int(name["month"]))
-        number = next_number.get(month, 0)
-        next_number[month] = number + 1
-        # listings and scans differ in the slashes after the scheme
-        numbered.append((re.sub(":/+", ":/", path), *month, number))
-    return numbered
+def _globs(landing: str, service: str, months: Months) -> list[str]:
+    return [f"{landing}/{source_glob(service, *month)}" for month in months]
+
+
+def _service_number(service: str) -> int:
+    return list(COLUMN_MAP).index(service)

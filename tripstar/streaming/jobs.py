@@ -6,14 +6,22 @@ retried overwrites what it wrote before, so each input is counted once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripstar.functions import temporal
 from tripstar.operators import facts
-from tripstar.plans.load import FACT_PARTITIONS, Warehouse, load, rebuild_aggregates
+from tripstar.plans.load import (
+    FACT_PARTITIONS,
+    Warehouse,
+    in_any_month,
+    load,
+    note_touched,
+    rebuild_aggregates,
+)
 from tripstar.schemas import SERVICES
+from tripstar.session import scratch_dir
 from tripstar.sources.raw_files import source_glob
 
 _SOURCE = r"_tripdata_(\d{4})-(\d{2})"
@@ -93,47 +101,99 @@ def append_final_hours(demand: DataFrame, path: str, checkpoint: str) -> Streami
     return query
 
 
+def keep_hours(house: Warehouse, demand: DataFrame, table: str, checkpoint: str) -> None:
+    """Keep every hour's last state, those still open included.
+
+    Each batch writes the hours it changed; see :func:`hours_so_far`.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        house.overwrite(table, rows, ["batch_id"], clustered=True)
+
+    query = (
+        demand.writeStream.foreachBatch(write_batch)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def hours_so_far(house: Warehouse, table: str) -> DataFrame:
+    """The last state of each hour and service; open hours are provisional."""
+    last = F.max_by(F.struct("trips", "total_value"), "batch_id").alias("last")
+    states = house.read(table).groupBy("hour_start", "service").agg(last)
+    return states.select("hour_start", "service", "last.trips", "last.total_value")
+
+
 def append_new(
-    house: Warehouse, stream: DataFrame, table: str, key: str, checkpoint: str
+    house: Warehouse, stream: DataFrame, table: str, key: str, checkpoint: str,
+    within: tuple[str, str] | None = None,
 ) -> None:
     """Append the rows whose key the table does not hold yet, one row per key.
 
-    Each batch writes its own partition and is compared with earlier batches only,
-    so a retried batch gives the same rows.
+    Each batch writes its own partition and is compared with earlier batches only, so a
+    retried batch gives the same rows. ``within`` names a year and a month column that a
+    key never leaves: then only the months of the batch are compared.
     """
+    by = [*(within or ()), "batch_id"]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         new = batch.dropDuplicates([key])
         if house.has(table):
             earlier = house.read(table).filter(F.col("batch_id") < batch_id)
+            if within:
+                earlier = earlier.filter(in_any_month(_months(batch, *within), *within))
             new = facts.not_yet_loaded(new, earlier, key)
         new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(house.path(table))
+        ).partitionBy(*by).parquet(house.path(table))
 
     _run(stream, write_batch, checkpoint)
 
 
 def append_and_recompute(house: Warehouse, trips: DataFrame, checkpoint: str) -> None:
-    """Append arriving trips to the fact and rebuild the aggregates of their pickup months.
+    """Put arriving trips into the fact and rebuild the aggregates of their pickup months.
 
-    A late trip changes the month it was picked up in, not the month of its file;
-    only the months a batch touches are read and replaced.
+    The fact keeps its layout, so a house built in batches can be streamed into. A trip
+    that is sent again replaces the one the partition holds; of several in one batch one
+    is kept. A late trip changes the month it was picked up in, not the month of its
+    file; only the partitions and months that a batch touches are read and replaced.
     """
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = facts.fact_trips(batch).withColumn("batch_id", F.lit(batch_id))
-        house.overwrite("fact_trips", rows, ["batch_id", *FACT_PARTITIONS], clustered=True)
-        written = house.read("fact_trips").filter(F.col("batch_id") == batch_id)
+    def apply(batch: DataFrame, _: int) -> None:
+        arrived = facts.fact_trips(batch)
+        order = Window.partitionBy("trip_id").orderBy(F.desc("pickup_date_key"), F.xxhash64(*arrived.columns))
+        rows = arrived.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
+        sources = _months(rows, "source_year", "source_month")
+        if not sources:
+            return
+        note_touched(house, sources)
+        touched = in_any_month(sources, "source_year", "source_month")
+        if house.has("fact_trips"):
+            held = house.read("fact_trips").filter(touched).join(
+                rows.select("trip_id", *FACT_PARTITIONS), ["trip_id", *FACT_PARTITIONS], "left_anti"
+            )
+            rows = held.select(*rows.columns).unionByName(rows)
+        # a partition is not replaced while it is read
+        staged = scratch_dir(house.spark, "fact-staged")
+        rows.write.parquet(staged)
+        house.overwrite(
+            "fact_trips", house.spark.read.parquet(staged), FACT_PARTITIONS, sort=("pickup_date_key",)
+        )
+        note_touched(house, sources)
         month = temporal.month_of_key(F.col("pickup_date_key"))
-        touched = written.select(
-            F.floor(month / 100).cast("int").alias("year"), (month % 100).alias("month")
+        pickups = house.spark.read.parquet(staged).select(
+            F.floor(month / 100).cast("int").alias("year"), (month % 100).cast("int").alias("month")
         )
-        rebuild_aggregates(house, _months(touched, "year", "month"))
+        rebuild_aggregates(house, _months(pickups, "year", "month"))
 
     _run(trips, apply, checkpoint)
 
 
 __all__ = [
-    "append_and_recompute", "append_final_hours", "append_new", "hourly_demand", "ingest",
+    "append_and_recompute", "append_final_hours", "append_new", "hourly_demand",
+    "hours_so_far", "ingest", "keep_hours",
 ]
