@@ -201,6 +201,41 @@ def test_line_dedup_joins_when_ids_are_many(spark, monkeypatch):
     test_line_dedup_against_all_pairs(spark, 2, 30)
 
 
+def word_edited_lines() -> list[tuple]:
+    import random
+
+    rng, rows = random.Random(6), []
+    vocabulary = ["".join(rng.choice("abcdeé😀") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    lines = [rng.choices(vocabulary, k=k) for k in (12, 19, 20, 21, 39, 40, 41, 60, 75, 140, 400)]
+    for i in range(120):
+        own = list(rng.choice(lines))
+        most = len(own) // 20
+        for _ in range(rng.choice([max(most - 1, 0), most, most, most + 1])):
+            at = rng.randrange(len(own))
+            own[at : at + rng.choice([0, 1, 1])] = rng.choice([[], [f"new{rng.randint(0, 9)}orthth"]])
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_line_dedup_threshold_grows_with_the_words(spark):
+    rows = word_edited_lines()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, words_an_edit=20).collect()}
+    firsts, want, by_words = [], {}, 0
+    for i, line in rows:
+        own = line.split(" ")
+        gone = line in firsts or any(distance(x, line) <= 2 for x in firsts if abs(len(x) - len(line)) <= 2)
+        near = any(
+            abs(len(x) - len(own)) <= min(len(x), len(own)) // 20 and distance(x, own) <= min(len(x), len(own)) // 20
+            for x in (first.split(" ") for first in firsts)
+        )
+        by_words += near and not gone
+        want[i] = "" if gone or near else line
+        if line not in firsts:
+            firsts.append(line)
+    assert found == want and by_words > 20
+
+
 def test_line_dedup_awkward(clashing, no_docs):
     found = line_dedup.without_duplicate_lines(clashing)
     assert found.columns == clashing.columns

@@ -1,9 +1,10 @@
 """Line deduplication by a segment-partition edit join.
 
 A line that holds a word is removed if an equal line comes earlier in the corpus, or if,
-being the first of its kind, some earlier line lies within ``edits`` edits of it. Order is
-by doc_id, then by a hash of the text, then by place in the text. Lines of fewer than
-``min_chars`` characters are only compared for equality.
+being the first of its kind, some earlier line lies within ``edits`` edits of it or, as long
+lines may differ in more, if one word in ``words_an_edit`` of the shorter one is inserted,
+deleted or replaced at most (not looked for without that parameter). Order is by doc_id, then by a hash of the text, then by place in
+the text. Lines of fewer than ``min_chars`` characters are only compared for equality.
 
 The edit join cuts every distinct line into edits + 1 segments. Two lines within the
 threshold share one of them, at a place that moves by no more than the threshold, so a
@@ -12,6 +13,11 @@ only. What meets under one key is first held against counts of four classes of l
 the rest is verified by a banded bit-parallel edit distance: a band of 2 * edits + 1 rows
 is a number whose bits are the vertical differences of a column.
 
+The word join has no bound on a line's length. With one edit in p words, two lines share a run
+of p / 2 words somewhere. Of the hashes of all shorter runs in such a stretch each line keeps
+the least as a key, so both have that one, wherever the stretch lies. What meets is verified
+by the edit distance of texts that have one character for each word.
+
 Built-in functions only. Equal lines are joined by partial aggregation before anything is
 compared, and a key shared by many lines is joined without writing its pairs: only those
 that pass the counts leave the join.
@@ -27,10 +33,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar.llm.common import SPACES, stored, table
+from tripstar.llm.common import SPACES, stored, table, words
 
 EDITS = 2
 MIN_CHARS = 30
+WORDS_AN_EDIT = 20  # a line of so many words may differ in one of them, of twice as many in two
 BROADCAST_LINES = 1_000_000  # hashes of candidate lines, 8 bytes each; beyond it they are joined
 
 # Letters whose counts two lines are held against first.
@@ -144,16 +151,32 @@ def banded_distance(longer: str, shorter: str, edits: int) -> str:
     return _let(f"named_struct('xs', split({longer}, ''), 'ys', split({shorter}, ''))", "t", run)
 
 
+def word_distance(xs: str, ys: str, edits: str) -> str:
+    """SQL: edit distance of two arrays of words if at most ``edits``, else -1."""
+
+    def coded(own: str) -> str:
+        # the place among the pair's words as a character; surrogates and byte order marks are left out
+        place = _let("array_position(v, w)", "p", "lpad(hex(IF(p < 55296, p, p + 10240)), 8, '0')")
+        return f"decode(unhex(array_join(transform({own}, w -> {place}), '')), 'UTF-32')"
+
+    return _let(f"array_distinct(concat({xs}, {ys}))", "v", f"levenshtein({coded(xs)}, {coded(ys)}, {edits})")
+
+
 class LineDedup:
     """Decides line by line over (doc_id, text); see the module's text for the rule."""
 
-    def __init__(self, docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col="doc_id", text_col="text"):
+    def __init__(
+        self, docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col="doc_id", text_col="text",
+        words_an_edit: int | None = None,
+    ):
         if not edits < min_chars:
             raise ValueError("lines must have more characters than edits")
         if edits > 15:
             raise ValueError("the band holds at most 15 edits to either side")
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        self.edits, self.min_chars = edits, min_chars
+        if words_an_edit is not None and words_an_edit < 2:
+            raise ValueError("lines must have more words than edits")
+        self.edits, self.min_chars, self.words_an_edit = edits, min_chars, words_an_edit
 
     def firsts(self) -> DataFrame:
         """Stored h1, h2 and the first place of each distinct line; no text is shuffled."""
@@ -162,8 +185,9 @@ class LineDedup:
         return stored(found, "lines-first")
 
     def candidates(self) -> DataFrame:
-        """Stored pairs (a, b) of first line hashes that share a segment and have close letter counts.
+        """Stored pairs (a, b) of first line hashes, by_words or by characters.
 
+        They share a run of words, or a segment and have close letter counts.
         Two lines of one 64-bit hash stay together here and are told apart when verified.
         """
         lines = (
@@ -177,7 +201,28 @@ class LineDedup:
         x = cut.selectExpr("h1", "letters", f"explode({index_keys(self.edits)}) AS key").alias("x")
         y = cut.selectExpr("h1", "letters", f"explode({probe_keys(self.edits)}) AS key").alias("y")
         met = x.join(y, F.expr(f"x.key = y.key AND x.h1 <> y.h1 AND {_close(self.edits)}"))
-        return stored(met.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b").distinct(), "lines-pairs")
+        close = met.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b", "false AS by_words")
+        if self.words_an_edit:
+            close = close.unionByName(self.word_candidates(lines))
+        return stored(close.distinct(), "lines-pairs")
+
+    def word_candidates(self, lines: DataFrame) -> DataFrame:
+        """Pairs of lines that share the least hash of a stretch of words."""
+        run = self.words_an_edit // 2
+        window = max(run // 2, 1)
+        width = run - window + 1
+        runs = ", ".join(f"get(hashes, i + {k})" for k in range(width))
+        near = ", ".join(f"get(runs, i + {k})" for k in range(window))
+        least = f"least({near})" if window > 1 else near
+        cut = (
+            lines.where(F.col("n") >= 2 * self.words_an_edit - 1)
+            .select("h1", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)).alias("hashes"))
+            .where(F.size("hashes") >= self.words_an_edit)
+            .selectExpr("h1", "size(hashes) AS m", f"transform(sequence(0, size(hashes) - {width}), i -> xxhash64({runs})) AS runs")
+            .selectExpr("h1", "m", f"explode(array_distinct(transform(sequence(0, size(runs) - {window}), i -> {least}))) AS key")
+        )
+        rule = f"x.key = y.key AND x.h1 < y.h1 AND abs(x.m - y.m) <= least(x.m, y.m) DIV {self.words_an_edit}"
+        return cut.alias("x").join(cut.alias("y"), F.expr(rule)).selectExpr("x.h1 AS a", "y.h1 AS b", "true AS by_words")
 
     def near(self, firsts: DataFrame) -> DataFrame:
         """h1 and h2 of the distinct lines with an earlier line within the threshold."""
@@ -202,9 +247,23 @@ class LineDedup:
             F.when(F.col("fa") < F.col("fb"), F.col("ib")).otherwise(F.col("ia")).alias("later"),
             F.when(swap, F.col("la")).otherwise(F.col("lb")).alias("longer"),
             F.when(swap, F.col("lb")).otherwise(F.col("la")).alias("shorter"),
-        ).where(f"char_length(longer) - char_length(shorter) <= {self.edits}")
-        measured = both.select("later", F.expr(banded_distance("longer", "shorter", self.edits)).alias("d"))
-        return measured.where(F.col("d") <= self.edits).select("later.h1", "later.h2").distinct()
+            "by_words",
+        )
+        by_chars = both.where(f"NOT by_words AND char_length(longer) - char_length(shorter) <= {self.edits}").where(
+            F.expr(banded_distance("longer", "shorter", self.edits)) <= self.edits
+        )
+        if not self.words_an_edit:
+            return by_chars.select("later.h1", "later.h2").distinct()
+        # each word that only one of them has takes an edit
+        by_words = (
+            both.where("by_words")
+            .select("later", words(F.col("longer")).alias("xs"), words(F.col("shorter")).alias("ys"))
+            .withColumn("most", F.expr(f"least(size(xs), size(ys)) DIV {self.words_an_edit}"))
+            .where("greatest(size(array_except(xs, ys)), size(array_except(ys, xs))) <= most")
+            .where(F.expr(word_distance("xs", "ys", "most")) >= 0)
+        )
+        found = by_chars.select("later").unionByName(by_words.select("later"))
+        return found.select("later.h1", "later.h2").distinct()
 
     def places(self) -> DataFrame:
         """doc_id, th, the sorted places of the lines that stay, and the count of near ones."""
@@ -228,14 +287,16 @@ def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
     return own.join(found, hit, "left").drop("__id", "th", "__th")
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, words_an_edit: int | None = None
+) -> DataFrame:
     """The documents with duplicate lines taken out of ``text``; blank lines stay."""
     lines = F.split(F.col("text"), "\n")
     blank = F.filter(
         F.sequence(F.lit(0), F.size("__lines") - 1), lambda i: F.btrim(F.get("__lines", i), F.lit(SPACES)) == ""
     )
     kept = F.sort_array(F.array_union(F.coalesce("__kept", F.array().cast("array<int>")), blank))
-    found = _with_places(docs, LineDedup(docs, edits, min_chars).places()).withColumn("__lines", lines)
+    found = _with_places(docs, LineDedup(docs, edits, min_chars, words_an_edit=words_an_edit).places()).withColumn("__lines", lines)
     text = F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n")
     return found.withColumn("text", F.when(F.col("text").isNotNull(), text)).select(*docs.columns)
 
@@ -249,7 +310,7 @@ def without_duplicate_lines(docs: DataFrame) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = _with_places(docs, LineDedup(docs).places())
+    found = _with_places(docs, LineDedup(docs, words_an_edit=WORDS_AN_EDIT).places())
     n_lines = F.size(
         F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     )
