@@ -93,6 +93,17 @@ def test_join_awkward(spark, clashing, no_docs):
     assert ngram_join.ngram_components(no_docs).count() == ngram_join.one_of_each_group(no_docs).count() == 0
 
 
+def test_one_of_each_group_tells_rows_of_one_id_apart(spark):
+    one, two, three = text(1), text(2), text(3)
+    near = three.replace(three.split()[3], "zzz", 1)
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, near), (3, two + "\nquite another line of words here.")]
+    kept = ngram_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = collections.Counter(r.doc_id for r in kept)
+    # text two is left under id 2, and one of the two near texts of id 3
+    assert (2, two) in [tuple(r) for r in kept] and (2, one) not in [tuple(r) for r in kept]
+    assert sum(r.text in (three, near) for r in kept) == 1 and found[1] == 1
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 200), (160, 300), (300, 159)]

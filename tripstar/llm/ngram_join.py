@@ -91,16 +91,18 @@ class NgramJoin:
     """One join over (doc_id, text); ``percent`` is the least Jaccard similarity."""
 
     def __init__(self, docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text"):
-        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        self.docs = docs.select(
+            F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th")
+        )
         self.spark, self.width, self.percent = docs.sparkSession, width, percent
 
     def sets(self) -> DataFrame:
-        """Stored doc_id, n and node of each row; sets the global order on the way."""
+        """Stored doc_id, th (hash of the text), n and node of each row; sets the global order on the way."""
         width = self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
-            names = ["doc_id", "n", "node", "chunk", "counts"]
+            names = ["doc_id", "th", "n", "node", "chunk", "counts"]
             for batch in batches:
                 n, nodes = [], []
                 for text in batch.column(1):
@@ -110,18 +112,18 @@ class NgramJoin:
                     nodes.append(_node(own))
                 empty = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), *empty], names=names
+                    [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), *empty], names=names
                 )
             rows = len(counts) // _CHUNK
             parts = [counts[i * _CHUNK : (i + 1) * _CHUNK] for i in range(rows)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()),
+                [*[pa.nulls(rows, pa.int64())] * 3, pa.nulls(rows, pa.binary()),
                  pa.array(range(rows), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
                 names=names,
             )
 
         found = stored(
-            self.docs.mapInArrow(run, "doc_id long, n long, node binary, chunk int, counts binary"), "ngram-sets"
+            self.docs.mapInArrow(run, "doc_id long, th long, n long, node binary, chunk int, counts binary"), "ngram-sets"
         )
 
         def add(key, pdf):
@@ -141,7 +143,7 @@ class NgramJoin:
         for row in sums:
             counts[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.frombuffer(row.counts, dtype=np.int64)
         self.order = self.spark.sparkContext.broadcast(Order(counts, FRAGMENTS))
-        return found.where("chunk IS NULL").select("doc_id", "n", "node")
+        return found.where("chunk IS NULL").select("doc_id", "th", "n", "node")
 
     def prefixes(self) -> DataFrame:
         """A row (token, node, n, last) for each token of the prefix of each node."""
@@ -325,8 +327,8 @@ class NgramJoin:
         tested = compared.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         return stored(pairs.join(tested, ["u", "v"], "left_anti"), "ngram-pairs")
 
-    def run(self) -> DataFrame:
-        """doc_id, n_shingles and component_id of each row."""
+    def named(self) -> DataFrame:
+        """doc_id, th, n and the name of the component of each row; no name without shingles."""
         rows = self.sets()
         shared = self.shared()
         compared = self.linked(self.stars(shared))
@@ -334,7 +336,11 @@ class NgramJoin:
         more = self.linked(self.across(shared, compared, components(links))).where("hit")
         final = components(links.unionByName(more.select("u", "v")))
         # a row without a link is its own component; copies share their node
-        joined = rows.join(final, "node", "left").withColumn("name", F.coalesce("component", "node"))
+        return rows.join(final, "node", "left").select("doc_id", "th", "n", F.coalesce("component", "node").alias("name"))
+
+    def run(self) -> DataFrame:
+        """doc_id, n_shingles and component_id of each row."""
+        joined = self.named()
         least = joined.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("component_id"))
         return joined.join(least, "name", "left").select(
             "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
@@ -347,13 +353,17 @@ def ngram_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
 
 
 def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows whose id is the least of their component; rows without id stay.
+    """Of each component the row of the least id and hash of the text; rows without id stay.
 
-    Rows repeating both id and text are kept once.
+    A row is told by its id and text, so another text of the same id is judged by itself.
+    Rows repeating both are kept once.
     """
-    found = ngram_components(docs, width, percent)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    rows = stored(NgramJoin(docs, width, percent).named().where("doc_id IS NOT NULL AND name IS NOT NULL"), "ngram-rows")
+    row = F.struct("doc_id", "th")
+    first = rows.groupBy("name").agg(F.min(row).alias("first"))
+    gone = rows.join(first, "name").where(row != F.col("first")).select("doc_id", "th").distinct()
+    own = (docs["doc_id"].cast("long") == gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["th"])
+    kept = docs.join(gone, own, "left_anti")
     place = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
     once = kept.withColumn("__place", F.row_number().over(place)).where("__place = 1 OR doc_id IS NULL")
     return once.select(*docs.columns)
