@@ -223,3 +223,12 @@ def test_mix_awkward(spark, clashing, no_docs):
     n_words = mixed.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
     assert n_words == sum(taken.values())
     assert mixing.mixed_documents(no_docs).count() == 0
+
+
+def test_mix_keeps_the_lines_of_a_cut_text(spark):
+    texts = {i: "\n ".join(f"a{i}  b\tc{j}" for j in range(20)) for i in range(9)}
+    rows = [(i, t, "s" if i % 3 else "r", len(t)) for i, t in texts.items()]
+    mixed = mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")).collect()
+    cut = [r for r in mixed if r.text != texts[r.doc_id]]
+    assert cut and all(texts[r.doc_id].startswith(r.text) and "\n " in r.text for r in cut)
+    assert all(r.n_chars == len(r.text) for r in mixed)
