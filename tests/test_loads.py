@@ -190,3 +190,14 @@ def test_late_trip_changes_the_month_it_was_picked_up_in(spark, house):
         jobs.append_and_recompute(house, stream, checkpoint)
     row = house.read("fact_trips_daily_agg").first()
     assert (row.total_trips, float(row.total_revenue)) == (2, 12.0)
+
+
+def test_streamed_trip_without_an_id_fails_the_batch(spark, house):
+    from test_semantics import trip
+    from tripstar.schemas import CONFORMED
+
+    source, checkpoint = scratch_dir(spark, "no-id"), scratch_dir(spark, "checkpoint")
+    rows = [trip(trip_id=None, total_amount=5), trip(trip_id=None, total_amount=7), trip(trip_id=1)]
+    spark.createDataFrame(rows, CONFORMED).coalesce(1).write.parquet(source)
+    with pytest.raises(Exception, match="no trip_id"):
+        jobs.append_and_recompute(house, spark.readStream.schema(CONFORMED).parquet(source), checkpoint)

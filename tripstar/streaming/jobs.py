@@ -160,11 +160,14 @@ def append_and_recompute(house: Warehouse, trips: DataFrame, checkpoint: str) ->
     The fact keeps its layout, so a house built in batches can be streamed into. A trip
     that is sent again replaces the one the partition holds; of several in one batch one
     is kept. A late trip changes the month it was picked up in, not the month of its
-    file; only the partitions and months that a batch touches are read and replaced.
+    file; only the partitions and months that a batch touches are read and replaced. A trip
+    without an id could not be told from one that is sent again, so it fails the batch.
     """
+    no_id = F.raise_error(F.lit("a trip has no trip_id"))
 
     def apply(batch: DataFrame, _: int) -> None:
         arrived = facts.fact_trips(batch)
+        arrived = arrived.withColumn("trip_id", F.coalesce("trip_id", no_id))
         order = Window.partitionBy("trip_id").orderBy(F.desc("pickup_date_key"), F.xxhash64(*arrived.columns))
         rows = arrived.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
         sources = _months(rows, "source_year", "source_month")
