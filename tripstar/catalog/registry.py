@@ -11,6 +11,8 @@ from tripstar.catalog.operations import OPERATIONS
 from tripstar.catalog.oracle_insights import INSIGHT_CHECKS
 from tripstar.catalog.oracle_marts import DIMENSION_CHECKS, FACT_CHECKS, MART_CHECKS
 from tripstar.catalog.oracle_operations import OPERATION_CHECKS
+from tripstar.catalog.oracle_upkeep import UPKEEP_CHECKS
+from tripstar.catalog.upkeep import UPKEEP
 from tripstar.session import configure
 
 
@@ -36,7 +38,7 @@ def _registered(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _registered(query) for name, query in {**ANALYTICS, **OPERATIONS}.items()}
+    return {name: _registered(query) for name, query in {**ANALYTICS, **OPERATIONS, **UPKEEP}.items()}
 
 
 def all_checks() -> dict[str, str]:
@@ -46,4 +48,5 @@ def all_checks() -> dict[str, str]:
         **MART_CHECKS,
         **INSIGHT_CHECKS,
         **OPERATION_CHECKS,
+        **UPKEEP_CHECKS,
     }

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripstar.catalog.oracle_base import CALENDAR
-from tripstar.operators import facts
+from tripstar.operators import facts, rollups
 from tripstar.operators.upsert import path_exists
 from tripstar.session import scratch_dir
 from tripstar.sources import dimensions, testdata
@@ -58,6 +58,20 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "fact", lambda: facts.fact_trips(trips(spark, sf_dir)))
 
 
+def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "daily", lambda: facts.daily_agg(fact(spark, sf_dir)))
+
+
+def daily_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct members per day and service, built from the stored daily aggregate alone."""
+    return _stored(spark, sf_dir, "daily-sets", lambda: rollups.daily_sets(daily(spark, sf_dir)))
+
+
+def slot_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue classes per day, hour and service."""
+    return _stored(spark, sf_dir, "slot-revenue", lambda: rollups.slot_revenue(fact(spark, sf_dir)))
+
+
 def star(spark: SparkSession, sf_dir: str) -> Star:
     fact_trips = fact(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir, _paths[_key(spark, sf_dir, "fact")])

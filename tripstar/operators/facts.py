@@ -24,13 +24,17 @@ MEASURE_COLUMNS = [
 ]
 DAILY_KEYS = ["date_key", "pickup_location_id", "dropoff_location_id", "file_type", "vendor_id"]
 HOURLY_KEYS = ["date_key", "time_key", "file_type", "pickup_location_id"]
+DAILY_MEASURES = ["passengers", "distance", "revenue", "tip", "fare", "duration"]
+HOURLY_MEASURES = ["passengers", "distance", "revenue", "fare"]
 
 
-def fact_trips(trips: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
+def fact_trips(
+    trips: DataFrame, year: int | None = None, month: int | None = None, keep: dict[str, Column] | None = None
+) -> DataFrame:
     """Conformed trips as fact rows: smart keys, defaulted foreign keys, duration.
 
     With a year and month only that source month is projected; on a table
-    partitioned by them this prunes the scan.
+    partitioned by them this prunes the scan. ``keep`` adds columns of the trips.
     """
     if year is not None:
         trips = trips.filter(F.col("year") == year)
@@ -61,6 +65,7 @@ def fact_trips(trips: DataFrame, year: int | None = None, month: int | None = No
         F.col("year").alias("source_year"),
         F.col("month").alias("source_month"),
         "processed_at",
+        *[column.alias(name) for name, column in (keep or {}).items()],
     )
 
 
@@ -97,14 +102,20 @@ def in_month(fact: DataFrame, year: int, month: int) -> DataFrame:
 
 def daily_agg(fact: DataFrame) -> DataFrame:
     """One row per day, route, service and vendor."""
-    located = fact.filter(
+    return daily_columns(reduce_trips(daily_rows(fact), DAILY_KEYS, DAILY_MEASURES))
+
+
+def daily_rows(fact: DataFrame) -> DataFrame:
+    """The trips that the daily aggregate counts, under its keys."""
+    return fact.filter(
         F.col("pickup_location_id").isNotNull()
         & F.col("dropoff_location_id").isNotNull()
         & F.col("vendor_id").isNotNull()
     ).withColumnRenamed("pickup_date_key", "date_key")
-    state = reduce_trips(
-        located, DAILY_KEYS, ["passengers", "distance", "revenue", "tip", "fare", "duration"]
-    )
+
+
+def daily_columns(state: DataFrame) -> DataFrame:
+    """The columns of the daily aggregate, from sums and counts per key."""
     tips_per_fare = F.when(
         F.col("sum_fare") > 0,
         F.col("sum_tip").cast("double") / F.col("sum_fare").cast("double") * 100,
@@ -125,19 +136,21 @@ def daily_agg(fact: DataFrame) -> DataFrame:
 
 def hourly_agg(fact: DataFrame) -> DataFrame:
     """One row per day, hour, service and pickup place."""
-    located = fact.filter(
+    return hourly_columns(reduce_trips(hourly_rows(fact), HOURLY_KEYS, HOURLY_MEASURES))
+
+
+def hourly_rows(fact: DataFrame) -> DataFrame:
+    """The trips that the hourly aggregate counts, under its keys."""
+    return fact.filter(
         F.col("pickup_time_key").isNotNull() & F.col("pickup_location_id").isNotNull()
-    ).select(
-        F.col("pickup_date_key").alias("date_key"),
-        temporal.hour_bucket(F.col("pickup_time_key")).alias("time_key"),
-        "file_type",
-        "pickup_location_id",
-        "passenger_count",
-        "trip_distance",
-        "total_amount",
-        "fare_amount",
-    )
-    state = reduce_trips(located, HOURLY_KEYS, ["passengers", "distance", "revenue", "fare"])
+    ).withColumns({
+        "date_key": F.col("pickup_date_key"),
+        "time_key": temporal.hour_bucket(F.col("pickup_time_key")),
+    })
+
+
+def hourly_columns(state: DataFrame) -> DataFrame:
+    """The columns of the hourly aggregate, from sums and counts per key."""
     return state.select(
         *HOURLY_KEYS,
         F.col("trips").alias("total_trips"),

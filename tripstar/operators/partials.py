@@ -61,6 +61,26 @@ def reduce_trips(
     return trips.groupBy(*keys).agg(*state)
 
 
+def signed(rows: DataFrame, keys: list[str], measures: list[str], sign: str) -> DataFrame:
+    """The state of :func:`reduce_trips` with each row counted by its sign, 1 or -1."""
+    state = [F.sum(F.col(sign).cast("bigint")).alias("trips")]
+    for name in measures:
+        value = measure(name)
+        state += [F.sum(F.when(F.col(sign) > 0, value).otherwise(-value)).alias(f"sum_{name}")]
+        state += [F.sum(F.when(value.isNotNull(), F.col(sign).cast("bigint")).otherwise(0)).alias(f"n_{name}")]
+    return rows.groupBy(*keys).agg(*state)
+
+
+def add_up(states: DataFrame, keys: list[str]) -> DataFrame:
+    """States of the same key added up; a sum of which no value is left is NULL again."""
+    totals = states.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in states.columns if c not in keys])
+    sums = [c.removeprefix("sum_") for c in totals.columns if c.startswith("sum_")]
+    types = dict(states.dtypes)
+    return totals.withColumns(
+        {f"sum_{m}": F.when(F.col(f"n_{m}") != 0, F.col(f"sum_{m}").cast(types[f"sum_{m}"])) for m in sums}
+    )
+
+
 def merge(
     reduced: DataFrame, by: list[str], measures: list[str], *others: str, **more: Column
 ) -> DataFrame:

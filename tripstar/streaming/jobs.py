@@ -6,12 +6,14 @@ retried overwrites what it wrote before, so each input is counted once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripstar.functions import temporal
 from tripstar.operators import facts
+from tripstar.plans.deltas import DeltaFacts
 from tripstar.plans.load import (
     FACT_PARTITIONS,
     Warehouse,
@@ -19,6 +21,7 @@ from tripstar.plans.load import (
     load,
     note_touched,
     rebuild_aggregates,
+    touched_by,
 )
 from tripstar.schemas import SERVICES
 from tripstar.session import scratch_dir
@@ -160,7 +163,7 @@ def append_and_recompute(house: Warehouse, trips: DataFrame, checkpoint: str) ->
     The fact keeps its layout, so a house built in batches can be streamed into. A trip
     that is sent again replaces the one the partition holds; of several in one batch one
     is kept. A late trip changes the month it was picked up in, not the month of its
-    file; only the partitions and months that a batch touches are read and replaced. A trip
+    file, and a trip sent again with another pickup changes both its months; only the partitions and months that a batch touches are read and replaced. A trip
     without an id could not be told from one that is sent again, so it fails the batch.
     """
     no_id = F.raise_error(F.lit("a trip has no trip_id"))
@@ -187,16 +190,76 @@ def append_and_recompute(house: Warehouse, trips: DataFrame, checkpoint: str) ->
             "fact_trips", house.spark.read.parquet(staged), FACT_PARTITIONS, sort=("pickup_date_key",)
         )
         note_touched(house, sources)
-        month = temporal.month_of_key(F.col("pickup_date_key"))
-        pickups = house.spark.read.parquet(staged).select(
-            F.floor(month / 100).cast("int").alias("year"), (month % 100).cast("int").alias("month")
-        )
-        rebuild_aggregates(house, _months(pickups, "year", "month"))
+        # also the months that trips of these sources were picked up in before this batch
+        rebuild_aggregates(house, touched_by(house, sources))
 
     _run(trips, apply, checkpoint)
 
 
+def append_once(
+    house: Warehouse, stream: DataFrame, table: str, keys: list[str], time: str, checkpoint: str, delay: str = "1 day"
+) -> None:
+    """Append one row per key; keys are remembered in state for ``delay``, not looked up.
+
+    Rows of a key share their ``time`` (add it to the keys where they may not). What arrives is
+    split at a high-water mark, the latest time of the batches before it less ``delay``. Rows
+    above it pass a deduplication whose state is dropped as the watermark moves on, and the
+    stored table is not read for them. Only rows below it, or without a time, are compared
+    with the stored rows of their times. Each part has its own checkpoint and every batch
+    replaces what it wrote, so a job that stopped anywhere goes on where it was.
+    """
+    spark, names = house.spark, [f.name for f in stream.schema.fields]
+    arrivals, marks = f"{table}_arrivals", f"{table}_marks"
+
+    def put(part: str, batch_id: int, rows: DataFrame) -> None:
+        path = f"{house.path(part)}/batch_id={batch_id}"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        put(marks, batch_id, batch.agg(F.max(time).alias("high")))
+        before = spark.read.parquet(house.path(marks)).filter(F.col("batch_id") < batch_id)
+        high = before.agg((F.max("high").cast("timestamp") - F.expr(f"INTERVAL {delay}")).alias("mark")).first().mark
+        late = F.col(time).isNull()
+        if high is not None:
+            late = late | (F.col(time).cast("timestamp") < F.lit(high))
+        for part, rows in (("late", batch.filter(late)), ("timely", batch.filter(~late))):
+            put(f"{arrivals}/{part}", batch_id, rows)
+
+    def arrived(part: str) -> DataFrame:
+        path = house.path(f"{arrivals}/{part}")
+        return spark.readStream.schema(stream.schema).option("recursiveFileLookup", "true").parquet(path)
+
+    def store(part: str, batch: DataFrame, batch_id: int) -> None:
+        put(f"{table}/part={part}", batch_id, batch.select(*names))
+
+    def store_late(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.dropDuplicates(keys)
+        spans = rows.agg(F.min(time).alias("low"), F.max(time).alias("high"), F.count_if(F.col(time).isNull()).alias("n")).first()
+        earlier = house.read(table).filter((F.col("part") == "timely") | (F.col("batch_id") < batch_id))
+        near = F.lit(False) if spans.low is None else F.col(time).between(spans.low, spans.high)
+        if spans.n:
+            near = near | F.col(time).isNull()
+        held = earlier.filter(near).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        store("late", rows.join(held, reduce(lambda a, b: a & b, same), "left_anti"), batch_id)
+
+    _run(stream, split, f"{checkpoint}/split")
+    timed = arrived("timely").withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
+    once = timed.dropDuplicatesWithinWatermark(keys).drop("_time")
+    _run(once, lambda batch, batch_id: store("timely", batch, batch_id), f"{checkpoint}/timely")
+    _run(arrived("late"), store_late, f"{checkpoint}/late")
+
+
+def keep_up(
+    house: Warehouse, trips: DataFrame, checkpoint: str, sent: str = "processed_at", deleted: str | None = None
+) -> DeltaFacts:
+    """Take arriving, changed and deleted trips into a fact and aggregates kept by deltas."""
+    kept = DeltaFacts(house)
+    _run(trips, lambda batch, batch_id: kept.apply(batch, batch_id, sent, deleted), checkpoint)
+    return kept
+
+
 __all__ = [
-    "append_and_recompute", "append_final_hours", "append_new", "hourly_demand",
-    "hours_so_far", "ingest", "keep_hours",
+    "append_and_recompute", "append_final_hours", "append_new", "append_once", "hourly_demand",
+    "hours_so_far", "ingest", "keep_hours", "keep_up",
 ]
