@@ -25,6 +25,7 @@ encoded piece by piece; the text itself must fit.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -53,8 +54,38 @@ LEVEL = 3
 
 # only these blanks are known to be dropped by any such vocabulary; others stay with their words
 _WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
+_COMMON = re.compile(r"[!-~À-ÖØ-öø-ÿ¡¿«»–—‘’“”…]+")
+_LETTERS = "a-zß-öø-ÿ"
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 _ODD_BLANK = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
+# fixed values: how a vocabulary of this kind says that it normalises and cuts texts
+CLIPPED = (
+    {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+# byte-level vocabularies write printable bytes as they are, the others as characters from 256 on
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_STANDING = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 # numbers of the public seekable format
 SKIPPABLE, LIST_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 _FOOTER, _HEAD = struct.Struct("<IBI"), struct.Struct("<II")
@@ -76,11 +107,15 @@ def storage(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 
 class WordEncoder:
-    """Ids of texts under a vocabulary that drops white space, with a bounded cache of words.
+    """Ids of texts under a vocabulary that drops white space, with bounded caches of words.
 
     Such a vocabulary never joins what blanks keep apart, so words are encoded by themselves;
     most repeat and are found in the cache. When it is full, others are encoded each time, and
     so are words of more than ``LONG_WORD`` characters.
+
+    Where the vocabulary lowers letters and cuts words as ``CLIPPED`` says, a word of common
+    Latin characters is cut here and its parts go to the library's merges alone; all other
+    words, and those that may hold a special token, pass the library as a whole.
     """
 
     def __init__(self, vocabulary: str, cached_parts: int = CACHED_PARTS):
@@ -88,9 +123,33 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        config = json.loads(self.library.to_str())
+        self.clipped = (config["normalizer"], config["pre_tokenizer"]) == CLIPPED
+        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.cached_parts = cached_parts
 
+    def _part(self, part: str) -> bytes:
+        """Ids of a word's part by the merges; bytes are written as the characters standing for them."""
+        ids = self.parts.get(part)
+        if ids is None:
+            written = part if part.isascii() else part.encode().decode("latin-1").translate(_STANDING)
+            ids = np.array([t.id for t in self.library.model.tokenize(written)], dtype="<u4").tobytes()
+            if len(self.parts) < self.cached_parts and len(part) <= LONG_WORD:
+                self.parts[part] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if self.clipped and "<|" not in word and _COMMON.fullmatch(word):
+                ids = b"".join(map(self._part, _PARTS.findall(word.lower())))
+            else:
+                ids = np.array(self.library.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if len(self.words) < self.cached_parts and len(word) <= LONG_WORD:
+                self.words[word] = ids
+        return ids
+
     def pieces(self, text: str, n_chars: int = PIECE_CHARS) -> Iterator[str]:
         """A text cut at blanks into pieces of about so many characters."""
         start = 0
@@ -105,14 +164,9 @@ class WordEncoder:
         """Ids of a text, piece by piece, as little-endian uint32 bytes."""
         for piece in self.pieces(text):
             words = _WORD.findall(piece) if _ODD_BLANK.search(piece) else piece.split()
-            found = list(map(self.parts.get, words))
+            found = list(map(self.words.get, words))
             if None in found:
-                unseen = list({w for w, ids in zip(words, found, strict=True) if ids is None})
-                encoded = self.library.encode_batch(unseen, add_special_tokens=False)
-                fresh = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(unseen, encoded, strict=True)}
-                if len(self.parts) + len(fresh) <= self.cached_parts:
-                    self.parts.update((w, ids) for w, ids in fresh.items() if len(w) <= LONG_WORD)
-                found = [fresh[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+                found = [self._word(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
             yield b"".join(found)
 
 
