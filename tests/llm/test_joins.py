@@ -165,18 +165,35 @@ def test_chi_square_quantile():
     assert abs(nearest.chi_square_quantile(0.99, 2) - 9.2103) < 1e-3
 
 
+def planted_copies(n: int = 5) -> list[tuple]:
+    """Pairs of one-line documents that differ in a run of 8 of 120 words: too much for the line
+    stage (one word in twenty), while their 5-word shingles have a similarity of 104 / 128."""
+    rows = []
+    for i in range(n):
+        words = [w for k in range(12) for w in text(9000 + 20 * i + k, 1, 14).split()][:120]
+        other = words[:50] + [f"q{i}w{k}x" for k in range(8)] + words[58:]
+        rows += [(9000 + 2 * i + k, " ".join(w), "en", "planted", len(" ".join(w))) for k, w in enumerate((words, other))]
+    return rows
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.unionByName(spark.createDataFrame(planted_copies(), SCHEMA))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "ngram_join", "mixing", "packing"]
     sizes = []
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = corpus_pipeline.stored(stage(spark, docs, sf_dir), "stage")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         sizes.append(docs.count())
+        left = {r.doc_id for r in docs.where("doc_id >= 9000").select("doc_id").distinct().collect()}
+        if len(sizes) == 3:
+            assert left == {9000, 9002, 9004, 9006, 9008}
+        elif len(sizes) < 3:
+            assert len(left) == 10
     assert sizes[0] > sizes[1] > sizes[2] > 0
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert packed.where("piece = 0").count() == sizes[3]
-    assert corpus_pipeline.run(spark, sf_dir).count() == packed.count()
+    assert corpus_pipeline.run(spark, sf_dir).where("piece = 0").count() > 0
 
 
 def test_pipeline_stages_against_plain_versions(spark, sf_dir):

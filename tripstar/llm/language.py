@@ -19,6 +19,7 @@ table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +37,7 @@ EMBEDDING = 8
 MAX_TEXTS = 3000
 WINDOWS_A_TEXT = 2
 EPOCHS = 4
+MIN_STEPS = 300
 BATCH = 64
 PADDING = 0
 UNDETERMINED = "und"
@@ -161,23 +163,18 @@ class ByteNet:
         return [(self.languages[b], float(t[b] / max(1, s))) for b, t, s in zip(best, totals, sizes, strict=True)]
 
 
-def fit(texts: list[str], labels: list[str], epochs: int = EPOCHS, seed: int = 5) -> ByteNet | None:
-    """Train on labelled texts; None without any."""
+def fit(rows: np.ndarray, labels: list[str], epochs: int = EPOCHS, seed: int = 5) -> ByteNet | None:
+    """Train on labelled windows, for ``MIN_STEPS`` steps at least; None without any."""
     languages = sorted(set(labels))
     if not languages:
         return None
     net, rng = ByteNet.fresh(languages, seed), np.random.default_rng(seed)
-    rows, truth = [], []
-    for text, label in zip(texts, labels, strict=True):
-        own, _ = windows(text.encode("utf-8", "surrogatepass"))
-        for i in rng.permutation(len(own))[:WINDOWS_A_TEXT]:
-            rows.append(own[i])
-            truth.append(languages.index(label))
-    rows, truth = np.array(rows), np.array(truth)
+    number = {lang: i for i, lang in enumerate(languages)}
+    truth = np.array([number[lang] for lang in labels])
     slow = [np.zeros_like(p) for p in net.parameters]
     fast = [np.zeros_like(p) for p in net.parameters]
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-MIN_STEPS // -(-len(rows) // BATCH)))):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), BATCH):
             part, step = order[i : i + BATCH], step + 1
@@ -203,9 +200,29 @@ def training_rows(docs: DataFrame, max_texts: int = MAX_TEXTS) -> DataFrame:
     return known.where(place < share).select("text", "lang")
 
 
+def training_windows(rows: DataFrame) -> DataFrame:
+    """At most ``WINDOWS_A_TEXT`` windows of each text, chosen by its bytes, as (lang, window)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, cut = [], []
+            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = text.encode("utf-8", "surrogatepass")
+                own, _ = windows(raw)
+                rng = np.random.default_rng(zlib.crc32(raw))
+                for i in rng.permutation(len(own))[:WINDOWS_A_TEXT]:
+                    langs.append(lang)
+                    cut.append(own[i].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(cut, pa.binary())], names=["lang", "window"])
+
+    return rows.select("text", "lang").mapInArrow(run, "lang string, window binary")
+
+
 def fit_network(docs: DataFrame) -> ByteNet | None:
-    rows = sorted((r.lang, r.text) for r in training_rows(docs).toLocalIterator())
-    return fit([t for _, t in rows], [lang for lang, _ in rows])
+    """A network of a bounded sample: only its windows come to the driver, a few hundred bytes each."""
+    found = sorted((r.lang, bytes(r.window)) for r in training_windows(training_rows(docs)).toLocalIterator())
+    rows = np.frombuffer(b"".join(w for _, w in found), dtype=np.uint8).reshape(len(found), WINDOW)
+    return fit(rows, [lang for lang, _ in found])
 
 
 def predict_languages(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -39,6 +39,11 @@ POPULATION = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def generations(n_items: int) -> int:
+    """Generations for a group: a smaller one gets more, for about equal work."""
+    return GENERATIONS * max(1, GROUP_ITEMS // max(1, n_items))
+
+
 def tokenised_pieces(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY
 ) -> DataFrame:
@@ -106,12 +111,14 @@ class Bins:
         return [items for same in self.by_room for items in same]
 
 
-def best_fit(sizes: list[int], items: list[int], kept: list[list[int]], capacity: int) -> list[list[int]]:
-    """Kept bins filled up with further items, largest first."""
+def best_fit(
+    sizes: list[int], items: list[int], kept: list[list[int]], capacity: int, by: dict[int, float] | None = None
+) -> list[list[int]]:
+    """Kept bins filled up with further items, largest first (or by another measure)."""
     bins = Bins(capacity)
     for own in kept:
         bins.add(list(own), capacity - sum(sizes[i] for i in own))
-    for i in sorted(items, key=lambda i: (-sizes[i], i)):
+    for i in sorted(items, key=lambda i: (-(by or sizes)[i], i)):
         bins.put(i, sizes[i])
     return bins.bins()
 
@@ -130,12 +137,17 @@ def crossover(
     injected = [b for b, take in zip(well, rng.random(len(well)) < 0.5, strict=True) if take]
     inside = {i for b in injected for i in b}
     intact = [b for b in mother if inside.isdisjoint(b)]
-    # the worst-filled of the mother's bins are opened as well
+    # the worst-filled of the mother's bins are opened as well, and a few others by chance
     intact.sort(key=lambda b: -sum(sizes[i] for i in b))
     cut = len(intact) - max(1, len(intact) // 20)
-    opened, kept = intact[cut:], intact[:cut]
+    chance = rng.random(len(intact)) < min(0.25, 4 / max(1, len(intact)))
+    opened = [b for k, b in enumerate(intact) if k >= cut or chance[k]]
+    kept = [b for k, b in enumerate(intact) if k < cut and not chance[k]]
     displaced = [i for b in mother if not inside.isdisjoint(b) for i in b if i not in inside]
-    return best_fit(sizes, displaced + [i for b in opened for i in b], injected + kept, capacity)
+    loose = displaced + [i for b in opened for i in b]
+    # largest first, but nearly equal ones in an order that changes
+    shaken = dict(zip(loose, np.array([sizes[i] for i in loose]) * (1 + 0.2 * rng.random(len(loose))), strict=True))
+    return best_fit(sizes, loose, injected + kept, capacity, shaken)
 
 
 def evolve(
@@ -158,7 +170,11 @@ def evolve(
             break
         first, second = rng.choice(min(3, len(people)), 2, replace=False)
         children = [crossover(people[a], people[b], sizes, capacity, rng) for a, b in ((first, second), (second, first))]
-        people = sorted(people + children, key=lambda b: fitness(b, sizes, capacity), reverse=True)[:population]
+        # one of each fitness: copies of the fittest would soon be all there is
+        ranked = {fitness(b, sizes, capacity): b for b in [*children, *people]}
+        people = [ranked[f] for f in sorted(ranked, reverse=True)[:population]]
+        if len(people) == 1:
+            people.append(best_fit(sizes, everyone, [], capacity, dict(enumerate(rng.random(len(sizes))))))
     return people[0]
 
 
@@ -219,7 +235,7 @@ def pack(
                     sizes = [int(s) for s in row.sizes]
                     elites = [_bins(row.bins)] + ([_bins(row.guest)] if row.guest is not None else [])
                     seed = [number, int(row.island), int(row.group)]
-                    bins = evolve(sizes, elites, capacity, seed, GENERATIONS, POPULATION)
+                    bins = evolve(sizes, elites, capacity, seed, generations(len(sizes)), POPULATION)
                     best.append((row.group, row.island, _numbers(bins, len(sizes)), *fitness(bins, sizes, capacity)))
                 yield pd.DataFrame(best, columns=["group", "island", "bins", "fewer", "fill"])
 

@@ -52,7 +52,7 @@ LOOSE = {
     r"\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[a-z]{2,24}+(?![a-z0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}+(?:\x20?\[\.\]\x20?[0-9]{1,3}+){3}+(?![0-9])",
     "card": r"(?<![0-9./_-])[0-9]{4}+(?:[._/][0-9]{4}+){3}+(?![0-9])",
-    "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])",
+    "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9]|[.-][0-9])",
 }
 LOOSE_NEEDS = {"email": r"(?i)[\(\[\x20](?:at)[\)\]\x20]", "ip": r"\[\.\]", "card": r"[0-9][._/][0-9]", "phone": r"[0-9][.-][0-9]{4}"}
 
