@@ -24,6 +24,7 @@ from tripstar.operators import facts
 from tripstar.operators.partials import add_up, signed
 from tripstar.operators.upsert import one_per_key, path_exists
 from tripstar.plans.load import FACT_PARTITIONS, Warehouse, in_any_month
+from tripstar.session import scratch_dir
 
 ID = ["trip_id", *FACT_PARTITIONS]
 
@@ -54,6 +55,8 @@ class DeltaFacts:
     def _write(self, table: str, batch_id: int, rows: DataFrame, by: tuple[str, ...] = ()) -> None:
         """Replace what a batch left in a table, as a whole."""
         path = f"{self.house.path(table)}/batch_id={batch_id}"
+        if by:
+            rows = rows.hint("rebalance", *by)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
 
     def _read(self, table: str) -> DataFrame | None:
@@ -100,8 +103,12 @@ class DeltaFacts:
             )
             rows = pairs.filter("NOT _stale").select(*ID, F.explode(both).alias("_c")).filter("_c.row IS NOT NULL")
             changes = rows.select(*ID, "_c.row.*", F.col("_c._sign").alias("_sign"))
+        # what changes is read by both aggregates, and found once
+        staged = scratch_dir(self.spark, "delta-changes")
+        changes.filter("NOT _dead").write.parquet(staged)
+        changes = self.spark.read.parquet(staged)
         for name, kept in AGGREGATES.items():
-            rows = kept.rows(changes.filter("NOT _dead"))
+            rows = kept.rows(changes)
             delta = signed(rows, kept.keys, kept.measures, "_sign")
             unchanged = [F.col(c) == 0 for c in delta.columns if c not in kept.keys]
             same = unchanged[0]
