@@ -373,13 +373,15 @@ def month_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate keys of stored tables; some rows of the aggregates were appended twice."""
     fact = stored.fact(spark, sf_dir)
+    daily, hourly = stored.with_repeats(spark, sf_dir)
     log = testdata.file_events(spark, sf_dir)
     return audits.pk_duplicates(
         {
             "fact_trips": (fact, ["trip_id"]),
-            "fact_trips_daily_agg": (facts.daily_agg(fact), facts.DAILY_KEYS),
-            "fact_trips_hourly_agg": (facts.hourly_agg(fact), facts.HOURLY_KEYS),
+            "fact_trips_daily_agg": (daily, facts.DAILY_KEYS),
+            "fact_trips_hourly_agg": (hourly, facts.HOURLY_KEYS),
             "file_events": (log, PARTITIONS),
         }
     )

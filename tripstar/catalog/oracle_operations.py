@@ -84,20 +84,21 @@ def _routes(status: str, stamp: str) -> str:
     return f"""SELECT file_type, year, month, pu_location_id, do_location_id,
       COUNT(*) AS total_trips, {money("SUM(total_amount)")} AS total_amount,
       '{stamp}' AS created_at, '{stamp}' AS updated_at
-    FROM trips WHERE l_linestatus = '{status}' AND pu_location_id IS NOT NULL GROUP BY ALL"""
+    FROM trips WHERE l_linestatus = '{status}' GROUP BY ALL"""
 
 
 _VERSIONS = f"""old AS ({_routes("F", "first")}),
 new AS ({_routes("O", "second")}),
 known AS (SELECT file_type, year, month, pu_location_id, do_location_id FROM old)"""
-_KEY = "(file_type, year, month, pu_location_id, do_location_id)"
+_SAME_KEY = " AND ".join(
+    f"o.{k} IS NOT DISTINCT FROM n.{k}" for k in ("file_type", "year", "month", "pu_location_id", "do_location_id")
+)
 _UPDATED = f"""SELECT o.* REPLACE (
     CASE WHEN n.created_at IS NULL THEN o.total_trips ELSE n.total_trips END AS total_trips,
     CASE WHEN n.created_at IS NULL THEN o.total_amount ELSE n.total_amount END AS total_amount,
     CASE WHEN n.created_at IS NULL THEN o.updated_at ELSE n.updated_at END AS updated_at)
-  FROM old o LEFT JOIN new n
-  USING (file_type, year, month, pu_location_id, do_location_id)"""
-_ADDED = f"SELECT * FROM new WHERE {_KEY} NOT IN (SELECT {_KEY} FROM known)"
+  FROM old o LEFT JOIN new n ON {_SAME_KEY}"""
+_ADDED = f"SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM known o WHERE {_SAME_KEY})"
 
 _RUN_LOG = """run_log AS (
   SELECT o_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS year,
@@ -283,10 +284,10 @@ OPERATION_CHECKS = {
         " UNION ALL ".join(
             [
                 _duplicates("fact_trips", "fact", "trip_id"),
-                _duplicates("fact_trips_daily_agg", "daily",
+                _duplicates("fact_trips_daily_agg", "(FROM daily UNION ALL FROM daily WHERE vendor_id = 2)",
                             "date_key, pickup_location_id, dropoff_location_id, file_type, "
                             "vendor_id"),
-                _duplicates("fact_trips_hourly_agg", "hourly",
+                _duplicates("fact_trips_hourly_agg", "(FROM hourly UNION ALL FROM hourly WHERE time_key >= 2200)",
                             "date_key, time_key, file_type, pickup_location_id"),
                 _duplicates("file_events", "file_events", "file_type, year, month"),
             ]

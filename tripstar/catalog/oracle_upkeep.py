@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tripstar.catalog.oracle_base import query
-from tripstar.catalog.oracle_marts import _DAILY, _HOURLY, _LOCATED, _ROUTE, _STAR
+from tripstar.catalog.oracle_marts import _DAILY, _HOURLY, _LOCATED, _ROUTE, _STAR, FACT_CHECKS
+from tripstar.catalog.oracle_operations import OPERATION_CHECKS
 from tripstar.operators.rollups import PRECISION
 
 _ACTIVE = """COUNT(DISTINCT pickup_date_key) AS active_days, COUNT(DISTINCT pickup_location_id) AS pickup_places,
@@ -52,6 +53,8 @@ _ERRORS = ", ".join(
 
 _LEFT = "left_over AS (SELECT * FROM fact WHERE payment_type_id <> 3)"
 
+_MONTHLY = ("file_type", "year", "month")
+
 UPKEEP_CHECKS: dict[str, str] = {
     "monthly_actives": query(
         f"""SELECT file_type, {_YEAR_MONTH}, {_ACTIVE} FROM fact GROUP BY ALL
@@ -90,6 +93,24 @@ UPKEEP_CHECKS: dict[str, str] = {
           source_year, source_month FROM left_over""",
         _LEFT,
     ),
+    "fact_trips_incremental_bucketed": FACT_CHECKS["fact_trips_incremental"],
+    "merge_upsert_bucketed": OPERATION_CHECKS["merge_upsert"],
+    "trip_revenue_ranks": query(
+        """SELECT file_type, pickup_date_key, pickup_time_key, CAST(total_amount AS DOUBLE) AS total_amount,
+          RANK() OVER w AS rank, DENSE_RANK() OVER w AS dense_rank
+        FROM fact WINDOW w AS (PARTITION BY file_type ORDER BY total_amount DESC NULLS LAST)"""
+    ),
+    "route_day_numbers": query(
+        """SELECT *, ROW_NUMBER() OVER (ORDER BY date_key, pickup_location_id, dropoff_location_id) AS number,
+          RANK() OVER (ORDER BY trips DESC) AS rank, DENSE_RANK() OVER (ORDER BY trips DESC) AS dense_rank
+        FROM (SELECT pickup_date_key AS date_key, pickup_location_id, dropoff_location_id, COUNT(*) AS trips
+          FROM fact GROUP BY ALL)"""
+    ),
+    "reconcile_contents": query(
+        f"""SELECT {', '.join(_MONTHLY)}, COUNT(*) AS source_rows, COUNT(*) AS stored_rows,
+          COUNT(*) FILTER (WHERE month = 3 AND vendor_id = 2 AND total_amount IS NOT NULL) = 0 AS same_content
+        FROM trips GROUP BY ALL"""
+    ),
     "stream_dedupe_state": query(
         """SELECT trip_id, CAST(strftime(pickup_datetime, '%Y%m%d') AS INTEGER) AS pickup_date_key,
           CAST(strftime(pickup_datetime, '%H%M') AS INTEGER) AS pickup_time_key

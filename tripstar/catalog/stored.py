@@ -41,11 +41,8 @@ def _stored(
     spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]
 ) -> DataFrame:
     def write(path: str) -> None:
-        built = rows()
-        # a scan with too few splits would leave files too few to be read in parallel
-        if built.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-            built = built.hint("rebalance")
-        built.write.parquet(path)
+        # a scan of few splits would leave too few files to be read in parallel
+        rows().hint("rebalance").write.parquet(path)
 
     return spark.read.parquet(stored_path(spark, sf_dir, name, write))
 
@@ -62,6 +59,16 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "daily", lambda: facts.daily_agg(fact(spark, sf_dir)))
 
 
+def with_repeats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The daily and the hourly aggregate as appends that ran twice would leave them."""
+    hourly = _stored(spark, sf_dir, "hourly", lambda: facts.hourly_agg(fact(spark, sf_dir)))
+    twice = {"daily": (daily(spark, sf_dir), "vendor_id = 2"), "hourly": (hourly, "time_key >= 2200")}
+    return tuple(
+        _stored(spark, sf_dir, f"{name}-repeats", lambda rows=rows, test=test: rows.unionAll(rows.filter(test)))
+        for name, (rows, test) in twice.items()
+    )
+
+
 def daily_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct members per day and service, built from the stored daily aggregate alone."""
     return _stored(spark, sf_dir, "daily-sets", lambda: rollups.daily_sets(daily(spark, sf_dir)))

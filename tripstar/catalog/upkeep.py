@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from tripstar.catalog import stored
 from tripstar.catalog.analytics import Query
 from tripstar.functions import temporal
-from tripstar.operators import rollups
+from tripstar.operators import ledger, ranking, rollups
+from tripstar.operators.bucketed import BucketedTable
 from tripstar.plans import rollup_marts
 from tripstar.plans.deltas import AGGREGATES, DeltaFacts
 from tripstar.plans.load import Warehouse
 from tripstar.session import scratch_dir
+from tripstar.sources import testdata
 from tripstar.streaming import jobs
 
 PERCENTS = [25, 50, 75, 95]
@@ -146,6 +148,48 @@ def stream_dedupe_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return house.read("trips").select("trip_id", temporal.date_key(F.col("pickup_datetime")).alias("pickup_date_key"), temporal.time_key(F.col("pickup_datetime")).alias("pickup_time_key"))
 
 
+# ---------------------------------------------------------------------------
+# Key layout, ranks, contents
+# ---------------------------------------------------------------------------
+def fact_trips_incremental_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows not loaded yet, found in a loaded table that is bucketed by trip and not shuffled."""
+    fact = stored.fact(spark, sf_dir)
+    loaded = BucketedTable(spark, ["trip_id"], 16).write(fact.filter("store_fwd_flag = 'Y'"))
+    return loaded.missing(fact)
+
+
+def merge_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes merged into their bucketed table; routes without a pickup place have NULL as key."""
+    existing, incoming = testdata.route_versions(spark, sf_dir)
+    keys = ["file_type", "year", "month", "pu_location_id", "do_location_id"]
+    table = BucketedTable(spark, keys, 16).write(existing)
+    return table.merge(incoming, ["total_trips", "total_amount", "updated_at"]).read()
+
+
+def trip_revenue_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trip with its rank by revenue among all trips of its service."""
+    trips = stored.fact(spark, sf_dir).select("file_type", "pickup_date_key", "pickup_time_key", "total_amount")
+    return ranking.ranked(trips, {"total_amount": "desc"}, ["file_type"]).drop("row_number")
+
+
+def route_day_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense numbers of all routes and days that occur, in their order, and the busiest first."""
+    keys = ["date_key", "pickup_location_id", "dropoff_location_id"]
+    days = stored.daily(spark, sf_dir).groupBy(*keys).agg(F.sum("total_trips").alias("trips"))
+    numbered = ranking.ranked(days, dict.fromkeys(keys, "asc")).select(*keys, "trips", F.col("row_number").alias("number"))
+    return ranking.ranked(numbered, {"trips": "desc"}).drop("row_number")
+
+
+def reconcile_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months whose stored trips are not the source's, though their counts are equal."""
+    trips = stored.trips(spark, sf_dir).drop("processed_at")
+    changed = (F.col("month") == 3) & (F.col("vendor_id") == 2)
+    raised = F.when(changed, F.col("total_amount") + F.lit(0.01).cast("decimal(10,2)")).otherwise(F.col("total_amount"))
+    loaded = trips.withColumn("total_amount", raised.cast("decimal(10,2)"))
+    keys = ["file_type", "year", "month"]
+    return ledger.reconcile_contents(trips, loaded, keys, [c for c in trips.columns if c not in keys])
+
+
 UPKEEP: dict[str, Query] = {
     "monthly_actives": monthly_actives,
     "service_activity": _from_sets(rollup_marts.service_activity),
@@ -158,4 +202,9 @@ UPKEEP: dict[str, Query] = {
     "delta_upkeep_hourly": delta_upkeep_hourly,
     "stream_delta_fact": stream_delta_fact,
     "stream_dedupe_state": stream_dedupe_state,
+    "fact_trips_incremental_bucketed": fact_trips_incremental_bucketed,
+    "merge_upsert_bucketed": merge_upsert_bucketed,
+    "trip_revenue_ranks": trip_revenue_ranks,
+    "route_day_numbers": route_day_numbers,
+    "reconcile_contents": reconcile_contents,
 }

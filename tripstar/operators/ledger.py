@@ -132,3 +132,39 @@ class Ledger:
         matches = reduce(lambda a, b: a & b, [F.col(k) == v for k, v in key.items()])
         row = self.latest().filter(matches).select("status").first()
         return None if row is None else row[0]
+
+
+# ---------------------------------------------------------------------------
+# Reconciliation by content
+# ---------------------------------------------------------------------------
+def content_digest(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Number of rows and a fingerprint of their contents per key, whatever their order.
+
+    The fingerprint adds up two halves of a 64-bit hash of each row, so repeated rows count as
+    often as they occur. NULL differs from every value: which columns are NULL is hashed as well.
+    """
+    empty = F.array(*[F.col(c).isNull() for c in columns])
+    digest = F.xxhash64(*columns, empty)
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(digest.bitwiseAND(F.lit(0xFFFFFFFF)).cast("decimal(12,0)")).alias("low"),
+        F.sum(F.shiftrightunsigned(digest, 32).cast("decimal(12,0)")).alias("high"),
+    )
+
+
+def reconcile_contents(source: DataFrame, stored: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Per key: rows on either side, and whether their contents are the same multiset."""
+    left = content_digest(source, keys, columns).select(*keys, "n", F.struct("n", "low", "high").alias("_left"))
+    right = content_digest(stored, keys, columns).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col("n").alias("_n"), F.struct("n", "low", "high").alias("_right")
+    )
+    same = [left[k].eqNullSafe(right[f"_{k}"]) for k in keys]
+    test = same[0]
+    for one in same[1:]:
+        test = test & one
+    return left.join(right, test, "full_outer").select(
+        *[F.coalesce(k, f"_{k}").alias(k) for k in keys],
+        F.coalesce("n", F.lit(0)).alias("source_rows"),
+        F.coalesce("_n", F.lit(0)).alias("stored_rows"),
+        F.col("_left").eqNullSafe(F.col("_right")).alias("same_content"),
+    )

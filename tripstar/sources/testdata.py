@@ -229,12 +229,14 @@ def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """An existing route table and new rows for it: lines of status F and of status O."""
+    """An existing route table and new rows for it: lines of status F and of status O.
+
+    Trips without a pickup place are routes as well: NULL is one of the keys.
+    """
     lineitem = table(spark, sf_dir, "lineitem")
 
     def summary(status: str, stamp: str) -> DataFrame:
         rows = trips_from(lineitem.filter(F.col("l_linestatus") == status))
-        rows = rows.filter(F.col("pu_location_id").isNotNull())
         return rows.groupBy(*PARTITIONS, "pu_location_id", "do_location_id").agg(
             F.count(F.lit(1)).alias("total_trips"),
             F.sum("total_amount").alias("total_amount"),
