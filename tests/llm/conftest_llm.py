@@ -51,7 +51,7 @@ def no_docs(spark):
 @pytest.fixture(scope="session")
 def clashing(awkward_docs):
     """The same rows with further columns whose names operators might use inside."""
-    names = ["n", "node", "pattern", "size", "words", "kept", "place", "token", "start", "group", "spans", "base", "score"]
+    names = ["n", "node", "pattern", "size", "words", "kept", "place", "token", "start", "group", "spans", "base", "score", "th", "pos", "h1", "first", "line"]
     from pyspark.sql import functions as F
 
     return awkward_docs.select("*", *[F.lit(f"extra {n}").alias(n) for n in names])

@@ -220,15 +220,22 @@ def test_mix_awkward(spark, clashing, no_docs):
         taken[r.members[0]] += r.taken
         target[r.members[0]] = r.target
     assert all(abs(taken[s] - t) <= 1 for s, t in target.items())
-    n_words = mixed.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
-    assert n_words == sum(taken.values())
+    sizes = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(mixing.n_words(F.col("text"))).alias("n")).collect()}
+    longest = collections.Counter()
+    for r in rows:
+        longest[r.members[0]] = max(longest[r.members[0]], r.size)
+    assert all(abs(sizes.get(s, 0) - n) <= longest[s] / 2 for s, n in taken.items())
+    texts = collections.Counter(r.text for r in mixed.collect())
+    assert set(texts) <= {r.text for r in clashing.collect()}
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
-def test_mix_keeps_the_lines_of_a_cut_text(spark):
+def test_mix_takes_documents_whole(spark):
     texts = {i: "\n ".join(f"a{i}  b\tc{j}" for j in range(20)) for i in range(9)}
     rows = [(i, t, "s" if i % 3 else "r", len(t)) for i, t in texts.items()]
-    mixed = mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")).collect()
-    cut = [r for r in mixed if r.text != texts[r.doc_id]]
-    assert cut and all(texts[r.doc_id].startswith(r.text) and "\n " in r.text for r in cut)
-    assert all(r.n_chars == len(r.text) for r in mixed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    mixed = mixing.mixed_documents(docs).collect()
+    assert all(r.text == texts[r.doc_id] and r.n_chars == len(r.text) for r in mixed)
+    times = collections.Counter(r.doc_id for r in mixed)
+    for r in mixing.mix_by_weight(mixing.sized_documents(docs, F.array("source"))).collect():
+        assert times[r.doc_id] == (r.taken + r.size // 2) // r.size

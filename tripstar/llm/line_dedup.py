@@ -282,9 +282,11 @@ class LineDedup:
 def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
     """Rows of docs with their kept places and near count; none for rows without any."""
     own = docs.withColumn("__th", F.xxhash64("text"))
-    found = places.select(F.col("doc_id").alias("__id"), "th", F.col("kept").alias("__kept"), F.col("n_near").alias("__near"))
-    hit = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__th") == F.col("th"))
-    return own.join(found, hit, "left").drop("__id", "th", "__th")
+    found = places.select(
+        F.col("doc_id").alias("__id"), F.col("th").alias("__of"), F.col("kept").alias("__kept"), F.col("n_near").alias("__near")
+    )
+    hit = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__th") == F.col("__of"))
+    return own.join(found, hit, "left").drop("__id", "__of", "__th")
 
 
 def dedup_lines(

@@ -191,26 +191,16 @@ def mix_by_weight(sized: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The rows the mix takes: once for each pass, the last one of a quota cut to its words.
+    """The rows the mix takes, whole: once for each pass.
 
-    A cut text keeps its white space and lines; ``n_chars`` is brought up to date.
+    The document at the end of a quota is taken once more if the quota holds half of its words
+    or more, and left out otherwise, so no text is cut and a quota is missed by half a document.
     """
     mixed = mix_by_weight(sized_documents(docs, F.array(F.col("source")), seed, carry=True))
-    whole, rest = F.expr("CAST(taken DIV size AS INT)"), F.col("taken") % F.col("size")
-    parts = F.concat(
-        F.array_repeat(F.lit(None).cast("int"), whole), F.when(rest > 0, F.array(rest.cast("int"))).otherwise(F.array())
-    )
-    taken = mixed.where("taken > 0").select("row", F.explode(parts).alias("cut"))
-    # each part is a word with the white space before it
-    parts = F.split(F.col("row.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(
-        F.array_join(F.slice(parts, F.lit(1), F.col("cut")), "")
-    )
-    row = F.col("row").withField("text", text)
-    if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("cut").isNull(), F.col("row.n_chars")).otherwise(F.char_length(text))
-        row = row.withField("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return taken.withColumn("row", row).select("row.*")
+    rest = F.col("taken") % F.col("size")
+    times = F.expr("CAST(taken DIV size AS INT)") + (2 * rest >= F.col("size")).cast("int")
+    taken = mixed.where("taken > 0").withColumn("times", times).where("times > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

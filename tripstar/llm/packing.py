@@ -63,7 +63,7 @@ def tokenised_pieces(
         for batch in batches:
             rows = []
             ids, at = batch.column(0).to_pylist(), 0
-            for texts in in_batches(batch.column(1).to_pylist()):
+            for texts in in_batches(text.as_py() for text in batch.column(1)):
                 for raw in encode(texts):
                     raw += end
                     n = len(raw) // 4

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 
-CACHED_PARTS = 400_000
+CACHED_PARTS = 200_000
 END_OF_TEXT = "<|endoftext|>"
 _ADJACENT = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -93,7 +94,7 @@ class Encoder:
         return out
 
 
-def in_batches(texts: list[str], n_chars: int = 1_000_000):
+def in_batches(texts: Iterable[str], n_chars: int = 1_000_000):
     """Runs of texts of about so many characters; a longer text is a run of its own."""
     run, size = [], 0
     for text in texts:

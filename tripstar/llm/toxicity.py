@@ -38,7 +38,7 @@ THRESHOLD = 0.3
 OFFENDING = 0.5
 LEAST = 0.05  # lesser weights are left out
 MAX_BYTES = 64 << 20  # of the sample's texts
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 _SENTENCE = re.compile(r"[^.!?\n]*\w[^.!?\n]*")
 _WORD = re.compile(r"\w+")
@@ -62,7 +62,7 @@ class Model:
     def word(self, word: str) -> float:
         weight = self.words.get(word)
         if weight is None:
-            weight = sum(self.weights.get(f, 0.0) for f in features(word))
+            weight = sum(self.weights.get(f, 0.0) for f in features(word)) or 0.0
             if len(self.words) < CACHED_WORDS:
                 self.words[word] = weight
         return weight
@@ -132,12 +132,11 @@ def feature_counts(rows: DataFrame) -> DataFrame:
     """feature, n1, n0: how many toxic and other documents of (text, toxic) rows hold each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[str]] = {}
         for batch in batches:
             seen = (Counter(), Counter())
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = set(_WORD.findall((text or "").lower()))
-                seen[label > 0].update({f for w in words for f in known.setdefault(w, features(w))})
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                words = set(_WORD.findall((text.as_py() or "").lower()))
+                seen[label > 0].update({f for w in words for f in features(w)})
             for label, counts in enumerate(seen):
                 columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
                 zeros = pa.array(np.zeros(len(counts), dtype=np.int64))
@@ -166,18 +165,20 @@ def numbered_sentences(rows: DataFrame, names: list[str]) -> DataFrame:
     number = {f: i for i, f in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known: dict[str, tuple[int, ...]] = {}
 
-        def own(word: str) -> list[int]:
+        def own(word: str) -> tuple[int, ...]:
             found = known.get(word)
             if found is None:
-                found = known[word] = [number[f] for f in features(word) if f in number]
+                found = tuple(number[f] for f in features(word) if f in number)
+                if len(known) < CACHED_WORDS:
+                    known[word] = found
             return found
 
         for batch in batches:
             numbers, sizes = [], []
-            for text in batch.column(0).to_pylist():
-                bags = [[i for w in _WORD.findall(s.lower()) for i in own(w)] for s in _SENTENCE.findall(text or "")]
+            for text in batch.column(0):
+                bags = [[i for w in _WORD.findall(s.lower()) for i in own(w)] for s in _SENTENCE.findall(text.as_py() or "")]
                 bags = [bag for bag in bags if bag]
                 numbers.append(np.array([i for bag in bags for i in bag], dtype="<i4").tobytes())
                 sizes.append(np.array([len(bag) for bag in bags], dtype="<i4").tobytes())
