@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tripstar.catalog import stored
-from tripstar.operators import ledger, ranking, upsert
+from tripstar.operators import clustering, ledger, ranking, skew, upsert
 from tripstar.operators.bucketed import BucketedTable
 from tripstar.plans.load import Warehouse
 from tripstar.session import scratch_dir
@@ -115,3 +115,106 @@ def test_house_reads_of_the_test_tables_keep_their_rows(spark, sf_dir):
     daily, hourly = stored.with_repeats(spark, sf_dir)
     assert daily.count() > stored.daily(spark, sf_dir).count() and hourly.count() > 0
     assert not Warehouse(spark, scratch_dir(spark, "none")).has("anything")
+
+
+def row_groups(spark, path: str, column: str, low: int, high: int) -> tuple[int, int]:
+    """Row groups whose statistics let a filter in, and all of them."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    hit = total = 0
+    for name in glob.glob(f"{path.removeprefix('file:')}/*.parquet"):
+        meta = pq.ParquetFile(name).metadata
+        for i in range(meta.num_row_groups):
+            group = meta.row_group(i)
+            stats = next(group.column(c).statistics for c in range(group.num_columns) if group.column(c).path_in_schema == column)
+            total += 1
+            hit += stats.min <= high and stats.max >= low
+    return hit, total
+
+
+def test_clustered_files_are_skipped_by_either_key(spark):
+    rows = spark.range(40_000).select(
+        (20240101 + F.col("id") % 28 + 100 * (F.col("id") % 12)).cast("int").alias("pickup_date_key"),
+        # one place has two fifths of the trips
+        F.when(F.rand(1) < 0.4, 7).otherwise(F.floor(F.rand(2) * 60)).cast("int").alias("pickup_location_id"),
+        F.col("id"),
+    )
+    path, by_day = scratch_dir(spark, "clustered"), scratch_dir(spark, "by-day")
+    keys = {"day": F.col("pickup_date_key"), "place": F.col("pickup_location_id")}
+    clustering.write_clustered(rows, path, keys, 64)
+    rows.repartitionByRange(64, "pickup_date_key", "pickup_location_id").write.parquet(by_day)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(40_000))
+    month = row_groups(spark, path, "pickup_date_key", 20240501, 20240531)
+    place = row_groups(spark, path, "pickup_location_id", 30, 30)
+    assert month[1] >= 48 and month[0] <= month[1] / 3 and place[0] <= place[1] / 3
+    # sorted by day first, a place is in most files
+    assert row_groups(spark, by_day, "pickup_location_id", 30, 30)[0] > 2 * place[0]
+
+
+def test_interleaved_bits(spark):
+    rows = spark.createDataFrame([(a, b) for a in range(8) for b in range(8)], "a int, b int")
+    for r in rows.select("a", "b", clustering.interleaved([F.col("a"), F.col("b")], 3).alias("z")).collect():
+        want = int("".join(f"{x}{y}" for x, y in zip(f"{r.a:03b}", f"{r.b:03b}", strict=True)), 2)
+        assert r.z == want
+    same = clustering.range_number(F.col("a"), [1, 4, 6], 2)
+    assert [r.n for r in rows.select("a", same.alias("n")).distinct().orderBy("a").collect()] == [0, 1, 1, 1, 2, 2, 3, 3]
+
+
+def test_heavy_places_are_spread(spark, no_broadcast):
+    trips = spark.range(30_000).select("id", F.when(F.col("id") % 5 < 2, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(400))).cast("int").alias("place"))
+    trips = trips.withColumn("place", F.when(F.col("id") % 997 != 0, F.col("place")))
+    table = spark.range(350).select(F.col("id").cast("int").alias("location_id"), F.concat(F.lit("z"), "id").alias("zone"))
+    assert 7 in skew.heavy_keys(trips, "place") and len(skew.heavy_keys(trips, "place")) < 5
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = {}
+        for name, joined in (
+            ("salted", skew.salted_join(trips, table, "place", "location_id", "left", salts=32)),
+            ("plain", trips.join(table, trips["place"] == table["location_id"], "left")),
+        ):
+            counts = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+            sizes[name] = counts[-1] / counts[len(counts) // 2]
+            rows = sorted(map(tuple, joined.collect()))
+            assert name == "salted" or rows == first
+            first = rows
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sizes["salted"] <= 3 < sizes["plain"]
+    inner = skew.salted_join(trips, table, "place", "location_id")
+    assert inner.count() == sum(1 for r in first if r[3] is not None)
+
+
+def test_log_opens_few_files_however_long(spark, monkeypatch):
+    monkeypatch.setattr(ledger, "SNAPSHOT_EVERY", 4)
+    log = ledger.Ledger(spark, scratch_dir(spark, "log"), ledger.RUN_LOG, ["year", "month", "fact_table_name"])
+    assert log.read().count() == 0 and log.last_status(year=1) is None
+    want = {}
+    for i in range(18):
+        status = f"s{i}"
+        log.append(spark.createDataFrame([(2000 + i % 3, m, "fact_trips", status) for m in (1, 2)], "year int, month int, fact_table_name string, status string"))
+        want |= {(2000 + i % 3, m): (status, i + 1) for m in (1, 2)}
+        assert len(log.read().inputFiles()) <= 1 + ledger.SNAPSHOT_EVERY
+    assert log.read().count() == 36
+    assert {(r.year, r.month): (r.status, r.seq) for r in log.latest().collect()} == want
+    assert log.last_status(year=2002, month=2) == "s17"
+    # a snapshot that was not finished: its folder holds no file
+    spark.createDataFrame([], ledger.RUN_LOG).limit(0).coalesce(1).write.parquet(f"{log.path}/unfinished")
+    log.record(year=1, month=1, fact_table_name="x", status="late")
+    assert log.read().count() == 37 and log.last_status(year=1) == "late"
+
+
+def test_ten_thousand_entries(spark):
+    log = ledger.Ledger(spark, scratch_dir(spark, "log"), ledger.RUN_LOG, ["year", "month", "fact_table_name"])
+    many = spark.range(10_000).select(
+        F.lit(2024).alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month"), F.concat(F.lit("t"), F.col("id") % 7).alias("fact_table_name"),
+        F.lit("loaded").alias("status"), F.col("id").alias("record_count"),
+    )
+    log.append(many)
+    log.record(year=2024, month=1, fact_table_name="t0", status="failed")
+    assert len(log.read().inputFiles()) == 2 and log.read().count() == 10_001
+    found = {(r.month, r.fact_table_name): (r.status, r.record_count) for r in log.latest().collect()}
+    assert len(found) == 84 and found[1, "t0"][0] == "failed" and found[2, "t1"] == ("loaded", 9997)

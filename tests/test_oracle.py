@@ -18,7 +18,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_a_check():
-    assert len(QUERIES) == 128
+    assert len(QUERIES) == 130
     assert set(QUERIES) == set(CHECKS)
     assert set(QUERIES) <= set(driver.queries())
     assert set(CHECKS) <= set(driver.oracle_sql())

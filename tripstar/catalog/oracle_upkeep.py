@@ -111,6 +111,16 @@ UPKEEP_CHECKS: dict[str, str] = {
           COUNT(*) FILTER (WHERE month = 3 AND vendor_id = 2 AND total_amount IS NOT NULL) = 0 AS same_content
         FROM trips GROUP BY ALL"""
     ),
+    "clustered_place_month": query(
+        """SELECT 'place' AS filtered_by, file_type, COUNT(*) AS trips, CAST(SUM(total_amount) AS DOUBLE) AS revenue
+        FROM fact WHERE pickup_location_id = 4 GROUP BY ALL
+        UNION ALL SELECT 'month', file_type, COUNT(*), CAST(SUM(total_amount) AS DOUBLE)
+        FROM fact WHERE pickup_date_key // 100 = 199706 GROUP BY ALL"""
+    ),
+    "place_activity_supplied": query(
+        """SELECT borough, zone_name, file_type, COUNT(*) AS trips, CAST(SUM(total_amount) AS DOUBLE) AS revenue
+        FROM fact LEFT JOIN dim_location ON location_id = pickup_location_id GROUP BY ALL"""
+    ),
     "stream_dedupe_state": query(
         """SELECT trip_id, CAST(strftime(pickup_datetime, '%Y%m%d') AS INTEGER) AS pickup_date_key,
           CAST(strftime(pickup_datetime, '%H%M') AS INTEGER) AS pickup_time_key

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripstar.catalog import stored
 from tripstar.catalog.analytics import Query
 from tripstar.functions import temporal
-from tripstar.operators import ledger, ranking, rollups
+from tripstar.operators import clustering, facts, ledger, ranking, rollups, skew
 from tripstar.operators.bucketed import BucketedTable
 from tripstar.plans import rollup_marts
 from tripstar.plans.deltas import AGGREGATES, DeltaFacts
@@ -190,6 +190,35 @@ def reconcile_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.reconcile_contents(trips, loaded, keys, [c for c in trips.columns if c not in keys])
 
 
+CLUSTERED_PLACE, CLUSTERED_MONTH = 4, (1997, 6)
+
+
+def clustered_place_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and revenue of one place over all days, and of one month over all places, from files clustered on both."""
+
+    def write(path: str) -> None:
+        keys = {"day": F.col("pickup_date_key"), "place": F.col("pickup_location_id")}
+        clustering.write_clustered(stored.fact(spark, sf_dir), path, keys, 32)
+
+    fact = spark.read.parquet(stored.stored_path(spark, sf_dir, "fact-clustered", write))
+    place = fact.filter(F.col("pickup_location_id") == CLUSTERED_PLACE)
+    month = facts.in_month(fact, *CLUSTERED_MONTH)
+    totals = [F.count(F.lit(1)).alias("trips"), F.sum("total_amount").cast("decimal(20,2)").alias("revenue")]
+    return place.groupBy(F.lit("place").alias("filtered_by"), "file_type").agg(*totals).unionAll(
+        month.groupBy(F.lit("month").alias("filtered_by"), "file_type").agg(*totals)
+    )
+
+
+def place_activity_supplied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and revenue by zone of a location table of the caller's, its heavy places salted."""
+    places = stored.star(spark, sf_dir).dim_location.select("location_id", "zone_name", "borough")
+    trips = stored.fact(spark, sf_dir).select("pickup_location_id", "file_type", "total_amount")
+    joined = skew.salted_join(trips, places, "pickup_location_id", "location_id", "left")
+    return joined.groupBy("borough", "zone_name", "file_type").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("total_amount").cast("decimal(20,2)").alias("revenue")
+    )
+
+
 UPKEEP: dict[str, Query] = {
     "monthly_actives": monthly_actives,
     "service_activity": _from_sets(rollup_marts.service_activity),
@@ -207,4 +236,6 @@ UPKEEP: dict[str, Query] = {
     "trip_revenue_ranks": trip_revenue_ranks,
     "route_day_numbers": route_day_numbers,
     "reconcile_contents": reconcile_contents,
+    "clustered_place_month": clustered_place_month,
+    "place_activity_supplied": place_activity_supplied,
 }

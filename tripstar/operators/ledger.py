@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar.operators.upsert import path_exists
-
 # Order in which the facts of a month are built.
 STEPS = ["fact_trips", "fact_trips_daily_agg", "fact_trips_hourly_agg"]
 # The states of a monthly file.
@@ -95,23 +95,53 @@ def reconcile(in_files: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFr
     return filled.withColumn("missing_rows", F.col("rows_in_file") - F.col("rows_loaded"))
 
 
+SNAPSHOT_EVERY = 64  # appends, each a small file
+
+
 class Ledger:
-    """A log table: entries are appended, the last one per key counts."""
+    """A log table: entries are appended, the last one per key counts.
+
+    After some appends all entries so far are written as one snapshot file, and further ones
+    go into a folder of their own that begins after it. A read lists the snapshots and opens
+    the last of them and its short tail, however long the history. A snapshot that was not
+    finished is not seen, and nothing is lost without it. One writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str]) -> None:
         self.spark, self.path, self.schema, self.keys = spark, path, schema, keys
 
+    def _files(self, folder: str) -> list[str]:
+        """Files below a folder; listed, not opened."""
+        try:
+            return self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}").inputFiles()
+        except AnalysisException:
+            return []
+
+    def _snapshot(self) -> int:
+        """Number of the last append that a snapshot holds; 0 before the first."""
+        found = (re.search(r"upto=(\d+)/", f) for f in self._files("snapshots"))
+        return max((int(m[1]) for m in found if m), default=0)
+
+    def _tail(self, after: int) -> DataFrame | None:
+        folder = f"tail/after={after}"
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}") if self._files(folder) else None
+
     def read(self) -> DataFrame:
-        if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        after = self._snapshot()
+        parts = [self._tail(after)]
+        if after:
+            parts.append(self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshots/upto={after}"))
+        found = [p for p in parts if p is not None]
+        return reduce(DataFrame.unionAll, found) if found else self.spark.createDataFrame([], self.schema)
 
     def latest(self) -> DataFrame:
         return latest(self.read(), self.keys, ["seq"])
 
     def append(self, entries: DataFrame) -> None:
         """Append entries, numbered after all earlier ones."""
-        number = (self.read().agg(F.max("seq")).first()[0] or 0) + 1
+        after = self._snapshot()
+        tail = self._tail(after)
+        number = (after if tail is None else tail.agg(F.max("seq")).first()[0]) + 1
         entries = entries.withColumn("seq", F.lit(number).cast("bigint"))
         names = [c.split()[0] for c in self.schema.split(", ")]
         padded = entries.select(
@@ -120,7 +150,9 @@ class Ledger:
         typed = [
             F.col(c.split()[0]).cast(c.split()[1]) for c in self.schema.split(", ")
         ]
-        padded.select(*typed).coalesce(1).write.mode("append").parquet(self.path)
+        padded.select(*typed).coalesce(1).write.mode("append").parquet(f"{self.path}/tail/after={after}")
+        if number - after >= SNAPSHOT_EVERY:
+            self.read().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={number}")
 
     def record(self, **values: object) -> None:
         """Append one entry."""
