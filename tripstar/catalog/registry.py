@@ -13,6 +13,7 @@ from tripstar.catalog.oracle_marts import DIMENSION_CHECKS, FACT_CHECKS, MART_CH
 from tripstar.catalog.oracle_operations import OPERATION_CHECKS
 from tripstar.catalog.oracle_upkeep import UPKEEP_CHECKS
 from tripstar.catalog.upkeep import UPKEEP
+from tripstar.functions import exact
 from tripstar.session import configure
 
 
@@ -32,7 +33,8 @@ def decimals_as_doubles(result: DataFrame) -> DataFrame:
 
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return decimals_as_doubles(query(configure(spark), sf_dir))
+        with exact.comparable():
+            return decimals_as_doubles(query(configure(spark), sf_dir))
 
     return run
 

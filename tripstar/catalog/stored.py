@@ -26,11 +26,11 @@ def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
 
 
 def stored_path(
-    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None], proof: str = ""
 ) -> str:
-    """Folder of a shared table; written on first use."""
+    """Folder of a shared table, or of several with ``proof`` the last of them; written on first use."""
     key = _key(spark, sf_dir, name)
-    if key not in _paths or not path_exists(spark, _paths[key]):
+    if key not in _paths or not path_exists(spark, f"{_paths[key]}/{proof}".rstrip("/")):
         path = scratch_dir(spark, name)
         write(path)
         _paths[key] = path

@@ -92,26 +92,31 @@ def _changing_trips(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _kept_facts(spark: SparkSession, sf_dir: str) -> DeltaFacts:
-    path = _changing_trips(spark, sf_dir)
-    kept = DeltaFacts(Warehouse(spark, scratch_dir(spark, "house")))
-    for batch in range(4):
-        kept.apply(spark.read.parquet(f"{path}/batch={batch}"), batch, "sent", "deleted")
-        if batch == 1:
-            for name in AGGREGATES:
-                kept.fold(name)
-    return kept
+    """Facts kept through the batches: both aggregates folded after two, the hourly one at the end as well."""
+    batches = _changing_trips(spark, sf_dir)
+
+    def write(path: str) -> None:
+        kept = DeltaFacts(Warehouse(spark, f"{path}/house"))
+        for batch in range(4):
+            kept.apply(spark.read.parquet(f"{batches}/batch={batch}"), batch, "sent", "deleted")
+            if batch == 1:
+                for name in AGGREGATES:
+                    kept.fold(name)
+        kept.fold("hourly")
+        spark.range(1).write.parquet(f"{path}/done")
+
+    path = stored.stored_path(spark, sf_dir, "kept-facts", write, "done")
+    return DeltaFacts(Warehouse(spark, f"{path}/house"))
 
 
 def delta_upkeep_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily aggregate after trips were sent, moved, sent again late and deleted."""
+    """The daily aggregate after trips were sent, moved, sent again late and deleted: base and deltas."""
     return _kept_facts(spark, sf_dir).aggregate("daily")
 
 
 def delta_upkeep_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly aggregate of the same batches, folded into its base at the end."""
-    kept = _kept_facts(spark, sf_dir)
-    kept.fold("hourly")
-    return kept.aggregate("hourly")
+    return _kept_facts(spark, sf_dir).aggregate("hourly")
 
 
 def stream_delta_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

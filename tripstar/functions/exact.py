@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,9 +28,26 @@ def mean2(total: Column, n: Column, unit: int = 1) -> Column:
     return (F.signum(wide).cast("int") * hundredths).cast("double") / F.lit(100.0)
 
 
-def stable(value: Column, digits: int = 6) -> Column:
-    """Cut a floating average below the noise that summation order adds."""
-    return F.round(value, digits)
+_digits: ContextVar[int | None] = ContextVar("digits", default=None)
+
+
+@contextmanager
+def comparable(digits: int = 6) -> Iterator[None]:
+    """Columns built inside are cut below the noise that summation order adds to floating averages.
+
+    For results that are compared with those of another engine; others keep all their digits.
+    """
+    token = _digits.set(digits)
+    try:
+        yield
+    finally:
+        _digits.reset(token)
+
+
+def stable(value: Column) -> Column:
+    """A floating average, whose last digits depend on the order of summation."""
+    digits = _digits.get()
+    return value if digits is None else F.round(value, digits)
 
 
 def percent(part: Column, whole: Column) -> Column:
