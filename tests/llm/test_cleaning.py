@@ -245,3 +245,47 @@ def test_line_dedup_awkward(clashing, no_docs):
     assert 1 not in rows and rows[4] == [None] and rows[5] == [""] and len(rows[3]) == 2
     assert rows[10] == ["x" * 100_000]
     assert line_dedup.without_duplicate_lines(no_docs).count() == 0
+
+
+def many_near_copies() -> list[tuple]:
+    """Lines with one beginning: a few far from each other, and copies near those."""
+    import random
+
+    rng = random.Random(9)
+    head = "the very same beginning of all of these lines "
+    tails = ["".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(7)]
+    lines = [head + tail for tail in tails]
+    for _ in range(150):
+        line = list(rng.choice(lines[:7]))
+        line[rng.randrange(len(head), len(line))] = rng.choice("uvwxyz")
+        lines.append("".join(line))
+    return [(i // 3, "\n".join(lines[i : i + 3])) for i in range(0, len(lines), 3)]
+
+
+def test_line_dedup_does_not_pair_all_near_copies(spark, monkeypatch):
+    rows = [(i, text) for i, (_, text) in enumerate(many_near_copies())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made = []
+    plain = line_dedup.stored
+
+    def counted(found, purpose):
+        kept = plain(found, purpose)
+        if purpose == "lines-pairs":
+            made.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert found == plain_dedup(rows, 2, 30)
+    n = sum(len(text.split("\n")) for _, text in rows)
+    assert made and sum(made) <= 10 * n, (made, n)
+
+
+def test_line_dedup_has_few_keys_a_line(spark):
+    import random
+
+    rng = random.Random(3)
+    text = "\n".join(" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(rng.randint(6, 60))) for _ in range(300))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    keys = line_dedup.LineDedup(docs, words_an_edit=20).firsts().select(F.size("keys")).collect()
+    assert sum(r[0] for r in keys) <= 8 * len(keys)  # 15 by characters and a third of the words before

@@ -7,20 +7,22 @@ deleted or replaced at most (not looked for without that parameter). Order is by
 the text. Lines of fewer than ``min_chars`` characters are only compared for equality.
 
 The edit join cuts every distinct line into edits + 1 segments. Two lines within the
-threshold share one of them, at a place that moves by no more than the threshold, so a
-line probes the segments of lines of its own and slightly smaller lengths at those places
-only. What meets under one key is first held against counts of four classes of letters;
+threshold share one of them, at a place that moves by no more than the threshold, counted
+from the nearer end of the line, so a line has keys for those places only. What meets under one
+key is first held against the lengths and the counts of some letters;
 the rest is verified by a banded bit-parallel edit distance: a band of 2 * edits + 1 rows
 is a number whose bits are the vertical differences of a column.
 
-The word join has no bound on a line's length. With one edit in p words, two lines share a run
+The word join cuts words in the same way, into as many segments as edits are allowed and one
+more. It has no bound on a line's length: with one edit in p words, two long lines share a run
 of p / 2 words somewhere. Of the hashes of all shorter runs in such a stretch each line keeps
 the least as a key, so both have that one, wherever the stretch lies. What meets is verified
 by the edit distance of texts that have one character for each word.
 
 Built-in functions only. Equal lines are joined by partial aggregation before anything is
-compared, and a key shared by many lines is joined without writing its pairs: only those
-that pass the counts leave the join.
+compared, with keys in place of their texts. All keys are shuffled once, and only those of two
+lines or more go on. A line needs but one earlier line near it, so under a key that many lines
+share they are held against its first few, and only what these leave open against the rest.
 
 Defined cases: null and empty texts have no line. Blank lines are never removed and take
 no part. White space around a line is ignored. Rows repeating an id with another text are
@@ -30,7 +32,7 @@ A document that loses all its lines has an empty text. Other columns pass throug
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripstar.llm.common import SPACES, stored, table, words
@@ -40,78 +42,107 @@ MIN_CHARS = 30
 WORDS_AN_EDIT = 20  # a line of so many words may differ in one of them, of twice as many in two
 BROADCAST_LINES = 1_000_000  # hashes of candidate lines, 8 bytes each; beyond it they are joined
 
+LENGTH_STEP = 8  # lengths whose lines are cut alike
+WORD_CLASSES = 8  # edits up to which words are cut into segments; longer lines have keys of stretches as well
+FEW = 8  # lines of a key that all others of it are held against; the rest only where these leave one open
+
 # Letters whose counts two lines are held against first.
 LETTERS = ["e", "t", "n", "a", "s", "o", "i", "r"]
 _COUNT_BITS = 7
 _BAND_BITS = 32
 
 
-def _lines(docs: DataFrame, with_line: bool = True) -> DataFrame:
+def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, th (hash of the text), pos, two hashes and the text of each line that holds a word."""
     rows = docs.selectExpr(
         "doc_id", "xxhash64(text) AS th", "posexplode(split(coalesce(text, ''), '\n')) AS (pos, raw)"
     ).withColumn("line", F.btrim("raw", F.lit(SPACES)))
     return rows.where("line <> ''").selectExpr(
-        "doc_id", "th", "pos", "xxhash64(line) AS h1", "hash(line, 17) AS h2", *(["line"] if with_line else [])
+        "doc_id", "th", "pos", "xxhash64(line) AS h1", "hash(line, 17) AS h2", "line"
     )
 
 
-def segment_columns(edits: int) -> list[str]:
-    """SQL columns s{less}_{i} and z{less}_{i}: start (from 1) and length of segment i of a
-    line that is ``less`` characters shorter than n. They keep the keys' expressions short."""
-    columns = []
-    for less in range(edits + 1):
-        length = f"(n - {less})"
-        base, longer = f"CAST({length} DIV {edits + 1} AS INT)", f"({length} % {edits + 1})"
-        for i in range(edits + 1):
-            # the segments of base length come first
-            more = f"greatest({i} - ({edits + 1} - {longer}), 0)"
-            columns.append(f"{i} * {base} + {more} + 1 AS s{less}_{i}")
-            columns.append(f"{base} + IF({i} >= {edits + 1} - {longer}, 1, 0) AS z{less}_{i}")
-    return columns
-
-
-def index_keys(edits: int) -> str:
-    """SQL array of the keys of a line's own segments."""
-    return f"array({', '.join(f'xxhash64(n, {i}, substring(line, s0_{i}, z0_{i}))' for i in range(edits + 1))})"
-
+def segment_keys(edits: int, min_chars: int) -> str:
+    """SQL array of the keys of a line of n characters, for lines of up to ``edits`` more or less.
 
-def probe_keys(edits: int) -> str:
-    """SQL array of the keys a line looks up, for lines of its length and up to ``edits`` less.
-
-    Segment i can move by i places to either side, seen from the left, and by edits - i,
-    seen from the right, where the difference of the lengths is added.
+    Lengths lie in steps. A line has the keys of its own step and, if a line shorter by
+    ``edits`` is in the step below, of that one, so two lines have those of the shorter one.
+    Of the parts that a step's least length gives, one is untouched with i edits at most
+    before it and ``edits`` - i after it. It has moved by the smaller of both as seen from
+    its own end of the line, and one of two lines has the other's key at such a move.
     """
-    keys = []
-    for less in range(edits + 1):
+    step = max(LENGTH_STEP, edits)
+    both = []
+    for less in (0, step):
+        least = f"(n - pmod(n - {min_chars}, {step}) - {less})"
+        part = f"CAST({least} DIV {edits + 1} AS INT)"
+        keys = []
         for i in range(edits + 1):
-            low = max(-i, less - (edits - i))
-            high = min(i, less + (edits - i))
-            for move in range(low, high + 1):
-                keys.append(f"xxhash64(n - {less}, {i}, substring(line, s{less}_{i} + ({move}), z{less}_{i}))")
-    return f"array({', '.join(keys)})"
+            start = f"{i} * {part} + 1" if 2 * i <= edits else f"n - {edits + 1 - i} * {part} + 1"
+            for move in range(min(i, edits - i) + 1):
+                cut = f"substring(line, {start} + {move}, greatest({part} - {edits // 2}, 0))"
+                keys.append(f"xxhash64({least}, {i}, {cut}) & -2L")
+        both.append(f"array({', '.join(keys)})")
+    below = f"n - {step} >= {min_chars} AND pmod(n - {min_chars}, {step}) < {edits}"
+    return f"CASE WHEN n < {min_chars} THEN CAST(array() AS ARRAY<BIGINT>) WHEN {below} THEN concat({both[0]}, {both[1]}) ELSE {both[0]} END"
+
+
+def _word_classes(words_an_edit: int) -> int:
+    """The most edits for which words are cut into segments as long as a run of the longer lines' keys."""
+    most = 1
+    for c in range(2, min(WORD_CLASSES, words_an_edit - 1) + 1):
+        if words_an_edit * c // (c + 1) - c // 2 < max(words_an_edit // 2, 1):
+            break
+        most = c
+    return most
+
+
+def word_keys(words_an_edit: int) -> str:
+    """SQL array of the keys of a line's m words, whose hashes are ``hashes``.
+
+    With c edits allowed, the words are cut as :func:`segment_keys` cuts characters; lines
+    with room for more edits have the least hashes of the runs in each stretch as well.
+    """
+    p, most = words_an_edit, _word_classes(words_an_edit)
+    part = f"CAST(({p} * c) DIV (c + 1) AS INT)"
+    start = f"IF(2 * i <= c, i * {part} + 1, m - (c + 1 - i) * {part} + 1)"
+    cut = f"slice(hashes, {start} + t, {part} - CAST(c DIV 2 AS INT))"
+    moves = f"transform(sequence(0, least(i, c - i)), t -> xxhash64(c, i, {cut}) | 1L)"
+    # a line of the class below may be shorter by as many words as that class allows
+    own = f"filter(array(m DIV {p}, m DIV {p} - 1), c -> c BETWEEN 1 AND {most} AND (c = m DIV {p} OR m % {p} < c))"
+    segments = f"flatten(transform(transform({own}, c -> CAST(c AS INT)), c -> flatten(transform(sequence(0, c), i -> {moves}))))"
+    run = p // 2
+    window = max(run // 2, 1)
+    width = run - window + 1
+    runs = f"transform(sequence(0, m - {width}), i -> xxhash64({', '.join(f'get(hashes, i + {k})' for k in range(width))}) | 1L)"
+    near = ", ".join(f"get(r, i + {k})" for k in range(window))
+    least = f"least({near})" if window > 1 else near
+    stretches = _let(runs, "r", f"array_distinct(transform(sequence(0, size(r) - {window}), i -> {least}))")
+    none = "CAST(array() AS ARRAY<BIGINT>)"
+    return f"CASE WHEN m < {p} THEN {none} WHEN m >= {p * (most + 1)} THEN concat({segments}, {stretches}) ELSE {segments} END"
 
 
 def _letters() -> str:
-    """SQL: the letter counts of a line, 7 bits each; they wrap for long lines."""
+    """SQL: the letter counts of a line and its length, 7 bits each; they wrap for long lines."""
     full = (1 << _COUNT_BITS) - 1
-    counts = [
-        f"shiftleft(CAST((size(split(line, '{c}')) - 1) & {full} AS BIGINT), {_COUNT_BITS * k})"
-        for k, c in enumerate(LETTERS)
-    ]
-    return " | ".join(counts)
+    counts = [f"octet_length(line) - octet_length(replace(line, '{c}', ''))" for c in LETTERS]
+    return " | ".join(
+        f"shiftleft(CAST(({count}) & {full} AS BIGINT), {_COUNT_BITS * k})" for k, count in enumerate([*counts, "n"])
+    )
 
 
 def _close(edits: int) -> str:
-    """SQL: the letter counts of x and y differ by no more than edits allow."""
+    """SQL: the letter counts of x and y, and their lengths, differ by no more than edits allow."""
     full = (1 << _COUNT_BITS) - 1
     apart = []
-    for k in range(len(LETTERS)):
-        a, b = (f"(shiftright({s}.letters, {_COUNT_BITS * k}) & {full})" for s in "xy")
+    for k in range(len(LETTERS) + 1):
+        a, b = (f"(shiftright({s}.sign, {_COUNT_BITS * k}) & {full})" for s in "xy")
         apart.append(f"abs({a} - {b})")
     # an edit changes two counts by one at most; a count that may have wrapped lets a pair pass
-    wrapped = " OR ".join(f"{d} > {full - 2 * edits}" for d in apart)
-    return f"({' + '.join(apart)} <= {2 * edits} OR {wrapped})"
+    *letters, length = apart
+    wrapped = " OR ".join(f"{d} > {full - 2 * edits}" for d in letters)
+    near = f"({length} <= {edits} OR {length} >= {full + 1 - edits})"
+    return f"({near} AND ({' + '.join(letters)} <= {2 * edits} OR {wrapped}))"
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -179,54 +210,71 @@ class LineDedup:
         self.edits, self.min_chars, self.words_an_edit = edits, min_chars, words_an_edit
 
     def firsts(self) -> DataFrame:
-        """Stored h1, h2 and the first place of each distinct line; no text is shuffled."""
-        place = F.struct("doc_id", "th", "pos")
-        found = _lines(self.docs, with_line=False).groupBy("h1", "h2").agg(F.min(place).alias("first"))
+        """Stored h1, h2, the first place, the keys and the counts of each distinct line; no text is shuffled."""
+        lines = _lines(self.docs).withColumn("n", F.char_length("line"))
+        chars = segment_keys(self.edits, self.min_chars)
+        if self.words_an_edit:
+            # fewer characters cannot hold so many words
+            some = F.when(F.col("n") >= max(self.min_chars, 2 * self.words_an_edit - 1), F.col("line"))
+            lines = lines.withColumn("hashes", F.transform(words(some), lambda w: F.xxhash64(w))).withColumn("m", F.size("hashes"))
+            lines = lines.withColumn("keys", F.concat(F.expr(chars), F.expr(word_keys(self.words_an_edit))))
+        else:
+            lines = lines.withColumn("m", F.lit(0)).withColumn("keys", F.expr(chars))
+        lines = lines.withColumn("letters", F.when(F.col("n") >= self.min_chars, F.expr(_letters())))
+        found = lines.groupBy("h1", "h2").agg(
+            F.min(F.struct("doc_id", "th", "pos")).alias("first"),
+            *[F.first(c).alias(c) for c in ("letters", "m", "keys")],
+        )
         return stored(found, "lines-first")
 
-    def candidates(self) -> DataFrame:
-        """Stored pairs (a, b) of first line hashes, by_words or by characters.
+    def meetings(self, firsts: DataFrame) -> DataFrame:
+        """Stored key, h1 and sign of the lines that share a key, each with its place among them.
+
+        Few keys are shared, so one shuffle of all keys leaves little. Keys of words are odd.
+        """
+        rows = firsts.select(F.explode("keys").alias("key"), "h1", "letters", "m", F.col("first.doc_id").alias("doc_id"))
+        rows = rows.selectExpr("key", "h1", "IF(key & 1 = 1, CAST(m AS BIGINT), letters) AS sign", "doc_id")
+        order = Window.partitionBy("key").orderBy("doc_id", "h1")
+        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        # a line may have a key twice
+        met = rows.withColumn("place", F.row_number().over(order)).withColumn("last", F.count(F.lit(1)).over(whole))
+        return stored(met.where("last > 1").drop("last"), "lines-met")
+
+    def pairs(self, x: DataFrame, y: DataFrame, rule: str) -> DataFrame:
+        """Stored pairs (a, b) of first line hashes that share a key and are close, by_words or by characters.
 
-        They share a run of words, or a segment and have close letter counts.
         Two lines of one 64-bit hash stay together here and are told apart when verified.
         """
-        lines = (
-            _lines(self.docs)
-            .withColumn("n", F.char_length("line"))
-            .where(F.col("n") >= self.min_chars)
-            .groupBy("h1", "h2")
-            .agg(F.first("line").alias("line"), F.first("n").alias("n"))
-        )
-        cut = lines.selectExpr("h1", "line", "n", f"{_letters()} AS letters", *segment_columns(self.edits))
-        x = cut.selectExpr("h1", "letters", f"explode({index_keys(self.edits)}) AS key").alias("x")
-        y = cut.selectExpr("h1", "letters", f"explode({probe_keys(self.edits)}) AS key").alias("y")
-        met = x.join(y, F.expr(f"x.key = y.key AND x.h1 <> y.h1 AND {_close(self.edits)}"))
-        close = met.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b", "false AS by_words")
+        close = _close(self.edits)
         if self.words_an_edit:
-            close = close.unionByName(self.word_candidates(lines))
-        return stored(close.distinct(), "lines-pairs")
-
-    def word_candidates(self, lines: DataFrame) -> DataFrame:
-        """Pairs of lines that share the least hash of a stretch of words."""
-        run = self.words_an_edit // 2
-        window = max(run // 2, 1)
-        width = run - window + 1
-        runs = ", ".join(f"get(hashes, i + {k})" for k in range(width))
-        near = ", ".join(f"get(runs, i + {k})" for k in range(window))
-        least = f"least({near})" if window > 1 else near
-        cut = (
-            lines.where(F.col("n") >= 2 * self.words_an_edit - 1)
-            .select("h1", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)).alias("hashes"))
-            .where(F.size("hashes") >= self.words_an_edit)
-            .selectExpr("h1", "size(hashes) AS m", f"transform(sequence(0, size(hashes) - {width}), i -> xxhash64({runs})) AS runs")
-            .selectExpr("h1", "m", f"explode(array_distinct(transform(sequence(0, size(runs) - {window}), i -> {least}))) AS key")
+            apart = f"abs(x.sign - y.sign) <= least(x.sign, y.sign) DIV {self.words_an_edit}"
+            close = f"IF(x.key & 1 = 1, {apart}, {close})"
+        found = x.alias("x").join(y.alias("y"), F.expr(f"x.key = y.key AND x.h1 <> y.h1 AND {rule} AND {close}"))
+        return stored(
+            found.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b", "x.key & 1 = 1 AS by_words").distinct(),
+            "lines-pairs",
         )
-        rule = f"x.key = y.key AND x.h1 < y.h1 AND abs(x.m - y.m) <= least(x.m, y.m) DIV {self.words_an_edit}"
-        return cut.alias("x").join(cut.alias("y"), F.expr(rule)).selectExpr("x.h1 AS a", "y.h1 AS b", "true AS by_words")
 
     def near(self, firsts: DataFrame) -> DataFrame:
-        """h1 and h2 of the distinct lines with an earlier line within the threshold."""
-        pairs = self.candidates()
+        """h1 and h2 of the distinct lines with an earlier line within the threshold.
+
+        One such line is enough. So lines are held against the first few that have their
+        key, and where more have it, only those still without one are held against the rest.
+        """
+        met = self.meetings(firsts)
+        early = self.pairs(met.where(F.col("place") <= FEW), met, "x.place < y.place")
+        found = stored(self.verified(early, firsts), "lines-near")
+        rest = met.where(F.col("place") > FEW)
+        if rest.isEmpty():
+            return found
+        left = firsts.join(rest.select("h1").distinct(), "h1", "left_semi").join(found, ["h1", "h2"], "left_anti")
+        open_ = rest.join(left.select("h1").distinct(), "h1", "left_semi")
+        # places go by document; lines of one document are compared either way
+        late = self.pairs(rest, open_, "(x.doc_id IS NULL OR x.doc_id <= y.doc_id)")
+        return stored(found.unionByName(self.verified(late, firsts)).distinct(), "lines-near")
+
+    def verified(self, pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+        """h1 and h2 of the later lines of the pairs that lie within the threshold."""
         ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "lines-wanted")
         # a filter by so many ids needs no shuffle of the lines; more ids are joined
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_LINES else ids
@@ -235,7 +283,7 @@ class LineDedup:
             .join(wanted, "h1", "left_semi")
             .groupBy("h1", "h2")
             .agg(F.first("line").alias("line"))
-            .join(firsts, ["h1", "h2"])
+            .join(firsts.select("h1", "h2", "first"), ["h1", "h2"])
             .select("h1", F.struct("h1", "h2").alias("id"), "line", "first")
         )
         texts = stored(texts, "lines-texts")
@@ -268,7 +316,7 @@ class LineDedup:
     def places(self) -> DataFrame:
         """doc_id, th, the sorted places of the lines that stay, and the count of near ones."""
         firsts = self.firsts()
-        near = stored(self.near(firsts), "lines-near").withColumn("is_near", F.lit(True))
+        near = self.near(firsts).withColumn("is_near", F.lit(True))
         return (
             firsts.join(near, ["h1", "h2"], "left")
             .groupBy("first.doc_id", "first.th")
@@ -312,13 +360,14 @@ def without_duplicate_lines(docs: DataFrame) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = _with_places(docs, LineDedup(docs, words_an_edit=WORDS_AN_EDIT).places())
-    n_lines = F.size(
-        F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    )
+    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
+    n_lines = F.size(F.filter(lines, lambda x: F.btrim(x, F.lit(SPACES)) != ""))
+    # counted first, so that no text is joined
+    counted = docs.withColumn("n_lines", n_lines.cast("long"))
+    found = _with_places(counted, LineDedup(docs, words_an_edit=WORDS_AN_EDIT).places())
     return found.select(
         "doc_id",
-        n_lines.cast("long").alias("n_lines"),
+        "n_lines",
         F.coalesce(F.size("__kept"), F.lit(0)).cast("long").alias("n_kept"),
         F.coalesce("__near", F.lit(0)).cast("long").alias("n_near"),
         F.coalesce(F.array_join("__kept", ","), F.lit("")).alias("kept_lines"),
