@@ -218,3 +218,43 @@ def test_ten_thousand_entries(spark):
     assert len(log.read().inputFiles()) == 2 and log.read().count() == 10_001
     found = {(r.month, r.fact_table_name): (r.status, r.record_count) for r in log.latest().collect()}
     assert len(found) == 84 and found[1, "t0"][0] == "failed" and found[2, "t1"] == ("loaded", 9997)
+
+
+def test_stored_tables_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from tripstar.catalog import stored
+
+    monkeypatch.setattr(stored, "_paths", {})
+    rows = stored._stored(spark, str(tmp_path), "parts", lambda: spark.range(0, 700, 1, 7))
+    assert len(rows.inputFiles()) == 7 and rows.count() == 700
+
+
+def test_a_fact_is_stored_without_the_trips(spark, monkeypatch):
+    from tripstar.catalog import stored
+
+    monkeypatch.setattr(stored, "_paths", {})
+    stored.fact(spark, "/root/testdata/sf0.001")
+    assert [name for _, _, name in stored._paths] == ["fact"]
+
+
+def test_buckets_and_staged_files_grow_with_the_rows(spark, monkeypatch):
+    from tripstar.catalog import operations, upkeep
+
+    rows = spark.range(1000).selectExpr("id", "id AS day")
+    monkeypatch.setattr(operations, "ROWS_A_FILE", 100)
+    taken = []
+    stream = operations._staged(spark, rows, ["day"], 3)
+
+    def take(batch, _):
+        taken.append((batch.count(), len(batch.inputFiles())))
+
+    from tripstar.session import scratch_dir
+    from tripstar.streaming import jobs
+
+    jobs._run(stream, take, scratch_dir(spark, "checkpoint"))
+    assert len(taken) == 3 and sum(n for n, _ in taken) == 1000
+    made = []
+    monkeypatch.setattr(upkeep, "ROWS_A_PART", 200)
+    monkeypatch.setattr(upkeep.BucketedTable, "write", lambda self, rows: made.append(self.buckets) or self)
+    monkeypatch.setattr(upkeep.BucketedTable, "missing", lambda self, rows: rows)
+    fact = upkeep.fact_trips_incremental_bucketed(spark, "/root/testdata/sf0.001")
+    assert made == [max(16, -(-fact.count() // 200))] and made[0] > 16
