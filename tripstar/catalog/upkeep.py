@@ -15,12 +15,13 @@ from tripstar.operators.bucketed import BucketedTable
 from tripstar.plans import rollup_marts
 from tripstar.plans.deltas import AGGREGATES, DeltaFacts
 from tripstar.plans.load import Warehouse
-from tripstar.session import scratch_dir
+from tripstar.session import scratch_dir, splits
 from tripstar.sources import testdata
 from tripstar.streaming import jobs
 
 PERCENTS = [25, 50, 75, 95]
 WEEKLY = ["file_type", "day_of_week", "hour"]
+ROWS_A_PART = 2_000_000  # trips of a bucket or a staged file, some hundred megabytes
 
 
 # ---------------------------------------------------------------------------
@@ -159,7 +160,8 @@ def stream_dedupe_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_trips_incremental_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows not loaded yet, found in a loaded table that is bucketed by trip and not shuffled."""
     fact = stored.fact(spark, sf_dir)
-    loaded = BucketedTable(spark, ["trip_id"], 16).write(fact.filter("store_fwd_flag = 'Y'"))
+    buckets = max(16, splits(fact.count(), ROWS_A_PART))  # the count reads footers
+    loaded = BucketedTable(spark, ["trip_id"], buckets).write(fact.filter("store_fwd_flag = 'Y'"))
     return loaded.missing(fact)
 
 
