@@ -13,10 +13,13 @@ from tripstar.functions import temporal
 from tripstar.operators import audits, facts, ledger, normalize, summaries, upsert
 from tripstar.plans import load as loads
 from tripstar.schemas import PARTITIONS, SERVICES
-from tripstar.session import scratch_dir
+from tripstar.session import scratch_dir, splits
 from tripstar.sources import raw_files, testdata
 from tripstar.streaming import jobs
 
+ROWS_A_FILE = 2_000_000  # trips of a staged file, some hundred megabytes
+
+
 def _house(spark: SparkSession) -> loads.Warehouse:
     return loads.Warehouse(spark, scratch_dir(spark, "house"))
 
@@ -441,11 +444,15 @@ def stream_hourly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, rows: DataFrame, by: list[str], files: int) -> DataFrame:
-    """Rows written as a few files that a stream then takes one at a time."""
+    """Rows written as files that a stream then takes in a few batches.
+
+    ``files`` is the number of batches; more rows make more files in each.
+    """
     path = scratch_dir(spark, "staged")
-    rows.repartitionByRange(files, *by).write.parquet(path)
+    a_batch = splits(rows.count(), files * ROWS_A_FILE)
+    rows.repartitionByRange(files * a_batch, *by).write.parquet(path)
     return (
-        spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", a_batch).parquet(path)
     )
 
 
