@@ -134,6 +134,26 @@ def test_deltas_read_only_what_a_batch_touches(spark, house):
     same_as_rebuilt(kept)
 
 
+def test_a_batch_is_shuffled_once_and_large_months_are_dealt_out(spark, house, monkeypatch):
+    sent = [trip(i, 1, f"2024-01-{i % 28 + 1:02d}", month=1 + (i % 10 == 0)) for i in range(60)]
+    monkeypatch.setattr("tripstar.plans.deltas.ROWS_A_SLICE", 20)
+    arrived = facts.fact_trips(trips(spark, sent), keep={"_sent": F.col("sent")}).withColumn("_dead", F.lit(False))
+    text = plan(DeltaFacts._last_sent(arrived))
+    assert text.count("Arguments: hashpartitioning(") == 1 and "REBALANCE" not in text
+    monkeypatch.setattr("tripstar.plans.deltas.ROWS_A_SLICE", 5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    dealt = DeltaFacts._last_sent(arrived).filter("source_month = 1").select(F.spark_partition_id()).distinct().count()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert dealt > 1
+    kept = DeltaFacts(house)
+    kept.apply(trips(spark, sent), 0, "sent", "deleted")
+    # sent again: as they are, and with a change that no aggregate counts
+    kept.apply(trips(spark, [r | {"sent": 2, "extra": Decimal("1.00")} for r in sent]), 1, "sent", "deleted")
+    same_as_rebuilt(kept)
+    assert {r.extra for r in kept.fact().collect()} == {Decimal("1.00")} and kept.fact().count() == 60
+    assert kept._read("delta_daily").filter("batch_id = 1").count() == 0
+
+
 def test_a_trip_without_an_id_fails_its_batch(spark, house):
     with pytest.raises(Exception, match="no trip_id"):
         DeltaFacts(house).apply(trips(spark, [trip(None, 1, "2024-01-05")]), 0, "sent", "deleted")

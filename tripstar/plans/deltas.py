@@ -24,9 +24,15 @@ from tripstar.operators import facts
 from tripstar.operators.partials import add_up, signed
 from tripstar.operators.upsert import one_per_key, path_exists
 from tripstar.plans.load import FACT_PARTITIONS, Warehouse, in_any_month
-from tripstar.session import scratch_dir
+from tripstar.session import scratch_dir, splits
 
 ID = ["trip_id", *FACT_PARTITIONS]
+# What the aggregates count of a trip; the other columns are stored, and never compared.
+COUNTED = [
+    "pickup_date_key", "pickup_time_key", "pickup_location_id", "dropoff_location_id", "vendor_id",
+    "passenger_count", "trip_distance", "trip_duration_minutes", "total_amount", "tip_amount", "fare_amount",
+]
+ROWS_A_SLICE = 2_000_000  # trips of a source month that one task sorts and writes
 
 
 @dataclass(frozen=True)
@@ -55,8 +61,6 @@ class DeltaFacts:
     def _write(self, table: str, batch_id: int, rows: DataFrame, by: tuple[str, ...] = ()) -> None:
         """Replace what a batch left in a table, as a whole."""
         path = f"{self.house.path(table)}/batch_id={batch_id}"
-        if by:
-            rows = rows.hint("rebalance", *by)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
 
     def _read(self, table: str) -> DataFrame | None:
@@ -83,30 +87,37 @@ class DeltaFacts:
         )
         no_id = F.raise_error(F.lit("a trip has no trip_id"))
         arrived = arrived.withColumn("trip_id", F.coalesce("trip_id", no_id))
-        self._write("delta_trips", batch_id, one_per_key(arrived, ID, ["_sent", "_dead"]), tuple(FACT_PARTITIONS))
+        self._write("delta_trips", batch_id, self._last_sent(arrived), tuple(FACT_PARTITIONS))
         stored = self._read("delta_trips")
         if stored is None:  # nothing has arrived so far
             return
-        new = stored.filter(F.col("batch_id") == batch_id)
+        new = stored.filter(F.col("batch_id") == batch_id).select(*ID, "batch_id", "_sent", "_dead", *COUNTED)
         old = self._replaced(new, batch_id)
         if old is None:
-            changes = new.withColumn("_sign", F.lit(1))
+            changes = new.filter("NOT _dead").withColumn("_sign", F.lit(1))
         else:
             before = F.struct(*[c for c in new.columns if c not in ID])
             pairs = old.select(*ID, F.col("last").alias("_old")).join(new.select(*ID, before.alias("_new")), ID, "right")
             pairs = pairs.withColumn("_stale", F.coalesce(F.col("_old._sent") > F.col("_new._sent"), F.lit(False)))
             lost = F.when(F.col("_stale"), F.col("_new.batch_id")).otherwise(F.col("_old.batch_id"))
-            replaced = pairs.filter("_old IS NOT NULL").select(*ID, lost.alias("of_batch"))
-            self._write("delta_replaced", batch_id, replaced)
+            counted = lambda side: F.when(
+                ~F.col(f"{side}._dead"), F.struct(*[F.col(f"{side}.{c}").alias(c) for c in COUNTED])
+            )
+            # a trip that counts as before, or that was overtaken, changes nothing
+            moved = ~F.col("_stale") & ~counted("_old").eqNullSafe(counted("_new"))
+            side = lambda name: F.when(moved, counted(name))
+            # what is replaced and what changes is read three times, and found once
+            staged = scratch_dir(self.spark, "delta-changes")
+            pairs.select(
+                *ID, F.when(F.col("_old").isNotNull(), lost).alias("of_batch"), side("_old").alias("_old"), side("_new").alias("_new")
+            ).write.parquet(staged)
+            found = self.spark.read.parquet(staged)
+            self._write("delta_replaced", batch_id, found.filter("of_batch IS NOT NULL").select(*ID, "of_batch"))
             both = F.array(
                 F.struct(F.lit(1).alias("_sign"), F.col("_new").alias("row")), F.struct(F.lit(-1).alias("_sign"), F.col("_old").alias("row"))
             )
-            rows = pairs.filter("NOT _stale").select(*ID, F.explode(both).alias("_c")).filter("_c.row IS NOT NULL")
-            changes = rows.select(*ID, "_c.row.*", F.col("_c._sign").alias("_sign"))
-        # what changes is read by both aggregates, and found once
-        staged = scratch_dir(self.spark, "delta-changes")
-        changes.filter("NOT _dead").write.parquet(staged)
-        changes = self.spark.read.parquet(staged)
+            rows = found.filter("_new IS NOT NULL OR _old IS NOT NULL").select(*ID, F.explode(both).alias("_c"))
+            changes = rows.filter("_c.row IS NOT NULL").select(*ID, "_c.row.*", F.col("_c._sign").alias("_sign"))
         for name, kept in AGGREGATES.items():
             rows = kept.rows(changes)
             delta = signed(rows, kept.keys, kept.measures, "_sign")
@@ -116,6 +127,21 @@ class DeltaFacts:
                 same = same & F.coalesce(test, F.lit(True))
             self._write(f"delta_{name}", batch_id, delta.filter(~same))
 
+    @staticmethod
+    def _last_sent(arrived: DataFrame) -> DataFrame:
+        """One row per trip, those of a source month together: one shuffle serves both.
+
+        Months of many rows are dealt to several tasks by id, so that none takes one whole.
+        """
+        months = arrived.groupBy(*FACT_PARTITIONS).agg(F.count(F.lit(1)).alias("n"))
+        slices = F.lit(1)
+        for r in months.filter(F.col("n") > ROWS_A_SLICE).collect():  # bounded by the calendar
+            mine = [F.col(c).eqNullSafe(F.lit(r[c])) for c in FACT_PARTITIONS]
+            slices = F.when(mine[0] & mine[1] & mine[2], splits(r.n, ROWS_A_SLICE)).otherwise(slices)
+        placed = arrived.withColumn("_slice", F.pmod(F.xxhash64("trip_id"), slices))
+        placed = placed.repartition(*FACT_PARTITIONS, "_slice")
+        return one_per_key(placed, [*ID, "_slice"], ["_sent", "_dead"]).drop("_slice")
+
     def _replaced(self, new: DataFrame, batch_id: int) -> DataFrame | None:
         """The last earlier row of each trip of a batch, from the source months it touches.
 
@@ -128,7 +154,7 @@ class DeltaFacts:
             return None
         touched = in_any_month([(r.source_year, r.source_month) for r in months], "source_year", "source_month")
         low, high = min(r.low for r in months), max(r.high for r in months)
-        near = held.filter(touched & F.col("trip_id").between(low, high))
+        near = held.filter(touched & F.col("trip_id").between(low, high)).select(*new.columns)
         wanted = near.join(new.select(*ID), ID, "left_semi")
         row = F.struct(*[c for c in new.columns if c not in ID])
         return wanted.groupBy(*ID).agg(F.max_by(row, F.struct("_sent", "batch_id")).alias("last"))
