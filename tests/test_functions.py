@@ -126,3 +126,9 @@ def test_labels(spark):
         "premium-service", "standard-service", "economy-service"]
     assert values(spark, [(1,), (3,), (7,)], "r int", labels.rank_label(F.col("r"))) == [
         "gold", "bronze", "#7"]
+
+
+def test_months_in_a_row_are_one_range():
+    months = [(1997, 11), (1998, 1), (1997, 12), (1998, 1), (1998, 3), (1995, 6)]
+    assert temporal.month_ranges(months) == [(19950601, 19950631), (19971101, 19980131), (19980301, 19980331)]
+    assert temporal.month_ranges([]) == []
