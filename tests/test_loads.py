@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripstar.operators import facts, ledger, upsert
 from tripstar.plans import load as loads
 from tripstar.session import scratch_dir
-from tripstar.sources import raw_files
+from tripstar.sources import raw_files, testdata
 from tripstar.streaming import jobs
 
 
@@ -201,3 +201,31 @@ def test_streamed_trip_without_an_id_fails_the_batch(spark, house):
     spark.createDataFrame(rows, CONFORMED).coalesce(1).write.parquet(source)
     with pytest.raises(Exception, match="no trip_id"):
         jobs.append_and_recompute(house, spark.readStream.schema(CONFORMED).parquet(source), checkpoint)
+
+
+def test_load_counts_do_not_grow_with_the_months(spark, house, landing, monkeypatch):
+    """One metric a pass, and the counts in the log are those of the files and of the table."""
+    for month, n in ((1, 3), (2, 4), (3, 2)):
+        rows = [*green(n, month), ("1", "garbage", "4", 1.0), ("1", f"2024-{month:02d}-02 10:00:00", "4", 1e12)]
+        write_source(spark, landing, "green", 2024, month, rows, GREEN)
+    write_source(spark, landing, "green", 2024, 4, [("1", "garbage", "4", 1.0)], GREEN)
+    metrics = []
+    observe = type(spark.range(1)).observe
+
+    def counted(self, seen, *exprs):
+        metrics.append(len(exprs))
+        return observe(self, seen, *exprs)
+
+    monkeypatch.setattr(type(spark.range(1)), "observe", counted)
+    assert loads.load(house, landing, "green") == "loaded"
+    assert metrics == [1]
+    log = {(r.month, r.rows_in_file, r.rows_loaded) for r in house.load_log().latest().collect()}
+    assert log == {(1, 5, 3), (2, 6, 4), (3, 4, 2), (4, 1, 0)}
+    assert house.read("trip_rejects").count() == 3
+
+
+def test_landing_is_shuffled_before_values_become_texts(spark, sf_dir):
+    for service in ("yellow", "green", "fhv"):
+        plan = testdata.landing_rows(spark, sf_dir, service)._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("RebalancePartitions")
+        assert "date_format" in above and "date_format" not in below

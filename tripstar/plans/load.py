@@ -20,7 +20,7 @@ from tripstar.sources.raw_files import Months, months_present
 
 FACT_PARTITIONS = ["file_type", "source_year", "source_month"]
 AGG_PARTITIONS = ["year", "month"]
-MONTHS_A_JOB = 24  # each month of a load job adds three counts to its one pass
+MONTHS_A_JOB = 24  # a load job keeps two bits for each month, in one long
 
 # A load writes one table by outcome; these are its two halves.
 _HALVES = {"trip_data": "trip_rows/outcome=good", "trip_rejects": "trip_rows/outcome=rejected"}
@@ -85,12 +85,16 @@ class Warehouse:
             empty = self.spark.createDataFrame([], self.read(table).drop(*by).schema)
             empty.write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
 
-    def filled(self, table: str, by: list[str], test: Column) -> set[tuple]:
-        """Partitions that hold rows; only footers are read. Bounded by the calendar."""
+    def sizes(self, table: str, by: list[str], test: Column) -> dict[tuple, int]:
+        """Rows of each partition that holds any; only footers are read. Bounded by the calendar."""
         if not self.has(table):
-            return set()
+            return {}
         counts = self.read(table).filter(test).groupBy(*by).count()
-        return {tuple(r[k] for k in by) for r in counts.collect()}
+        return {tuple(r[k] for k in by): r["count"] for r in counts.collect()}
+
+    def filled(self, table: str, by: list[str], test: Column) -> set[tuple]:
+        """Partitions that hold rows."""
+        return set(self.sizes(table, by, test))
 
 
 def load(
@@ -174,26 +178,23 @@ def _load_group(
     """Write good and rejected rows in one pass; (month, rows in its files, rows loaded)."""
     rows = sort_out(raw, service, processed_at)
     seen = Observation()
-
-    def count(month: tuple[int, int], test: Column) -> Column:
-        return F.count_if((F.col("year") == month[0]) & (F.col("month") == month[1]) & test)
-
-    counts = []
-    for i, month in enumerate(months):
-        counts += [
-            count(month, F.lit(True)).alias(f"rows{i}"),
-            count(month, F.col("outcome") == "good").alias(f"good{i}"),
-            count(month, F.col("outcome") == "rejected").alias(f"rejected{i}"),
-        ]
-    kept = rows.observe(seen, *counts).filter(F.col("outcome") != "dropped")
+    # the pass notes which partitions get rows; how many they got is in the footers
+    outcomes = ["good", "rejected"]
+    place = F.array_position(F.array(*[F.lit(y * 12 + m) for y, m in months]), F.col("year") * 12 + F.col("month"))
+    half = F.array_position(F.array(*map(F.lit, outcomes)), F.col("outcome"))
+    bit = F.when(half > 0, F.call_function("shiftleft", F.lit(1).cast("long"), (place * 2 + half - 3).cast("int")))
+    kept = rows.observe(seen, F.bit_or(bit).alias("filled")).filter(F.col("outcome") != "dropped")
     house.overwrite("trip_rows", kept, ["outcome", *PARTITIONS], clustered=True)
-    got = seen.get
+    filled = seen.get["filled"] or 0
+    got = {(o, *m) for i, m in enumerate(months) for j, o in enumerate(outcomes) if filled >> (2 * i + j) & 1}
     mine = (F.col("file_type") == service) & in_any_month(months)
     for table, name in (("trip_data", "good"), ("trip_rejects", "rejected")):
-        empty = {(service, *m) for i, m in enumerate(months) if not got[f"{name}{i}"]}
+        empty = {(service, *m) for m in months if (name, *m) not in got}
         if empty:
             house.clear(table, PARTITIONS, sorted(house.filled(table, PARTITIONS, mine) & empty))
-    return [(m, got[f"rows{i}"], got[f"good{i}"]) for i, m in enumerate(months)]
+    in_files = {(r.year, r.month): r["count"] for r in raw.groupBy("year", "month").count().collect()}
+    loaded = house.sizes("trip_data", PARTITIONS, mine) if any(o == "good" for o, *_ in got) else {}
+    return [(m, in_files.get(m, 0), loaded.get((service, *m), 0)) for m in months]
 
 
 def _loaded_months(log: Ledger, service: str) -> set[tuple[int, int]]:
