@@ -268,3 +268,17 @@ def test_dedupe_inside_and_beyond_the_watermark(spark, house):
     # nothing more comes: running again changes nothing
     jobs.append_once(house, stream, "once", keys, "at", checkpoint, "5 days")
     assert house.read("once").count() == len(found)
+
+
+def test_late_rows_and_held_keys_are_shuffled_once_each(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (2, 5, "c"), (None, None, "d"), (3, 1, "e")], "i long, t long, note string")
+    held = spark.createDataFrame([(None, None), (2, 5), (2, 5), (3, None)], "i long, t long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = jobs.first_of_new(rows, held, ["i", "t"])
+        assert plan(new).split("\n\n")[0].count("Exchange") == 2
+        found = {(r.i, r.t) for r in new.collect()}
+        assert found == {(1, None), (3, 1)} and new.count() == 2 and new.columns == rows.columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

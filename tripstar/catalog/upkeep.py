@@ -132,7 +132,7 @@ def stream_delta_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedupe_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips kept once when some come again soon, some long after, and some come late for the first time."""
-    trips = stored.trips(spark, sf_dir).filter("pickup_datetime IS NOT NULL").select("trip_id", "pickup_datetime")
+    trips = stored.trip_times(spark, sf_dir)
     path = scratch_dir(spark, "arrivals")
     late = F.pmod("trip_id", F.lit(7)) == 1
     again = F.pmod("trip_id", F.lit(3)) == 0

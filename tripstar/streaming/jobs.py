@@ -196,6 +196,14 @@ def append_and_recompute(house: Warehouse, trips: DataFrame, checkpoint: str) ->
     _run(trips, apply, checkpoint)
 
 
+def first_of_new(rows: DataFrame, held: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key that is not held, NULL being one key; each side is shuffled once."""
+    # NULL equals NULL inside a struct, and the join takes the shuffle by it that the deduplication made
+    key = F.struct(*keys).alias("_key")
+    once = rows.select(key, *[c for c in rows.columns if c not in keys]).dropDuplicates(["_key"])
+    return once.join(held.select(key), "_key", "left_anti").select("_key.*", *once.columns[1:]).select(*rows.columns)
+
+
 def append_once(
     house: Warehouse, stream: DataFrame, table: str, keys: list[str], time: str, checkpoint: str, delay: str = "1 day"
 ) -> None:
@@ -233,15 +241,12 @@ def append_once(
         put(f"{table}/part={part}", batch_id, batch.select(*names))
 
     def store_late(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropDuplicates(keys)
-        spans = rows.agg(F.min(time).alias("low"), F.max(time).alias("high"), F.count_if(F.col(time).isNull()).alias("n")).first()
+        spans = batch.agg(F.min(time).alias("low"), F.max(time).alias("high"), F.count_if(F.col(time).isNull()).alias("n")).first()
         earlier = house.read(table).filter((F.col("part") == "timely") | (F.col("batch_id") < batch_id))
         near = F.lit(False) if spans.low is None else F.col(time).between(spans.low, spans.high)
         if spans.n:
             near = near | F.col(time).isNull()
-        held = earlier.filter(near).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        store("late", rows.join(held, reduce(lambda a, b: a & b, same), "left_anti"), batch_id)
+        store("late", first_of_new(batch, earlier.filter(near), keys), batch_id)
 
     _run(stream, split, f"{checkpoint}/split")
     timed = arrived("timely").withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
