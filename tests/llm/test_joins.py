@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import SCHEMA, text
 from pyspark.sql import functions as F
@@ -215,3 +216,10 @@ def test_pipeline_awkward(spark, sf_dir, clashing, no_docs):
             docs = corpus_pipeline.stored(stage(spark, docs, sf_dir), "stage")
         assert (docs.count() == 0) == (start is no_docs)
     assert SCHEMA
+
+
+def test_sets_are_made_of_few_texts_at_a_time():
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(1500)])], names=["text"])
+    parts = list(ngram_join._few(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
+    assert max(p.num_rows for p in parts) <= ngram_join.ROWS_AT_ONCE
+    assert [t for p in parts for t in p.column(0).to_pylist()] == [str(i) for i in [*range(1500), 0, 1, 2]]

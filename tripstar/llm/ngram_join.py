@@ -42,6 +42,7 @@ from tripstar.llm.shingles import mixed, shingle_set
 BUCKET_BITS = 19  # buckets of the global order; 2 MB of counts from each task
 FLAG_BITS = 23  # 1 MB of flags for the nodes whose sets are wanted again
 FRAGMENTS = 8
+ROWS_AT_ONCE = 512  # texts whose sets a task holds at a time
 _CHUNK = 1 << 13  # buckets a row of partial counts
 _SIGN = np.uint64(1 << 63)
 
@@ -82,6 +83,14 @@ class Order:
         return [(f, tokens[i:j]) for f, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i]
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in small batches: sets are many times a text, and what a task makes of a batch it makes at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+    pa.default_memory_pool().release_unused()  # the worker goes on to other stages
+
+
 def _flag_of(nodes: list[bytes], bits: int) -> np.ndarray:
     firsts = np.array([int.from_bytes(x[:8], "little") for x in nodes], dtype=np.uint64)
     return (mixed(firsts) >> np.uint64(64 - bits)).astype(np.int64)
@@ -151,7 +160,7 @@ class NgramJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ordered, seen = order.value, set()
-            for batch in batches:
+            for batch in _few(batches):
                 tokens, nodes, sizes = [np.zeros(0, dtype=np.int64)], [], []
                 lasts, lengths = [], []
                 for text in batch.column(0):
@@ -240,7 +249,7 @@ class NgramJoin:
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flags, ordered, seen = np.unpackbits(marked.value).view(bool), order.value, set()
-            for batch in batches:
+            for batch in _few(batches):
                 rows = []
                 for text in batch.column(0):
                     own = shingle_set(text.as_py(), width)
