@@ -262,6 +262,44 @@ def many_near_copies() -> list[tuple]:
     return [(i // 3, "\n".join(lines[i : i + 3])) for i in range(0, len(lines), 3)]
 
 
+@pytest.mark.parametrize("edits,min_chars", [(2, 30), (1, 12), (2, 9), (4, 20)])
+def test_line_dedup_by_finer_keys_alone(spark, monkeypatch, edits, min_chars):
+    monkeypatch.setattr(line_dedup, "FEW", 0)
+    test_line_dedup_against_all_pairs(spark, edits, min_chars)
+
+
+def test_line_dedup_by_words_with_every_key_heavy(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FEW", 0)
+    test_line_dedup_threshold_grows_with_the_words(spark)
+
+
+@pytest.mark.parametrize("words_an_edit", [None, 20])
+def test_line_dedup_pairs_of_heavily_edited_copies(spark, monkeypatch, words_an_edit):
+    import random
+
+    rng, made, plain = random.Random(5), [], line_dedup.stored
+    word = lambda: "".join(rng.choice("aeinorst") for _ in range(5))
+    base, passage, lines = [word() for _ in range(90)], [word() for _ in range(40)], []
+    for _ in range(150):
+        own = list(base)
+        for at in rng.sample(range(90), 8):
+            own[at] = "".join(rng.sample(own[at], 5))
+        lines.append(" ".join(own))
+        # a passage in lines that have nothing else in common
+        lines.append(" ".join([*(word() for _ in range(rng.randint(20, 60))), *passage, *(word() for _ in range(40))]))
+
+    def counted(rows, purpose):
+        found = plain(rows, purpose)
+        if purpose == "lines-pairs":
+            made.append(found.count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(4)
+    assert line_dedup.dedup_lines(docs, words_an_edit=words_an_edit).where("text = ''").count() == 0
+    assert len(made) == 2 and sum(made) < len(lines)
+
+
 def test_line_dedup_does_not_pair_all_near_copies(spark, monkeypatch):
     rows = [(i, text) for i, (_, text) in enumerate(many_near_copies())]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)

@@ -23,6 +23,11 @@ Built-in functions only. Equal lines are joined by partial aggregation before an
 compared, with keys in place of their texts. All keys are shuffled once, and only those of two
 lines or more go on. A line needs but one earlier line near it, so under a key that many lines
 share they are held against its first few, and only what these leave open against the rest.
+For that, lines that share a key of characters get finer keys: of a line cut into many parts,
+two edits leave all but two untouched, so edited copies of one line meet only if what they
+share is nearly all of it. Lines that share words meet again if their numbers of words are alike.
+Parities of the counts of words, or of pairs of characters, tell most of what meets apart, as an
+edit changes few of them.
 
 Defined cases: null and empty texts have no line. Blank lines are never removed and take
 no part. White space around a line is ignored. Rows repeating an id with another text are
@@ -32,6 +37,8 @@ A document that loses all its lines has an empty text. Other columns pass throug
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,12 +51,17 @@ BROADCAST_LINES = 1_000_000  # hashes of candidate lines, 8 bytes each; beyond i
 
 LENGTH_STEP = 8  # lengths whose lines are cut alike
 WORD_CLASSES = 8  # edits up to which words are cut into segments; longer lines have keys of stretches as well
+FINE_PARTS = 16  # parts of a line whose first keys are shared by many
 FEW = 8  # lines of a key that all others of it are held against; the rest only where these leave one open
 
 # Letters whose counts two lines are held against first.
 LETTERS = ["e", "t", "n", "a", "s", "o", "i", "r"]
 _COUNT_BITS = 7
 _BAND_BITS = 32
+_PARITIES = 4  # longs
+_FINE_EDITS = (1, 2)  # edits that finer keys are made for
+WORD_FLIPS = 3  # a blank put in or taken out: two words and the one they make together
+CHAR_FLIPS = 4  # a character in the place of another: two pairs and the two instead of them
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -87,6 +99,29 @@ def segment_keys(edits: int, min_chars: int) -> str:
     return f"CASE WHEN n < {min_chars} THEN CAST(array() AS ARRAY<BIGINT>) WHEN {below} THEN concat({both[0]}, {both[1]}) ELSE {both[0]} END"
 
 
+def fine_keys(edits: int, min_chars: int) -> str:
+    """SQL array of keys that two lines share only if they agree in all but two parts next to ``edits`` edits.
+
+    Steps of lengths are those of :func:`segment_keys`. One or two edits lie in parts i < j of the
+    shorter line, counted from its start. Then all before i is in place, all after j is in place as
+    seen from the end, and what lies between has moved by one at most, as there is an edit in i.
+    """
+    step, most = max(LENGTH_STEP, edits), FINE_PARTS - 1
+    both = []
+    for less in (0, step):
+        least = f"(n - pmod(n - {min_chars}, {step}) - {less})"
+        part = f"CAST({least} DIV {FINE_PARTS} AS INT)"
+        between = f"substring(line, (i + 1) * {part} + 1 + t, greatest((j - i - 1) * {part} - 1, 0))"
+        after = f"substring(line, n - ({most} - j) * {part} + 1, ({most} - j) * {part})"
+        key = f"xxhash64({least}, i, j, substring(line, 1, i * {part}), {between}, {after}) & -2L"
+        moves = f"transform(sequence(0, IF(j > i + 1, 1, 0)), t -> {key})"
+        # one edit is in one of two parts next to each other
+        last = "i + 1" if edits == 1 else str(most)
+        both.append(f"flatten(transform(sequence(0, {most - 1}), i -> flatten(transform(sequence(i + 1, {last}), j -> {moves}))))")
+    below = f"n - {step} >= {min_chars} AND pmod(n - {min_chars}, {step}) < {edits}"
+    return f"array_distinct(CASE WHEN {below} THEN concat({both[0]}, {both[1]}) ELSE {both[0]} END)"
+
+
 def _word_classes(words_an_edit: int) -> int:
     """The most edits for which words are cut into segments as long as a run of the longer lines' keys."""
     most = 1
@@ -136,7 +171,7 @@ def _close(edits: int) -> str:
     full = (1 << _COUNT_BITS) - 1
     apart = []
     for k in range(len(LETTERS) + 1):
-        a, b = (f"(shiftright({s}.sign, {_COUNT_BITS * k}) & {full})" for s in "xy")
+        a, b = (f"(shiftright({s}.letters, {_COUNT_BITS * k}) & {full})" for s in "xy")
         apart.append(f"abs({a} - {b})")
     # an edit changes two counts by one at most; a count that may have wrapped lets a pair pass
     *letters, length = apart
@@ -145,6 +180,13 @@ def _close(edits: int) -> str:
     return f"({near} AND ({' + '.join(letters)} <= {2 * edits} OR {wrapped}))"
 
 
+def _parities(hashes: str) -> str:
+    """SQL array of longs whose bits tell whether the hashes of each of 256 classes occur an odd number of times."""
+    bit = "shiftleft(1L, CAST(shiftrightunsigned(h, 20) & 63 AS INT))"
+    part = f"aggregate({hashes}, 0L, (s, h) -> IF(shiftrightunsigned(h, 40) & {_PARITIES - 1} = k, s ^ {bit}, s))"
+    return f"transform(sequence(0, {_PARITIES - 1}), k -> {part})"
+
+
 def _let(value: str, name: str, body: str) -> str:
     """SQL: the body with a name for a value, which is computed once."""
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
@@ -218,71 +260,100 @@ class LineDedup:
             some = F.when(F.col("n") >= max(self.min_chars, 2 * self.words_an_edit - 1), F.col("line"))
             lines = lines.withColumn("hashes", F.transform(words(some), lambda w: F.xxhash64(w))).withColumn("m", F.size("hashes"))
             lines = lines.withColumn("keys", F.concat(F.expr(chars), F.expr(word_keys(self.words_an_edit))))
+            lines = lines.withColumn("odd", F.expr(f"CASE WHEN m >= {self.words_an_edit} THEN {_parities('hashes')} END"))
         else:
             lines = lines.withColumn("m", F.lit(0)).withColumn("keys", F.expr(chars))
+            lines = lines.withColumn("odd", F.lit(None).cast("array<long>"))
         lines = lines.withColumn("letters", F.when(F.col("n") >= self.min_chars, F.expr(_letters())))
         found = lines.groupBy("h1", "h2").agg(
             F.min(F.struct("doc_id", "th", "pos")).alias("first"),
-            *[F.first(c).alias(c) for c in ("letters", "m", "keys")],
+            *[F.first(c).alias(c) for c in ("letters", "m", "odd", "keys")],
         )
         return stored(found, "lines-first")
 
-    def meetings(self, firsts: DataFrame) -> DataFrame:
-        """Stored key, h1 and sign of the lines that share a key, each with its place among them.
+    def meetings(self, keys: DataFrame, firsts: DataFrame) -> DataFrame:
+        """Stored key, h1 and signs of the lines that share a key, each with its place among them.
 
-        Few keys are shared, so one shuffle of all keys leaves little. Keys of words are odd.
+        Few keys are shared, so one shuffle of all (key, h1) leaves little. Keys of words are odd.
         """
-        rows = firsts.select(F.explode("keys").alias("key"), "h1", "letters", "m", F.col("first.doc_id").alias("doc_id"))
-        rows = rows.selectExpr("key", "h1", "IF(key & 1 = 1, CAST(m AS BIGINT), letters) AS sign", "doc_id")
-        order = Window.partitionBy("key").orderBy("doc_id", "h1")
-        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         # a line may have a key twice
-        met = rows.withColumn("place", F.row_number().over(order)).withColumn("last", F.count(F.lit(1)).over(whole))
-        return stored(met.where("last > 1").drop("last"), "lines-met")
+        met = keys.withColumn("last", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("last > 1").drop("last")
+        met = stored(met, "lines-met")
+        signs = firsts.select("h1", "letters", F.col("m").cast("long").alias("m"), "odd", F.col("first.doc_id").alias("doc_id"))
+        order = Window.partitionBy("key").orderBy("doc_id", "h1")
+        return stored(met.join(signs, "h1").withColumn("place", F.row_number().over(order)), "lines-met")
 
-    def pairs(self, x: DataFrame, y: DataFrame, rule: str) -> DataFrame:
+    def pairs(self, x: DataFrame, y: DataFrame, rule: str, flips: int = WORD_FLIPS) -> DataFrame:
         """Stored pairs (a, b) of first line hashes that share a key and are close, by_words or by characters.
 
-        Two lines of one 64-bit hash stay together here and are told apart when verified.
+        ``flips`` are the parities that an edit of a character changes at most. Two lines of one 64-bit hash stay together here and are told apart when verified.
         """
-        close = _close(self.edits)
+        # lines of few words have no parities
+        flipped = " + ".join(f"bit_count(get(x.odd, {k}) ^ get(y.odd, {k}))" for k in range(_PARITIES))
+        alike = f"coalesce({flipped} <= {{0}}, true)"
+        close = f"({_close(self.edits)} AND {alike.format(flips * self.edits)})"
         if self.words_an_edit:
-            apart = f"abs(x.sign - y.sign) <= least(x.sign, y.sign) DIV {self.words_an_edit}"
-            close = f"IF(x.key & 1 = 1, {apart}, {close})"
+            most = f"least(x.m, y.m) DIV {self.words_an_edit}"
+            close = f"IF(x.key & 1 = 1, abs(x.m - y.m) <= {most} AND {alike.format(f'2 * ({most})')}, {close})"
         found = x.alias("x").join(y.alias("y"), F.expr(f"x.key = y.key AND x.h1 <> y.h1 AND {rule} AND {close}"))
         return stored(
             found.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b", "x.key & 1 = 1 AS by_words").distinct(),
             "lines-pairs",
         )
 
+    def finer(self, rest: DataFrame, firsts: DataFrame) -> DataFrame:
+        """The lines of rest as they meet again: under finer keys, or among lines of about as many words."""
+        lines = []
+        if self.words_an_edit:
+            # the longer of two lines has at most one word in so many more, so its size is the same or the next
+            size = f"CAST(floor(ln(m) / (ln(1 + 1D / {self.words_an_edit}) + 1e-9)) AS INT)"
+            sizes = F.explode(F.expr(f"array({size}, {size} + 1)"))
+            by_words = rest.where("key & 1 = 1").select("h1", "key", sizes.alias("size"))
+            lines.append(by_words.selectExpr("xxhash64(key, size) | 1L AS key", "h1"))
+        by_chars = rest.where("key & 1 = 0")
+        texts = stored(self.texts(by_chars.select("h1").distinct()), "lines-heavy")
+        if self.edits in _FINE_EDITS:
+            texts = texts.withColumn("n", F.char_length("line"))
+            lines.append(texts.select(F.explode(F.expr(fine_keys(self.edits, self.min_chars))).alias("key"), "h1"))
+        else:
+            lines.append(by_chars.select("key", "h1"))
+        met = self.meetings(reduce(DataFrame.unionByName, lines).distinct(), firsts)
+        two = "transform(sequence(0, size(c) - 2), i -> xxhash64(get(c, i), get(c, i + 1)))"
+        signs = texts.selectExpr("h1", "split(line, '') AS c").where("size(c) > 1").selectExpr("h1", f"{two} AS g")
+        signs = signs.selectExpr("h1", f"{_parities('g')} AS two")
+        own = F.expr("IF(key & 1 = 1, odd, two)").alias("odd")
+        return stored(met.join(signs, "h1", "left").select("key", "h1", "letters", "m", "doc_id", own), "lines-again")
+
     def near(self, firsts: DataFrame) -> DataFrame:
         """h1 and h2 of the distinct lines with an earlier line within the threshold.
 
         One such line is enough. So lines are held against the first few that have their
         key, and where more have it, only those still without one are held against the rest.
         """
-        met = self.meetings(firsts)
+        met = self.meetings(firsts.select(F.explode("keys").alias("key"), "h1"), firsts)
         early = self.pairs(met.where(F.col("place") <= FEW), met, "x.place < y.place")
         found = stored(self.verified(early, firsts), "lines-near")
         rest = met.where(F.col("place") > FEW)
         if rest.isEmpty():
             return found
         left = firsts.join(rest.select("h1").distinct(), "h1", "left_semi").join(found, ["h1", "h2"], "left_anti")
-        open_ = rest.join(left.select("h1").distinct(), "h1", "left_semi")
+        again = self.finer(rest, firsts)
+        open_ = again.join(left.select("h1").distinct(), "h1", "left_semi")
         # places go by document; lines of one document are compared either way
-        late = self.pairs(rest, open_, "(x.doc_id IS NULL OR x.doc_id <= y.doc_id)")
+        late = self.pairs(again, open_, "(x.doc_id IS NULL OR x.doc_id <= y.doc_id)", CHAR_FLIPS)
         return stored(found.unionByName(self.verified(late, firsts)).distinct(), "lines-near")
 
-    def verified(self, pairs: DataFrame, firsts: DataFrame) -> DataFrame:
-        """h1 and h2 of the later lines of the pairs that lie within the threshold."""
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "lines-wanted")
+    def texts(self, ids: DataFrame) -> DataFrame:
+        """h1, h2 and the text of each distinct line whose h1 is among the ids."""
+        ids = stored(ids, "lines-wanted")
         # a filter by so many ids needs no shuffle of the lines; more ids are joined
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_LINES else ids
+        return _lines(self.docs).join(wanted, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
+
+    def verified(self, pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+        """h1 and h2 of the later lines of the pairs that lie within the threshold."""
         texts = (
-            _lines(self.docs)
-            .join(wanted, "h1", "left_semi")
-            .groupBy("h1", "h2")
-            .agg(F.first("line").alias("line"))
+            self.texts(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct())
             .join(firsts.select("h1", "h2", "first"), ["h1", "h2"])
             .select("h1", F.struct("h1", "h2").alias("id"), "line", "first")
         )
