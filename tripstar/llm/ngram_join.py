@@ -11,7 +11,7 @@ equal sets are one node, so copies are never compared.
 2. *Stars.* Each node is compared with one hub, a node of many common shingles that it
    shares most with.
 3. *Across components.* Pairs of nodes that are still in different components are formed
-   from the shared shingles and compared; pairs inside a component need no test, since
+   from the shared shingles that come early enough in both sets and compared; pairs inside a component need no test, since
    only components are asked for. Two nodes of one hub that differ too much from it can
    only be linked by shingles that the hub lacks, so a group of heavily edited copies is
    not paired through what all of them have from their source.
@@ -155,7 +155,7 @@ class NgramJoin:
         return found.where("chunk IS NULL").select("doc_id", "th", "n", "node")
 
     def prefixes(self) -> DataFrame:
-        """A row (token, node, n, last) for each token of the prefix of each node."""
+        """A row (token, node, n, last, place) for each token of the prefix of each node."""
         width, percent, order = self.width, self.percent, self.order
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,11 +183,12 @@ class NgramJoin:
                         pa.array(nodes, pa.binary()).take(pa.array(repeat)),
                         pa.array(np.array(sizes, dtype=np.int64)[repeat]),
                         pa.array(np.array(lasts, dtype=np.int64)[repeat]),
+                        pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *map(np.arange, lengths)])),
                     ],
-                    names=["token", "node", "n", "last"],
+                    names=["token", "node", "n", "last", "place"],
                 )
 
-        return self.docs.select("text").mapInArrow(run, "token long, node binary, n long, last long")
+        return self.docs.select("text").mapInArrow(run, "token long, node binary, n long, last long, place long")
 
     def shared(self) -> DataFrame:
         """Stored prefix rows whose token is in another prefix too.
@@ -195,14 +196,12 @@ class NgramJoin:
         ``lonely`` counts the node's other prefix tokens, ``known`` tells how common its
         prefix tokens are.
         """
-        rows = self.prefixes()
-        common = (
-            rows.groupBy("token")
-            .agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("common"))
-            .where("a <> b")
-            .select("token", "common")
+        # the sets are made and their tokens shuffled once; most tokens end here
+        of_token = Window.partitionBy("token")
+        met = self.prefixes().withColumns(
+            {"a": F.min("node").over(of_token), "b": F.max("node").over(of_token), "common": F.count("*").over(of_token)}
         )
-        kept = stored(rows.join(common, "token").distinct(), "ngram-shared")
+        kept = stored(met.where("a <> b").drop("a", "b").distinct(), "ngram-shared")
         own = kept.groupBy("node").agg(
             (F.max(self.prefix_length("n")) - F.count("*")).alias("lonely"), F.sum("common").alias("known")
         )
@@ -319,20 +318,25 @@ class NgramJoin:
             "x.token = y.token AND x.node < y.node AND x.component <> y.component AND "
             f"{self.possible('x', 'y')} AND NOT ({closed} AND x.in_hub IS NOT NULL)"
         )
+        # the first token of two linked nodes has enough of both sets from its place on
+        early = "least(x.n - x.place, y.n - y.place) >= need - 1e-6"
         # what the node whose prefix ends first can share apart from the tokens met here
         rest = "CASE WHEN x.last <= y.last THEN x.n - IF({0}, x.foreign, x.prefix) ELSE y.n - IF({0}, y.foreign, y.prefix) END"
         p = self.percent
-        pairs = (
+        need = f"({p} * (x.n + y.n)) / {100 + p}D"
+        found = (
             open_rows.alias("x")
-            .join(open_rows.alias("y"), F.expr(rule))
-            .selectExpr(
-                "x.node AS u", "y.node AS v", f"{rest.format(closed)} AS rest", f"({p} * (x.n + y.n)) / {100 + p}D AS need"
-            )
-            .groupBy("u", "v")
-            .agg(F.count("*").alias("met"), F.max("rest").alias("rest"), F.max("need").alias("need"))
-            .where("met + rest >= need - 1e-6")
-            .select("u", "v")
+            .join(open_rows.alias("y"), F.expr(f"{rule} AND ({closed} OR {early.replace('need', need)})"))
+            .selectExpr("x.node AS u", "y.node AS v", f"{closed} AS closed", f"{rest.format(closed)} AS rest", f"{need} AS need")
+            .distinct()
+        )
+        # then all tokens of both prefixes count, of closed pairs those that the hub lacks
+        own = open_rows.groupBy("node").agg(
+            F.collect_list("token").alias("tokens"), F.collect_list(F.expr("IF(in_hub IS NULL, token, NULL)")).alias("outside")
         )
+        left, right = own.selectExpr("node AS u", "tokens AS all_u", "outside AS out_u"), own.selectExpr("node AS v", "tokens AS all_v")
+        met = F.expr("size(array_intersect(IF(closed, out_u, all_u), all_v))")
+        pairs = found.join(left, "u").join(right, "v").where(met + F.col("rest") >= F.col("need") - 1e-6).select("u", "v")
         tested = compared.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         return stored(pairs.join(tested, ["u", "v"], "left_anti"), "ngram-pairs")
 
