@@ -58,10 +58,8 @@ FEW = 8  # lines of a key that all others of it are held against; the rest only
 LETTERS = ["e", "t", "n", "a", "s", "o", "i", "r"]
 _COUNT_BITS = 7
 _BAND_BITS = 32
-_PARITIES = 4  # longs
+_CHAR_LONGS, _WORD_LONGS = 2, 8  # of parities
 _FINE_EDITS = (1, 2)  # edits that finer keys are made for
-WORD_FLIPS = 3  # a blank put in or taken out: two words and the one they make together
-CHAR_FLIPS = 4  # a character in the place of another: two pairs and the two instead of them
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -180,11 +178,11 @@ def _close(edits: int) -> str:
     return f"({near} AND ({' + '.join(letters)} <= {2 * edits} OR {wrapped}))"
 
 
-def _parities(hashes: str) -> str:
-    """SQL array of longs whose bits tell whether the hashes of each of 256 classes occur an odd number of times."""
+def _parities(hashes: str, longs: int) -> str:
+    """SQL array of longs whose bits tell whether the hashes of each class occur an odd number of times."""
     bit = "shiftleft(1L, CAST(shiftrightunsigned(h, 20) & 63 AS INT))"
-    part = f"aggregate({hashes}, 0L, (s, h) -> IF(shiftrightunsigned(h, 40) & {_PARITIES - 1} = k, s ^ {bit}, s))"
-    return f"transform(sequence(0, {_PARITIES - 1}), k -> {part})"
+    part = f"aggregate({hashes}, 0L, (s, h) -> IF(shiftrightunsigned(h, 40) & {longs - 1} = k, s ^ {bit}, s))"
+    return f"transform(sequence(0, {longs - 1}), k -> {part})"
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -260,14 +258,12 @@ class LineDedup:
             some = F.when(F.col("n") >= max(self.min_chars, 2 * self.words_an_edit - 1), F.col("line"))
             lines = lines.withColumn("hashes", F.transform(words(some), lambda w: F.xxhash64(w))).withColumn("m", F.size("hashes"))
             lines = lines.withColumn("keys", F.concat(F.expr(chars), F.expr(word_keys(self.words_an_edit))))
-            lines = lines.withColumn("odd", F.expr(f"CASE WHEN m >= {self.words_an_edit} THEN {_parities('hashes')} END"))
         else:
             lines = lines.withColumn("m", F.lit(0)).withColumn("keys", F.expr(chars))
-            lines = lines.withColumn("odd", F.lit(None).cast("array<long>"))
         lines = lines.withColumn("letters", F.when(F.col("n") >= self.min_chars, F.expr(_letters())))
         found = lines.groupBy("h1", "h2").agg(
             F.min(F.struct("doc_id", "th", "pos")).alias("first"),
-            *[F.first(c).alias(c) for c in ("letters", "m", "odd", "keys")],
+            *[F.first(c).alias(c) for c in ("letters", "m", "keys")],
         )
         return stored(found, "lines-first")
 
@@ -279,22 +275,23 @@ class LineDedup:
         # a line may have a key twice
         met = keys.withColumn("last", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("last > 1").drop("last")
         met = stored(met, "lines-met")
-        signs = firsts.select("h1", "letters", F.col("m").cast("long").alias("m"), "odd", F.col("first.doc_id").alias("doc_id"))
+        signs = firsts.select("h1", "letters", F.col("m").cast("long").alias("m"), F.col("first.doc_id").alias("doc_id"))
         order = Window.partitionBy("key").orderBy("doc_id", "h1")
         return stored(met.join(signs, "h1").withColumn("place", F.row_number().over(order)), "lines-met")
 
-    def pairs(self, x: DataFrame, y: DataFrame, rule: str, flips: int = WORD_FLIPS) -> DataFrame:
+    def pairs(self, x: DataFrame, y: DataFrame, rule: str, parities: bool = False) -> DataFrame:
         """Stored pairs (a, b) of first line hashes that share a key and are close, by_words or by characters.
 
-        ``flips`` are the parities that an edit of a character changes at most. Two lines of one 64-bit hash stay together here and are told apart when verified.
+        Two lines of one 64-bit hash stay together here and are told apart when verified.
         """
-        # lines of few words have no parities
-        flipped = " + ".join(f"bit_count(get(x.odd, {k}) ^ get(y.odd, {k}))" for k in range(_PARITIES))
-        alike = f"coalesce({flipped} <= {{0}}, true)"
-        close = f"({_close(self.edits)} AND {alike.format(flips * self.edits)})"
+        flipped = [f"bit_count(get(x.odd, {k}) ^ get(y.odd, {k}))" for k in range(_WORD_LONGS)]
+        # a character in the place of another changes two pairs and makes two, a word is but one
+        alike = f" AND {' + '.join(flipped[:_CHAR_LONGS])} <= {4 * self.edits}" if parities else ""
+        close = f"({_close(self.edits)}{alike})"
         if self.words_an_edit:
             most = f"least(x.m, y.m) DIV {self.words_an_edit}"
-            close = f"IF(x.key & 1 = 1, abs(x.m - y.m) <= {most} AND {alike.format(f'2 * ({most})')}, {close})"
+            alike = f" AND {' + '.join(flipped)} <= 2 * ({most})" if parities else ""
+            close = f"IF(x.key & 1 = 1, abs(x.m - y.m) <= {most}{alike}, {close})"
         found = x.alias("x").join(y.alias("y"), F.expr(f"x.key = y.key AND x.h1 <> y.h1 AND {rule} AND {close}"))
         return stored(
             found.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b", "x.key & 1 = 1 AS by_words").distinct(),
@@ -311,18 +308,21 @@ class LineDedup:
             by_words = rest.where("key & 1 = 1").select("h1", "key", sizes.alias("size"))
             lines.append(by_words.selectExpr("xxhash64(key, size) | 1L AS key", "h1"))
         by_chars = rest.where("key & 1 = 0")
-        texts = stored(self.texts(by_chars.select("h1").distinct()), "lines-heavy")
+        texts = stored(self.texts(rest.select("h1").distinct()).withColumn("n", F.char_length("line")), "lines-heavy")
         if self.edits in _FINE_EDITS:
-            texts = texts.withColumn("n", F.char_length("line"))
-            lines.append(texts.select(F.explode(F.expr(fine_keys(self.edits, self.min_chars))).alias("key"), "h1"))
+            own = texts.join(by_chars.select("h1").distinct(), "h1", "left_semi")
+            lines.append(own.select(F.explode(F.expr(fine_keys(self.edits, self.min_chars))).alias("key"), "h1"))
         else:
             lines.append(by_chars.select("key", "h1"))
         met = self.meetings(reduce(DataFrame.unionByName, lines).distinct(), firsts)
         two = "transform(sequence(0, size(c) - 2), i -> xxhash64(get(c, i), get(c, i + 1)))"
-        signs = texts.selectExpr("h1", "split(line, '') AS c").where("size(c) > 1").selectExpr("h1", f"{two} AS g")
-        signs = signs.selectExpr("h1", f"{_parities('g')} AS two")
-        own = F.expr("IF(key & 1 = 1, odd, two)").alias("odd")
-        return stored(met.join(signs, "h1", "left").select("key", "h1", "letters", "m", "doc_id", own), "lines-again")
+        two = f"CASE WHEN size(c) > 1 THEN {two} ELSE CAST(array() AS ARRAY<BIGINT>) END"
+        signs = texts.withColumn("c", F.split("line", "")).withColumn("two", F.expr(two))
+        signs = signs.withColumn("one", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
+        signs = signs.selectExpr("h1", f"{_parities('one', _WORD_LONGS)} AS one", f"{_parities('two', _CHAR_LONGS)} AS two")
+        signs = stored(signs, "lines-signs")
+        odd = F.expr("IF(key & 1 = 1, one, two)").alias("odd")
+        return stored(met.join(signs, "h1").select("key", "h1", "letters", "m", "doc_id", odd), "lines-again")
 
     def near(self, firsts: DataFrame) -> DataFrame:
         """h1 and h2 of the distinct lines with an earlier line within the threshold.
@@ -340,7 +340,7 @@ class LineDedup:
         again = self.finer(rest, firsts)
         open_ = again.join(left.select("h1").distinct(), "h1", "left_semi")
         # places go by document; lines of one document are compared either way
-        late = self.pairs(again, open_, "(x.doc_id IS NULL OR x.doc_id <= y.doc_id)", CHAR_FLIPS)
+        late = self.pairs(again, open_, "(x.doc_id IS NULL OR x.doc_id <= y.doc_id)", parities=True)
         return stored(found.unionByName(self.verified(late, firsts)).distinct(), "lines-near")
 
     def texts(self, ids: DataFrame) -> DataFrame:
