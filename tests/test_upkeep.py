@@ -9,7 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tripstar.catalog import stored
+from tripstar.catalog import stored, upkeep
 from tripstar.operators import facts, rollups
 from tripstar.plans import load as loads
 from tripstar.plans import rollup_marts
@@ -154,6 +154,35 @@ def test_a_batch_is_shuffled_once_and_large_months_are_dealt_out(spark, house, m
     assert kept._read("delta_daily").filter("batch_id = 1").count() == 0
 
 
+def test_a_batch_is_read_in_one_pass(spark, house, monkeypatch):
+    seen, plain = [], DeltaFacts._last_sent
+    monkeypatch.setattr(DeltaFacts, "_last_sent", staticmethod(lambda arrived: seen.append(plan(arrived)) or plain(arrived)))
+    sent = [trip(1, 1, "2024-01-05"), trip(2, 1, None), trip(3, 1, "2024-01-06", deleted=True), trip(4, 1, "2024-01-07", deleted=None)]
+    DeltaFacts(house).apply(trips(spark, sent), 0, "sent", "deleted")
+    assert len(seen) == 1 and "Union" not in seen[0]
+    rows = {r.trip_id: r for r in spark.read.parquet(house.path("delta_trips")).collect()}
+    assert {i: r._dead for i, r in rows.items()} == {1: False, 2: True, 3: True, 4: False}
+    for i in (2, 3):  # of a trip that is gone, its key and when it was sent
+        assert {c for c, v in rows[i].asDict().items() if v is not None} == {"trip_id", "file_type", "source_year", "source_month", "batch_id", "_sent", "_dead"}
+
+
+def test_many_files_are_streamed_in_as_many_batches_as_were_sent(spark, sf_dir, monkeypatch):
+    folder, applied, plain = scratch_dir(spark, "many-files"), [], DeltaFacts.apply
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter("l_shipdate BETWEEN '1995-01-01' AND '1995-05-31'")
+    lines.repartition(24).write.parquet(f"{folder}/lineitem.parquet")
+
+    def apply(self, batch, *more):
+        applied.append(more[0])
+        return plain(self, batch, *more)
+
+    monkeypatch.setattr(DeltaFacts, "apply", apply)
+    found = upkeep.stream_delta_fact(spark, folder)
+    files = spark.read.option("recursiveFileLookup", "true").parquet(upkeep._changing_trips(spark, folder)).inputFiles()
+    assert len(files) > 30 and len(applied) <= 4
+    want = facts.fact_trips(stored.trips(spark, folder)).filter("payment_type_id <> 3")
+    assert rows_of(found) == rows_of(want.select(*found.columns))
+
+
 def test_a_trip_without_an_id_fails_its_batch(spark, house):
     with pytest.raises(Exception, match="no trip_id"):
         DeltaFacts(house).apply(trips(spark, [trip(None, 1, "2024-01-05")]), 0, "sent", "deleted")

@@ -22,6 +22,8 @@ from tripstar.streaming import jobs
 PERCENTS = [25, 50, 75, 95]
 WEEKLY = ["file_type", "day_of_week", "hour"]
 ROWS_A_PART = 2_000_000  # trips of a bucket or a staged file, some hundred megabytes
+SENT_BATCHES = 4  # that trips come in before their facts are kept up
+FILES_A_BATCH = 10  # at least
 
 
 # ---------------------------------------------------------------------------
@@ -74,13 +76,14 @@ def _changing_trips(spark: SparkSession, sf_dir: str) -> str:
         part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("bigint")
         trips = stored.trips(spark, sf_dir).withColumn("trip_id", part * 2**40 + F.col("_metadata.row_index"))
         moved = F.col("ratecode_id") == 2
-        earlier = trips.filter(moved).withColumns({
+        before = {
             "pickup_datetime": F.col("pickup_datetime") - F.expr("INTERVAL 40 DAYS"),
             "total_amount": (F.col("total_amount") * 2).cast("decimal(10,2)"),
             "vendor_id": F.lit(None).cast("int"),
-        })
+        }
+        earlier = trips.filter(moved).withColumns(before)
         sent = {  # batch, number in the order of sending, rows
-            0: (1, earlier.unionByName(trips.filter(~moved | F.col("ratecode_id").isNull()))),
+            0: (1, trips.withColumns({c: F.when(moved, value).otherwise(F.col(c)) for c, value in before.items()})),
             1: (3, trips.filter(moved)),
             2: (2, earlier.unionByName(trips.filter("vendor_id = 1"))),  # overtaken by batch 1 where moved
             3: (4, trips.filter("payment_type = 3")),
@@ -98,7 +101,7 @@ def _kept_facts(spark: SparkSession, sf_dir: str) -> DeltaFacts:
 
     def write(path: str) -> None:
         kept = DeltaFacts(Warehouse(spark, f"{path}/house"))
-        for batch in range(4):
+        for batch in range(SENT_BATCHES):
             kept.apply(spark.read.parquet(f"{batches}/batch={batch}"), batch, "sent", "deleted")
             if batch == 1:
                 for name in AGGREGATES:
@@ -124,7 +127,10 @@ def stream_delta_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows that count after the batches were streamed in, without their ids."""
     path = _changing_trips(spark, sf_dir)
     schema = spark.read.parquet(f"{path}/batch=0").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 10).option("recursiveFileLookup", "true").parquet(path)
+    # larger tables are written as more files: as many batches as were sent, however many files these are
+    files = len(spark.read.option("recursiveFileLookup", "true").parquet(path).inputFiles())
+    a_batch = max(FILES_A_BATCH, splits(files, SENT_BATCHES))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", a_batch).option("recursiveFileLookup", "true").parquet(path)
     house = Warehouse(spark, scratch_dir(spark, "house"))
     kept = jobs.keep_up(house, stream, scratch_dir(spark, "checkpoint"), "sent", "deleted")
     return kept.fact().select("pickup_date_key", "pickup_time_key", "file_type", "vendor_id", "total_amount", "source_year", "source_month")

@@ -78,15 +78,12 @@ class DeltaFacts:
         if deleted:
             gone = gone | F.coalesce(F.col(deleted), F.lit(False))
         marked = trips.withColumn("_gone", gone)
-        live = facts.fact_trips(marked.filter(~F.col("_gone")), keep={"_sent": F.col(sent)})
-        dead = marked.filter("_gone").select(
-            "trip_id", "file_type", F.col("year").alias("source_year"), F.col("month").alias("source_month"), F.col(sent).alias("_sent")
-        )
-        arrived = live.withColumn("_dead", F.lit(False)).unionByName(
-            dead.withColumn("_dead", F.lit(True)), allowMissingColumns=True
-        )
+        # in one pass: a streamed batch is read with all its columns for every branch of a plan
+        arrived = facts.fact_columns(marked, keep={"_sent": F.col(sent), "_dead": F.col("_gone")})
+        # of a trip that is gone nothing is kept but its key
+        left = {c: F.when(~F.col("_dead"), F.col(c)) for c in arrived.columns if c not in [*ID, "_sent", "_dead"]}
         no_id = F.raise_error(F.lit("a trip has no trip_id"))
-        arrived = arrived.withColumn("trip_id", F.coalesce("trip_id", no_id))
+        arrived = arrived.withColumns(left | {"trip_id": F.coalesce("trip_id", no_id)})
         self._write("delta_trips", batch_id, self._last_sent(arrived), tuple(FACT_PARTITIONS))
         stored = self._read("delta_trips")
         if stored is None:  # nothing has arrived so far
@@ -140,7 +137,8 @@ class DeltaFacts:
             slices = F.when(mine[0] & mine[1] & mine[2], splits(r.n, ROWS_A_SLICE)).otherwise(slices)
         placed = arrived.withColumn("_slice", F.pmod(F.xxhash64("trip_id"), slices))
         placed = placed.repartition(*FACT_PARTITIONS, "_slice")
-        return one_per_key(placed, [*ID, "_slice"], ["_sent", "_dead"]).drop("_slice")
+        # months lead the keys, so the rows come out in the order they are written in
+        return one_per_key(placed, [*FACT_PARTITIONS, "_slice", "trip_id"], ["_sent", "_dead"]).drop("_slice")
 
     def _replaced(self, new: DataFrame, batch_id: int) -> DataFrame | None:
         """The last earlier row of each trip of a batch, from the source months it touches.
