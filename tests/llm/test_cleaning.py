@@ -320,6 +320,57 @@ def test_line_dedup_does_not_pair_all_near_copies(spark, monkeypatch):
     assert made and sum(made) <= 10 * n, (made, n)
 
 
+@pytest.mark.parametrize("codes", [0xF0000, 5])
+def test_word_distance_against_plain(spark, monkeypatch, codes):
+    import random
+
+    monkeypatch.setattr(line_dedup, "_CODES", codes)  # few: words of one code are told apart by their places
+    rng, rows = random.Random(12), []
+    for _ in range(200):
+        a = rng.choices(["ä", "b", "😀", "dd", "e"], k=rng.randint(0, 12))
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.choice([0, 1])] = rng.choice([[], ["new"]])
+        rows.append((a, b, rng.randint(0, 3)))
+    found = spark.createDataFrame(rows, "xs array<string>, ys array<string>, most int")
+    for r in found.withColumn("d", F.expr(line_dedup.word_distance("xs", "ys", "most"))).collect():
+        true = distance(r.xs, r.ys)
+        assert r.d == (true if true <= r.most else -1), r
+
+
+def test_line_dedup_scans_documents_once_for_texts_and_compiles_its_joins(spark, monkeypatch):
+    rows = [(i, t) for i, (_, t) in enumerate(many_near_copies())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    plain, scans, sizes = line_dedup.stored, [], []
+    codegen = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package").codegenStringSeq
+
+    def seen(found, purpose):
+        if purpose == "lines-texts":
+            scans.append(purpose)
+        if purpose == "lines-pairs":
+            kept = plain(found, purpose)
+            found.collect()  # so that the final plan is known
+            parts = codegen(found._jdf.queryExecution().executedPlan())
+            sizes.extend(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size()))
+            return kept
+        return plain(found, purpose)
+
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    line_dedup.dedup_lines(docs, words_an_edit=20).count()
+    assert len(scans) == 1
+    assert sizes and max(sizes) < 8000  # the JVM interprets longer methods
+
+
+def test_words_are_cut_as_elsewhere(spark):
+    from tripstar.llm.common import words
+
+    lines = ["", "a", " a  b ", "a\tb c", "a\x0bb\x0c\r c", "\t", "é  😀 x\u00a0y", None]
+    rows = spark.createDataFrame([(t,) for t in lines], "line string").where("line IS NOT NULL")
+    for r in rows.select("line", F.expr(line_dedup._words("line")).alias("found"), words(F.col("line")).alias("want")).collect():
+        assert r.found == r.want, r
+
+
 def test_line_dedup_has_few_keys_a_line(spark):
     import random
 

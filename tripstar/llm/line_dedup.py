@@ -42,7 +42,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripstar.llm.common import SPACES, stored, table, words
+from tripstar.llm.common import SPACES, stored, table
 
 EDITS = 2
 MIN_CHARS = 30
@@ -50,15 +50,17 @@ WORDS_AN_EDIT = 20  # a line of so many words may differ in one of them, of twic
 BROADCAST_LINES = 1_000_000  # hashes of candidate lines, 8 bytes each; beyond it they are joined
 
 LENGTH_STEP = 8  # lengths whose lines are cut alike
+COMPILED_CLASSES = 4  # of these, the ones of most lines: their keys are generated code, the others are interpreted
 WORD_CLASSES = 8  # edits up to which words are cut into segments; longer lines have keys of stretches as well
 FINE_PARTS = 16  # parts of a line whose first keys are shared by many
 FEW = 8  # lines of a key that all others of it are held against; the rest only where these leave one open
 
 # Letters whose counts two lines are held against first.
-LETTERS = ["e", "t", "n", "a", "s", "o", "i", "r"]
+LETTERS = ["e", "t", "a"]
 _COUNT_BITS = 7
 _BAND_BITS = 32
 _CHAR_LONGS, _WORD_LONGS = 2, 8  # of parities
+_FIRST_CODE, _CODES = 0x10000, 0xF0000  # characters that stand for hashes of words: all of five digits
 _FINE_EDITS = (1, 2)  # edits that finer keys are made for
 
 
@@ -94,7 +96,9 @@ def segment_keys(edits: int, min_chars: int) -> str:
                 keys.append(f"xxhash64({least}, {i}, {cut}) & -2L")
         both.append(f"array({', '.join(keys)})")
     below = f"n - {step} >= {min_chars} AND pmod(n - {min_chars}, {step}) < {edits}"
-    return f"CASE WHEN n < {min_chars} THEN CAST(array() AS ARRAY<BIGINT>) WHEN {below} THEN concat({both[0]}, {both[1]}) ELSE {both[0]} END"
+    none = "CAST(array() AS ARRAY<BIGINT>)"
+    # each array once: a method of more than 8000 bytes is never compiled by the JVM
+    return f"concat(IF(n < {min_chars}, {none}, {both[0]}), IF({below}, {both[1]}, {none}))"
 
 
 def fine_keys(edits: int, min_chars: int) -> str:
@@ -131,19 +135,23 @@ def _word_classes(words_an_edit: int) -> int:
 
 
 def word_keys(words_an_edit: int) -> str:
-    """SQL array of the keys of a line's m words, whose hashes are ``hashes``.
+    """SQL array of the keys of a line's m words ``ws``.
 
     With c edits allowed, the words are cut as :func:`segment_keys` cuts characters; lines
     with room for more edits have the least hashes of the runs in each stretch as well.
     """
     p, most = words_an_edit, _word_classes(words_an_edit)
-    part = f"CAST(({p} * c) DIV (c + 1) AS INT)"
-    start = f"IF(2 * i <= c, i * {part} + 1, m - (c + 1 - i) * {part} + 1)"
-    cut = f"slice(hashes, {start} + t, {part} - CAST(c DIV 2 AS INT))"
-    moves = f"transform(sequence(0, least(i, c - i)), t -> xxhash64(c, i, {cut}) | 1L)"
-    # a line of the class below may be shorter by as many words as that class allows
-    own = f"filter(array(m DIV {p}, m DIV {p} - 1), c -> c BETWEEN 1 AND {most} AND (c = m DIV {p} OR m % {p} < c))"
-    segments = f"flatten(transform(transform({own}, c -> CAST(c AS INT)), c -> flatten(transform(sequence(0, c), i -> {moves}))))"
+    none = "CAST(array() AS ARRAY<BIGINT>)"
+    segments = []
+    for c in range(1, most + 1):
+        part, keys = p * c // (c + 1), []
+        for i in range(c + 1):
+            start = f"{i * part + 1}" if 2 * i <= c else f"m - {(c + 1 - i) * part - 1}"
+            for move in range(min(i, c - i) + 1):
+                words = "ws" if c <= COMPILED_CLASSES else "w"
+                keys.append(f"xxhash64({c}, {i}, slice({words}, {start} + {move}, {part - c // 2})) | 1L")
+        # a line of the class below may be shorter by as many words as that class allows
+        segments.append(f"IF(m >= {p * c} AND m < {p * (c + 1) + c}, array({', '.join(keys)}), {none})")
     run = p // 2
     window = max(run // 2, 1)
     width = run - window + 1
@@ -151,8 +159,10 @@ def word_keys(words_an_edit: int) -> str:
     near = ", ".join(f"get(r, i + {k})" for k in range(window))
     least = f"least({near})" if window > 1 else near
     stretches = _let(runs, "r", f"array_distinct(transform(sequence(0, size(r) - {window}), i -> {least}))")
-    none = "CAST(array() AS ARRAY<BIGINT>)"
-    return f"CASE WHEN m < {p} THEN {none} WHEN m >= {p * (most + 1)} THEN concat({segments}, {stretches}) ELSE {segments} END"
+    stretches = _let("transform(w, x -> xxhash64(x))", "hashes", stretches)
+    long = _let("ws", "w", f"concat({', '.join([*segments[COMPILED_CLASSES:], f'IF(m >= {p * (most + 1)}, {stretches}, {none})'])})")
+    first = p * (min(COMPILED_CLASSES, most) + 1)
+    return f"concat({', '.join(segments[:COMPILED_CLASSES])}, IF(m >= {first}, {long}, {none}))"
 
 
 def _letters() -> str:
@@ -178,11 +188,34 @@ def _close(edits: int) -> str:
     return f"({near} AND ({' + '.join(letters)} <= {2 * edits} OR {wrapped}))"
 
 
-def _parities(hashes: str, longs: int) -> str:
-    """SQL array of longs whose bits tell whether the hashes of each class occur an odd number of times."""
-    bit = "shiftleft(1L, CAST(shiftrightunsigned(h, 20) & 63 AS INT))"
-    part = f"aggregate({hashes}, 0L, (s, h) -> IF(shiftrightunsigned(h, 40) & {longs - 1} = k, s ^ {bit}, s))"
-    return f"transform(sequence(0, {longs - 1}), k -> {part})"
+_CLASS, _BIT = "shiftrightunsigned(h, 40)", "shiftleft(1L, CAST(shiftrightunsigned(h, 20) & 63 AS INT))"
+
+
+def _word_parities(texts: DataFrame) -> DataFrame:
+    """h1 and longs odd0, odd1 .. of each line, whose bits tell whether the words of each class occur an odd number of times."""
+    each = [F.expr(f"bit_xor(IF({_CLASS} & {_WORD_LONGS - 1} = {k}, {_BIT}, 0L))") for k in range(_WORD_LONGS)]
+    hashes = texts.select("id.*", F.explode("ws").alias("word")).selectExpr("h1", "h2", "xxhash64(word) AS h")
+    return hashes.groupBy("h1", "h2").agg(*[x.alias(f"odd{k}") for k, x in enumerate(each)]).drop("h2")
+
+
+def _char_parities(texts: DataFrame) -> DataFrame:
+    """The same for pairs of characters, which are too many to be rows."""
+    each = ", ".join(f"aggregate(hs, 0L, (s, h) -> IF({_CLASS} & {_CHAR_LONGS - 1} = {k}, s ^ {_BIT}, s))" for k in range(_CHAR_LONGS))
+    hashes = _let("split(line, '')", "c", "zip_with(c, slice(c, 2, size(c)), (p, q) -> xxhash64(p, q))")
+    odd = texts.select("h1", F.expr(_let(hashes, "hs", f"array({each})")).alias("odd"))
+    return odd.select("h1", *[F.get("odd", F.lit(k)).alias(f"odd{k}") for k in range(_CHAR_LONGS)])
+
+
+def _flips(longs: int) -> str:
+    """SQL: the number of classes whose parities in x and y differ."""
+    return " + ".join(f"bit_count(x.odd{k} ^ y.odd{k})" for k in range(longs))
+
+
+def _words(line: str) -> str:
+    """SQL: the words of a line, as :func:`tripstar.llm.common.words` gives them; cut at spaces alone where these are the only ones."""
+    other = r"[\\x09-\\x0D]"
+    cut = f"IF({line} RLIKE '{other}', split({line}, '[\\\\x20\\\\x09-\\\\x0D]+'), split({line}, ' '))"
+    return f"array_remove({cut}, '')"
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -190,6 +223,18 @@ def _let(value: str, name: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
+def _trimmed(xs: str, ys: str, most: str) -> str:
+    """SQL: both arrays without what they begin and end with alike, at most so many; their edit distance is the same."""
+
+    def alike(a: str, b: str, n: str) -> str:
+        first = f"CAST(array_position(zip_with(slice({a}, 1, {n}), slice({b}, 1, {n}), (x, y) -> x = y), false) AS INT)"
+        return _let(first, "f", f"IF(f = 0, {n}, f - 1)")
+
+    left = ", ".join(f"'{k}', slice(t.{k}, p + 1, size(t.{k}) - p - e)" for k in ("xs", "ys"))
+    ends = _let(alike("reverse(t.xs)", "reverse(t.ys)", "(l - p)"), "e", f"named_struct({left})")
+    return _let(f"named_struct('xs', {xs}, 'ys', {ys})", "t", _let(most, "l", _let(alike("t.xs", "t.ys", "l"), "p", ends)))
+
+
 def banded_distance(longer: str, shorter: str, edits: int) -> str:
     """SQL: edit distance of two texts if at most ``edits``, else more.
 
@@ -218,19 +263,32 @@ def banded_distance(longer: str, shorter: str, edits: int) -> str:
         f"aggregate(sequence(1, size(t.ys)), named_struct('vp', {start}, 'vn', 0L, 'd', {edits}), "
         f"(s, j) -> IF(s.d > {2 * edits}, s, {column}), s -> s.d)"
     )
-    # bound to a name, the characters are split once
-    return _let(f"named_struct('xs', split({longer}, ''), 'ys', split({shorter}, ''))", "t", run)
+    # bound to a name, the characters are split once; a column costs much more than a comparison
+    most = f"greatest(least(size(t.xs) - {edits + 1}, size(t.ys) - 1), 0)"
+    return _let(_trimmed(f"split({longer}, '')", f"split({shorter}, '')", most), "t", run)
 
 
 def word_distance(xs: str, ys: str, edits: str) -> str:
-    """SQL: edit distance of two arrays of words if at most ``edits``, else -1."""
+    """SQL: edit distance of two arrays of words if at most ``edits``, else -1.
+
+    Words become characters: by their hashes or, if two words of the pair have the same, by their places.
+    """
+
+    def hashed(own: str) -> str:
+        text = f"decode(unhex(concat('000', array_join({own}, '000'))), 'UTF-32')"  # five digits each
+        return f"IF(size({own}) = 0, '', {text})"
 
     def coded(own: str) -> str:
         # the place among the pair's words as a character; surrogates and byte order marks are left out
         place = _let("array_position(v, w)", "p", "lpad(hex(IF(p < 55296, p, p + 10240)), 8, '0')")
         return f"decode(unhex(array_join(transform({own}, w -> {place}), '')), 'UTF-32')"
 
-    return _let(f"array_distinct(concat({xs}, {ys}))", "v", f"levenshtein({coded(xs)}, {coded(ys)}, {edits})")
+    by_place = f"levenshtein({coded('d.xs')}, {coded('d.ys')}, {edits})"
+    by_hash = f"levenshtein({hashed('h.xs')}, {hashed('h.ys')}, {edits})"
+    codes = ", ".join(f"'{k}', transform(d.{k}, w -> hex({_FIRST_CODE}L + pmod(xxhash64(w), {_CODES}L)))" for k in ("xs", "ys"))
+    told = "size(array_distinct(concat(h.xs, h.ys))) = size(v)"
+    found = _let("array_distinct(concat(d.xs, d.ys))", "v", _let(f"named_struct({codes})", "h", f"IF({told}, {by_hash}, {by_place})"))
+    return _let(_trimmed(xs, ys, "least(size(t.xs), size(t.ys))"), "d", found)
 
 
 class LineDedup:
@@ -255,8 +313,9 @@ class LineDedup:
         chars = segment_keys(self.edits, self.min_chars)
         if self.words_an_edit:
             # fewer characters cannot hold so many words
-            some = F.when(F.col("n") >= max(self.min_chars, 2 * self.words_an_edit - 1), F.col("line"))
-            lines = lines.withColumn("hashes", F.transform(words(some), lambda w: F.xxhash64(w))).withColumn("m", F.size("hashes"))
+            some = F.col("n") >= max(self.min_chars, 2 * self.words_an_edit - 1)
+            lines = lines.withColumn("ws", F.when(some, F.expr(_words("line"))).otherwise(F.array().cast("array<string>")))
+            lines = lines.withColumn("m", F.size("ws"))
             lines = lines.withColumn("keys", F.concat(F.expr(chars), F.expr(word_keys(self.words_an_edit))))
         else:
             lines = lines.withColumn("m", F.lit(0)).withColumn("keys", F.expr(chars))
@@ -282,23 +341,24 @@ class LineDedup:
     def pairs(self, x: DataFrame, y: DataFrame, rule: str, parities: bool = False) -> DataFrame:
         """Stored pairs (a, b) of first line hashes that share a key and are close, by_words or by characters.
 
-        Two lines of one 64-bit hash stay together here and are told apart when verified.
+        Two lines of one 64-bit hash stay together here and are told apart when verified. Each kind
+        is joined by itself, so that either test is short enough to be compiled.
         """
-        flipped = [f"bit_count(get(x.odd, {k}) ^ get(y.odd, {k}))" for k in range(_WORD_LONGS)]
         # a character in the place of another changes two pairs and makes two, a word is but one
-        alike = f" AND {' + '.join(flipped[:_CHAR_LONGS])} <= {4 * self.edits}" if parities else ""
-        close = f"({_close(self.edits)}{alike})"
+        alike = f"{_flips(_CHAR_LONGS)} <= {4 * self.edits} AND " if parities else ""
+        tests = [(0, f"{alike}{_close(self.edits)}")]
         if self.words_an_edit:
             most = f"least(x.m, y.m) DIV {self.words_an_edit}"
-            alike = f" AND {' + '.join(flipped)} <= 2 * ({most})" if parities else ""
-            close = f"IF(x.key & 1 = 1, abs(x.m - y.m) <= {most}{alike}, {close})"
-        found = x.alias("x").join(y.alias("y"), F.expr(f"x.key = y.key AND x.h1 <> y.h1 AND {rule} AND {close}"))
-        return stored(
-            found.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b", "x.key & 1 = 1 AS by_words").distinct(),
-            "lines-pairs",
-        )
-
-    def finer(self, rest: DataFrame, firsts: DataFrame) -> DataFrame:
+            alike = f" AND {_flips(_WORD_LONGS)} <= 2 * ({most})" if parities else ""
+            tests.append((1, f"abs(x.m - y.m) <= {most}{alike}"))
+        kinds = []
+        for kind, close in tests:
+            left, right = (side.where(f"key & 1 = {kind}").alias(name) for side, name in ((x, "x"), (y, "y")))
+            found = left.join(right, F.expr(f"x.key = y.key AND x.h1 <> y.h1 AND {rule} AND {close}"))
+            kinds.append(found.selectExpr("least(x.h1, y.h1) AS a", "greatest(x.h1, y.h1) AS b", f"{kind} = 1 AS by_words"))
+        return stored(reduce(DataFrame.unionByName, kinds).distinct(), "lines-pairs")
+
+    def finer(self, rest: DataFrame, firsts: DataFrame, texts: DataFrame, signs: DataFrame | None) -> DataFrame:
         """The lines of rest as they meet again: under finer keys, or among lines of about as many words."""
         lines = []
         if self.words_an_edit:
@@ -308,21 +368,18 @@ class LineDedup:
             by_words = rest.where("key & 1 = 1").select("h1", "key", sizes.alias("size"))
             lines.append(by_words.selectExpr("xxhash64(key, size) | 1L AS key", "h1"))
         by_chars = rest.where("key & 1 = 0")
-        texts = stored(self.texts(rest.select("h1").distinct()).withColumn("n", F.char_length("line")), "lines-heavy")
         if self.edits in _FINE_EDITS:
-            own = texts.join(by_chars.select("h1").distinct(), "h1", "left_semi")
+            own = texts.join(by_chars.select("h1").distinct(), "h1", "left_semi").withColumn("n", F.char_length("line"))
             lines.append(own.select(F.explode(F.expr(fine_keys(self.edits, self.min_chars))).alias("key"), "h1"))
         else:
             lines.append(by_chars.select("key", "h1"))
         met = self.meetings(reduce(DataFrame.unionByName, lines).distinct(), firsts)
-        two = "transform(sequence(0, size(c) - 2), i -> xxhash64(get(c, i), get(c, i + 1)))"
-        two = f"CASE WHEN size(c) > 1 THEN {two} ELSE CAST(array() AS ARRAY<BIGINT>) END"
-        signs = texts.withColumn("c", F.split("line", "")).withColumn("two", F.expr(two))
-        signs = signs.withColumn("one", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
-        signs = signs.selectExpr("h1", f"{_parities('one', _WORD_LONGS)} AS one", f"{_parities('two', _CHAR_LONGS)} AS two")
-        signs = stored(signs, "lines-signs")
-        odd = F.expr("IF(key & 1 = 1, one, two)").alias("odd")
-        return stored(met.join(signs, "h1").select("key", "h1", "letters", "m", "doc_id", odd), "lines-again")
+        kept = met.where("key & 1 = 0")
+        own = texts.join(kept.select("h1").distinct(), "h1", "left_semi")
+        again = kept.join(stored(_char_parities(own), "lines-signs"), "h1")
+        if signs is not None:
+            again = again.unionByName(met.where("key & 1 = 1").join(signs.drop("m"), "h1"), allowMissingColumns=True)
+        return stored(again.drop("place"), "lines-again")
 
     def near(self, firsts: DataFrame) -> DataFrame:
         """h1 and h2 of the distinct lines with an earlier line within the threshold.
@@ -332,56 +389,72 @@ class LineDedup:
         """
         met = self.meetings(firsts.select(F.explode("keys").alias("key"), "h1"), firsts)
         early = self.pairs(met.where(F.col("place") <= FEW), met, "x.place < y.place")
-        found = stored(self.verified(early, firsts), "lines-near")
         rest = met.where(F.col("place") > FEW)
+        # all texts that are needed from here on, in one scan of the documents
+        wanted = early.select(F.explode(F.array("a", "b")).alias("h1")).unionByName(rest.select("h1"))
+        texts = self.texts(wanted.distinct(), firsts)
+        signs = None
+        if self.words_an_edit:
+            signs = stored(_word_parities(texts).join(firsts.select("h1", "m"), "h1"), "lines-signs")
+            early = self.alike(early, signs)
+        found = stored(self.verified(early, texts), "lines-near")
         if rest.isEmpty():
             return found
         left = firsts.join(rest.select("h1").distinct(), "h1", "left_semi").join(found, ["h1", "h2"], "left_anti")
-        again = self.finer(rest, firsts)
+        again = self.finer(rest, firsts, texts, signs)
         open_ = again.join(left.select("h1").distinct(), "h1", "left_semi")
         # places go by document; lines of one document are compared either way
         late = self.pairs(again, open_, "(x.doc_id IS NULL OR x.doc_id <= y.doc_id)", parities=True)
-        return stored(found.unionByName(self.verified(late, firsts)).distinct(), "lines-near")
+        return stored(found.unionByName(self.verified(late, texts)).distinct(), "lines-near")
 
-    def texts(self, ids: DataFrame) -> DataFrame:
-        """h1, h2 and the text of each distinct line whose h1 is among the ids."""
+    def texts(self, ids: DataFrame, firsts: DataFrame) -> DataFrame:
+        """Stored h1, id, the text and the first place of each distinct line whose h1 is among the ids."""
         ids = stored(ids, "lines-wanted")
         # a filter by so many ids needs no shuffle of the lines; more ids are joined
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_LINES else ids
-        return _lines(self.docs).join(wanted, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
-
-    def verified(self, pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+        lines = _lines(self.docs).join(wanted, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
+        found = lines.join(firsts.select("h1", "h2", "first", "m"), ["h1", "h2"])
+        # cut into words once, not for every pair
+        own = F.when(F.col("m") >= (self.words_an_edit or 1), F.expr(_words("line"))).alias("ws")
+        return stored(found.select("h1", F.struct("h1", "h2").alias("id"), "line", "first", own), "lines-texts")
+
+    def alike(self, pairs: DataFrame, signs: DataFrame) -> DataFrame:
+        """The pairs without those by words that the parities of their words tell apart; no text is looked at for that."""
+        both = pairs.where("by_words").join(signs.alias("x"), F.expr("a = x.h1")).join(signs.alias("y"), F.expr("b = y.h1"))
+        both = both.where(f"{_flips(_WORD_LONGS)} <= 2 * (least(x.m, y.m) DIV {self.words_an_edit})")
+        return pairs.where("NOT by_words").unionByName(both.select(*pairs.columns))
+
+    def verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """h1 and h2 of the later lines of the pairs that lie within the threshold."""
-        texts = (
-            self.texts(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct())
-            .join(firsts.select("h1", "h2", "first"), ["h1", "h2"])
-            .select("h1", F.struct("h1", "h2").alias("id"), "line", "first")
+        of = lambda h, k: texts.select(
+            F.col("h1").alias(h), F.col("id").alias(f"i{k}"), F.col("line").alias(f"l{k}"), F.col("ws").alias(f"w{k}"), F.col("first").alias(f"f{k}")
         )
-        texts = stored(texts, "lines-texts")
-        first = texts.select(F.col("h1").alias("a"), F.col("id").alias("ia"), F.col("line").alias("la"), F.col("first").alias("fa"))
-        second = texts.select(F.col("h1").alias("b"), F.col("id").alias("ib"), F.col("line").alias("lb"), F.col("first").alias("fb"))
-        both = pairs.join(first, "a").join(second, "b")
+        later = F.when(F.col("fa") < F.col("fb"), F.col("ib")).otherwise(F.col("ia")).alias("later")
         swap = F.char_length("la") >= F.char_length("lb")
-        both = both.select(
-            F.when(F.col("fa") < F.col("fb"), F.col("ib")).otherwise(F.col("ia")).alias("later"),
-            F.when(swap, F.col("la")).otherwise(F.col("lb")).alias("longer"),
-            F.when(swap, F.col("lb")).otherwise(F.col("la")).alias("shorter"),
-            "by_words",
-        )
-        by_chars = both.where(f"NOT by_words AND char_length(longer) - char_length(shorter) <= {self.edits}").where(
-            F.expr(banded_distance("longer", "shorter", self.edits)) <= self.edits
-        )
-        if not self.words_an_edit:
-            return by_chars.select("later.h1", "later.h2").distinct()
-        # each word that only one of them has takes an edit
-        by_words = (
-            both.where("by_words")
-            .select("later", words(F.col("longer")).alias("xs"), words(F.col("shorter")).alias("ys"))
-            .withColumn("most", F.expr(f"least(size(xs), size(ys)) DIV {self.words_an_edit}"))
-            .where("greatest(size(array_except(xs, ys)), size(array_except(ys, xs))) <= most")
-            .where(F.expr(word_distance("xs", "ys", "most")) >= 0)
+        by_chars = (
+            pairs.where("NOT by_words")
+            .join(of("a", "a").drop("wa"), "a")
+            .join(of("b", "b").drop("wb"), "b")
+            .select(
+                later,
+                F.when(swap, F.col("la")).otherwise(F.col("lb")).alias("longer"),
+                F.when(swap, F.col("lb")).otherwise(F.col("la")).alias("shorter"),
+            )
+            .where(f"char_length(longer) - char_length(shorter) <= {self.edits}")
+            .where(F.expr(banded_distance("longer", "shorter", self.edits)) <= self.edits)
         )
-        found = by_chars.select("later").unionByName(by_words.select("later"))
+        found = by_chars.select("later")
+        if self.words_an_edit:
+            # each word that only one of them has takes an edit
+            most = f"least(size(wa), size(wb)) DIV {self.words_an_edit}"
+            by_words = (
+                pairs.where("by_words")
+                .join(of("a", "a").drop("la"), "a")
+                .join(of("b", "b").drop("lb"), "b")
+                .where(f"greatest(size(array_except(wa, wb)), size(array_except(wb, wa))) <= {most}")
+                .where(F.expr(word_distance("wa", "wb", most)) >= 0)
+            )
+            found = found.unionByName(by_words.select(later))
         return found.select("later.h1", "later.h2").distinct()
 
     def places(self) -> DataFrame:
